@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The landing flow has no stream, watermark or state: change detection is a
+batch comparison of a full listing with the ledger. A streaming file source
+tracks paths it has already seen and does not emit a file again when it is
+modified in place, which would lose the "strictly newer version" half of the
+contract, so detection stays a batch join (re-run it on a schedule).
+"""
