@@ -1,0 +1,94 @@
+import os
+import time
+from dataclasses import replace
+
+import pytest
+
+from quayside.operators.manifest import PathRules
+from quayside.plans.landing import LandingConfig, run_landing
+from quayside.session import new_run_dir
+from quayside.sources.ledger import Ledger, read_ledger
+
+from conftest import write_file
+
+
+def _cfg(spark, tmp_path, **kw):
+    kw.setdefault("rules", PathRules(root=f"file:{tmp_path}/landed", bucket_marker="/bucket/", landing_marker="/caged/"))
+    return LandingConfig(source=str(tmp_path / "bucket"), ledger=Ledger(path=str(tmp_path / "ledger")), **kw)
+
+
+def _seed(tmp_path, n=5):
+    for i in range(n):
+        write_file(f"{tmp_path}/bucket/caged/d{i % 2}/f{i}.txt", f"file {i}".encode() * 50, mtime=1_700_000_000 + i)
+
+
+def _run(spark, cfg):
+    return run_landing(spark, replace(cfg, staging_dir=new_run_dir(spark, "test-run")))
+
+
+def test_run_rerun_touch(spark, tmp_path):
+    _seed(tmp_path)
+    cfg = _cfg(spark, tmp_path)
+    first = _run(spark, cfg)
+    assert first.count == 5
+    assert {r["status"] for r in first.audit.collect()} == {"SUCCESS"}
+    assert os.path.exists(f"{tmp_path}/landed/d0/f0.txt")
+    assert _run(spark, cfg).count == 0
+    touched = f"{tmp_path}/bucket/caged/d1/f3.txt"
+    write_file(touched, b"changed", mtime=1_800_000_000)
+    third = _run(spark, cfg)
+    assert third.count == 1
+    assert [r["source_path"] for r in third.audit.collect()] == [f"file:{touched}"]
+    with open(f"{tmp_path}/landed/d1/f3.txt", "rb") as fh:
+        assert fh.read() == b"changed"
+    assert read_ledger(spark, cfg.ledger).count() == 6
+
+
+def test_failed_copy_recorded_and_not_retried_by_default(spark, tmp_path):
+    _seed(tmp_path, 3)
+    write_file(f"{tmp_path}/landed/d1", b"blocks the d1 directory")
+    cfg = _cfg(spark, tmp_path)
+    res = _run(spark, cfg)
+    status = {os.path.basename(r["source_path"]): r["status"] for r in res.audit.collect()}
+    assert status == {"f0.txt": "SUCCESS", "f1.txt": "ERROR", "f2.txt": "SUCCESS"}
+    os.remove(f"{tmp_path}/landed/d1")
+    assert _run(spark, cfg).count == 0
+    retry = _run(spark, replace(cfg, retry_failed=True))
+    assert retry.count == 1 and {r["status"] for r in retry.audit.collect()} == {"SUCCESS"}
+
+
+def test_cap_exact_passes_over_raises(spark, tmp_path):
+    _seed(tmp_path, 4)
+    with pytest.raises(ValueError, match="max_files"):
+        _run(spark, _cfg(spark, tmp_path, max_files=3))
+    assert not os.path.exists(f"{tmp_path}/landed")
+    assert _run(spark, _cfg(spark, tmp_path, max_files=4)).count == 4
+
+
+def test_unmapped_fail_or_reject(spark, tmp_path):
+    _seed(tmp_path, 2)
+    write_file(f"{tmp_path}/bucket/elsewhere/x.txt", b"no landing marker")
+    with pytest.raises(ValueError, match="no landing path"):
+        _run(spark, _cfg(spark, tmp_path))
+    res = _run(spark, _cfg(spark, tmp_path, on_unmapped="reject"))
+    assert res.count == 2
+    assert [os.path.basename(r["source_path"]) for r in res.rejected.collect()] == ["x.txt"]
+
+
+def test_two_sources_one_target_is_refused(spark, tmp_path):
+    write_file(f"{tmp_path}/bucket/caged/a/caged/x.txt", b"1")
+    write_file(f"{tmp_path}/bucket/caged/a/caged/y.txt", b"2")
+    with pytest.raises(ValueError, match="more than one source"):
+        _run(spark, _cfg(spark, tmp_path))
+    res = _run(spark, _cfg(spark, tmp_path, rules=PathRules(
+        root=f"file:{tmp_path}/landed", bucket_marker="/bucket/", landing_marker="/caged/", keep_tail=True)))
+    assert res.count == 2
+
+
+def test_empty_source_touches_nothing(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/bucket/caged")
+    write_file(f"{tmp_path}/bucket/caged/empty.txt", b"")
+    cfg = _cfg(spark, tmp_path)
+    res = _run(spark, cfg)
+    assert res.count == 0 and res.audit.count() == 0
+    assert read_ledger(spark, cfg.ledger).count() == 0
