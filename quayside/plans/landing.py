@@ -13,6 +13,7 @@ copies, so a run that dies part-way is repeated by the next run
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,6 @@ from pyspark.sql import functions as F
 
 from quayside.operators.copy import copy_files
 from quayside.operators.detect import pending_files
-from quayside.operators.guards import target_collisions
 from quayside.operators.inventory import extract_inventory
 from quayside.operators.manifest import PathRules, build_manifest
 from quayside.schema import BYTES_PER_MIB
@@ -39,7 +39,7 @@ class LandingConfig:
     on_unmapped: str = "fail"  # 'fail' raises before copying; 'reject' sets them apart
     on_collision: str = "fail"  # 'fail' raises when two sources share a landing path; 'allow'
     max_files: int | None = None  # None: no cap (the copy is distributed)
-    copy_threads: int = 8
+    copy_threads: int | None = None  # None: 1 per task on local/HDFS, 16 on object stores
     num_tasks: int | None = None
     staging_dir: str | None = None  # default: a new folder under spark.checkpoint.dir
 
@@ -63,9 +63,17 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     if cfg.on_collision not in ("fail", "allow"):
         raise ValueError("on_collision must be 'fail' or 'allow'")
     run_dir = cfg.staging_dir or new_run_dir(spark, "landing")
+    clock = [time.perf_counter()]
+    timings: dict[str, float] = {}
+
+    def lap(step: str) -> None:
+        now = time.perf_counter()
+        timings[step] = round(now - clock[0], 4)
+        clock[0] = now
 
     ensure_ledger(spark, cfg.ledger)
     ledger = read_ledger(spark, cfg.ledger)
+    lap("ledger")
     inventory = extract_inventory(spark, cfg.source, cfg.factor, glob=cfg.glob)
     manifest = build_manifest(inventory, cfg.rules)
 
@@ -73,14 +81,22 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     pending_plan = pending_files(manifest, ledger, cfg.retry_failed)
     pending_plan.write.mode("errorifexists").parquet(f"{run_dir}/pending")
     pending = spark.read.parquet(f"{run_dir}/pending")
+    lap("detect_and_stage")
 
+    # One aggregate job answers every pre-copy question: size of the batch,
+    # rows without a landing or bucket path (the ledger forbids NULL there),
+    # and whether two sources claim one landing path.
+    unmapped_row = F.col("lakehouse_path").isNull() | F.col("bucket_path").isNull()
     row = pending.agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("lakehouse_path").isNull()).alias("unmapped"),
-        F.coalesce(F.sum("source_size_mb"), F.lit(0.0)).alias("mb"),
+        F.count_if(unmapped_row).alias("unmapped"),
+        F.coalesce(F.sum(F.when(~unmapped_row, F.col("source_size_mb"))), F.lit(0.0)).alias("mb"),
+        F.count_distinct(F.when(~unmapped_row, F.col("lakehouse_path"))).alias("targets"),
     ).first()
-    n, n_unmapped, total_mb = row["n"], row["unmapped"], float(row["mb"])
-    stats = {"pending": n, "unmapped": n_unmapped, "pending_mb": total_mb}
+    n, n_unmapped, total_mb, n_targets = row["n"], row["unmapped"], float(row["mb"]), row["targets"]
+    stats = {"pending": n, "unmapped": n_unmapped, "pending_mb": total_mb, "collisions": n - n_unmapped - n_targets}
+    stats["timings"] = timings
+    lap("checks")
 
     if cfg.max_files is not None and n > cfg.max_files:
         raise ValueError(f"{n} files are pending, more than max_files={cfg.max_files}; nothing was copied")
@@ -90,19 +106,18 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     if n_unmapped:
         if cfg.on_unmapped == "fail":
             raise ValueError(
-                f"{n_unmapped} pending files have no landing path (marker "
-                f"{cfg.rules.landing_marker!r} missing); nothing was copied"
+                f"{n_unmapped} pending files have no landing path or bucket path (markers "
+                f"{cfg.rules.landing_marker!r} / {cfg.rules.bucket_marker!r} missing); nothing was copied"
             )
-        rejected = pending.filter(F.col("lakehouse_path").isNull())
-        to_copy = pending.filter(F.col("lakehouse_path").isNotNull())
+        rejected = pending.filter(unmapped_row)
+        to_copy = pending.filter(~unmapped_row)
         n -= n_unmapped
-        total_mb = float(to_copy.agg(F.coalesce(F.sum("source_size_mb"), F.lit(0.0))).first()[0])
 
-    if cfg.on_collision == "fail" and n:
-        clashes = target_collisions(to_copy).count()
-        stats["collisions"] = clashes
-        if clashes:
-            raise ValueError(f"{clashes} landing paths are claimed by more than one source; nothing was copied")
+    if cfg.on_collision == "fail" and stats["collisions"]:
+        raise ValueError(
+            f"landing paths are claimed by more than one source ({stats['collisions']} surplus sources); "
+            "nothing was copied"
+        )
 
     if n == 0:
         audit = empty_ledger(spark, ledger.schema)
@@ -117,6 +132,9 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         n_files=n,
         total_mb=total_mb,
     )
-    append_ledger(spark, audit, cfg.ledger, row_count=n)
+    lap("copy")
+    # NOT NULL columns were checked on the pending rows; the copy sets the rest.
+    append_ledger(spark, audit, cfg.ledger, row_count=n, check_nulls=False)
     stats["copied"] = n
+    lap("append")
     return LandingResult(inventory, manifest, ledger, pending, audit, rejected, n, run_dir, stats)

@@ -3,6 +3,13 @@
 Only ``path``, ``modificationTime`` and ``length`` are selected, so the scan's
 ReadSchema never contains ``content`` and no file body is read. Spark skips
 zero-byte files and names starting with ``_`` or ``.``.
+
+Task count: Spark packs ``binaryFile`` splits as if content were read (file
+length plus a 4 MiB open cost per file), so a tree of a million small files, or
+of 100 TB, would become tens of thousands of scan tasks that each only stat a
+few files. The listing is therefore coalesced (no shuffle) to at most
+``max_tasks`` tasks, two per core by default; each task then stats its share
+of the files and emits the metadata rows.
 """
 
 from __future__ import annotations
@@ -18,6 +25,7 @@ def scan_files(
     glob: str | None = None,
     modified_after: str | None = None,
     options: dict[str, str] | None = None,
+    max_tasks: int | None = None,
 ) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
@@ -27,4 +35,7 @@ def scan_files(
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
     paths = [path] if isinstance(path, str) else list(path)
-    return reader.load(paths).select(*LISTING_COLUMNS)
+    listing = reader.load(paths).select(*LISTING_COLUMNS)
+    if max_tasks is None:
+        max_tasks = 2 * spark.sparkContext.defaultParallelism
+    return listing.coalesce(max_tasks) if max_tasks > 0 else listing

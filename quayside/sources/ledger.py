@@ -90,7 +90,9 @@ def append_ledger(
     Rows are aligned by name and cast to the stored schema. The NOT NULL
     contract is checked explicitly (parquet does not keep it). Output files are
     sized from the row count so repeated small appends do not litter the table
-    with one file per copy task.
+    with one file per copy task. ``audit`` is expected to be staged rows (a
+    cheap scan), not a lazy copy plan: it is evaluated by the check and by the
+    write.
     """
     n = audit.count() if row_count is None else row_count
     if n == 0:
@@ -102,7 +104,8 @@ def append_ledger(
     target = ledger_table_schema(spark, ledger)
     aligned = audit.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
     files = max(1, math.ceil(n * _ROW_BYTES / _TARGET_FILE_BYTES))
-    writer = aligned.repartition(files).write.format(ledger.fmt).mode("append")
+    # audit rows are staged parquet: fewer output files without a shuffle
+    writer = aligned.coalesce(files).write.format(ledger.fmt).mode("append")
     if ledger.name is not None:
         writer.saveAsTable(ledger.name)
     else:
