@@ -48,6 +48,15 @@ def q_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_file_inventory_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inv = extract_inventory(spark, _abs(sf_dir), glob="*.parquet", listing="distributed")
+    return inv.select(
+        "source_path",
+        F.unix_seconds("source_modified_at").alias("source_modified_unix"),
+        "source_size_mb",
+    )
+
+
 def q_size_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = st.table(spark, sf_dir, "documents")
     return d.select("doc_id", size_mb("n_chars", 1024).alias("source_size_mb"))
@@ -199,6 +208,7 @@ def q_run_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_inventory": q_file_inventory,
+    "file_inventory_distributed": q_file_inventory_distributed,
     "size_projection": q_size_projection,
     "bucket_path": q_bucket_path,
     "bucket_path_missing": q_bucket_path_missing,
@@ -283,6 +293,11 @@ _ORACLE: dict[str, str] = {
 SELECT 'file:' || filename AS source_path,
        CAST(floor(epoch(last_modified)) AS BIGINT) AS source_modified_unix,
        round(size / 1048576, 2) AS source_size_mb
+FROM {_BLOBS}""",
+    "file_inventory_distributed": f"""
+SELECT 'file:' || filename AS source_path,
+       CAST(floor(epoch(last_modified)) AS BIGINT) AS source_modified_unix,
+       round(size / 1048576, 2) AS source_size_mb
 FROM {_BLOBS}""",
     "size_projection": "SELECT doc_id, round(n_chars / 1024, 2) AS source_size_mb FROM documents",
     "bucket_path": f"""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quayside.functions.paths import size_mb
 from quayside.schema import BYTES_PER_MIB
 from quayside.sources.files import scan_files
+from quayside.sources.listing import list_files
 
 
 def file_inventory(listing: DataFrame, factor: int = BYTES_PER_MIB) -> DataFrame:
@@ -19,6 +20,30 @@ def file_inventory(listing: DataFrame, factor: int = BYTES_PER_MIB) -> DataFrame
     )
 
 
-def extract_inventory(spark: SparkSession, source: str, factor: int = BYTES_PER_MIB, **scan_opts) -> DataFrame:
-    """Scan + projection."""
-    return file_inventory(scan_files(spark, source, **scan_opts), factor)
+def extract_inventory(
+    spark: SparkSession,
+    source: str | list[str],
+    factor: int = BYTES_PER_MIB,
+    glob: str | None = None,
+    listing: str = "binaryFile",
+    staging_dir: str | None = None,
+) -> DataFrame:
+    """Listing + projection.
+
+    ``listing='binaryFile'`` uses Spark's file source (file index on the
+    driver); ``'distributed'`` walks the tree on the executors and stages the
+    listing (for trees with tens of millions of files).
+    """
+    if listing == "binaryFile":
+        return file_inventory(scan_files(spark, source, glob=glob), factor)
+    if listing == "distributed":
+        roots = [source] if isinstance(source, str) else list(source)
+        parts = [
+            list_files(spark, r, f"{staging_dir}/listing-{i}" if staging_dir else None, glob=glob)
+            for i, r in enumerate(roots)
+        ]
+        listed = parts[0]
+        for extra in parts[1:]:
+            listed = listed.unionByName(extra)
+        return file_inventory(listed, factor)
+    raise ValueError("listing must be 'binaryFile' or 'distributed'")

@@ -35,6 +35,7 @@ class LandingConfig:
     rules: PathRules
     factor: int = BYTES_PER_MIB
     glob: str | None = None
+    listing: str = "binaryFile"  # or 'distributed': the tree is walked on the executors
     retry_failed: bool = False
     on_unmapped: str = "fail"  # 'fail' raises before copying; 'reject' sets them apart
     on_collision: str = "fail"  # 'fail' raises when two sources share a landing path; 'allow'
@@ -74,7 +75,9 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     ensure_ledger(spark, cfg.ledger)
     ledger = read_ledger(spark, cfg.ledger)
     lap("ledger")
-    inventory = extract_inventory(spark, cfg.source, cfg.factor, glob=cfg.glob)
+    inventory = extract_inventory(
+        spark, cfg.source, cfg.factor, glob=cfg.glob, listing=cfg.listing, staging_dir=run_dir
+    )
     manifest = build_manifest(inventory, cfg.rules)
 
     # The one evaluation of listing + detection.

@@ -8,6 +8,7 @@ from quayside.operators.inventory import extract_inventory
 from quayside.operators.manifest import PathRules, build_manifest
 from quayside.session import new_run_dir
 from quayside.sources.files import scan_files
+from quayside.sources.listing import list_files
 from quayside.sources.ledger import empty_ledger
 
 from conftest import write_file
@@ -32,6 +33,21 @@ def test_inventory_skips_zero_byte_and_hidden(spark, tmp_path):
     assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
 
+def test_distributed_listing_equals_binary_file(spark, tmp_path):
+    root = _tree(str(tmp_path / "src"))
+    write_file(f"{root}/caged/_skipdir/inner.txt", b"hidden dir")
+    write_file(f"{root}/caged/.dotdir/inner.txt", b"hidden dir")
+    write_file(f"{root}/caged/k=_v/_part=1/kept.txt", b"kept")
+    write_file(f"{root}/caged/deep/a/b/c/d/e.txt", b"deep")
+    dist = list_files(spark, root)
+    spark_scan = scan_files(spark, root)
+    assert dist.count() == spark_scan.count() == 5
+    assert dist.exceptAll(spark_scan).count() == 0 and spark_scan.exceptAll(dist).count() == 0
+    only_txt = list_files(spark, root, glob="*.txt")
+    assert only_txt.exceptAll(scan_files(spark, root, glob="*.txt")).count() == 0
+    assert only_txt.count() == 3
+
+
 def _pending(spark, root, landed):
     rules = PathRules(root=f"file:{landed}", bucket_marker="/src/", landing_marker="/caged/")
     man = build_manifest(extract_inventory(spark, root), rules)

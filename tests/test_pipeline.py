@@ -92,3 +92,12 @@ def test_empty_source_touches_nothing(spark, tmp_path):
     res = _run(spark, cfg)
     assert res.count == 0 and res.audit.count() == 0
     assert read_ledger(spark, cfg.ledger).count() == 0
+
+
+def test_distributed_listing_pipeline(spark, tmp_path):
+    _seed(tmp_path, 6)
+    cfg = _cfg(spark, tmp_path, listing="distributed")
+    assert _run(spark, cfg).count == 6
+    assert _run(spark, cfg).count == 0
+    # the binaryFile listing sees the same paths and times: nothing new either
+    assert _run(spark, replace(cfg, listing="binaryFile")).count == 0
