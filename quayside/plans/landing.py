@@ -13,6 +13,7 @@ copies, so a run that dies part-way is repeated by the next run
 
 from __future__ import annotations
 
+import logging
 import time
 from dataclasses import dataclass, field
 
@@ -21,12 +22,15 @@ from pyspark.sql import functions as F
 
 from quayside.operators.copy import copy_files
 from quayside.operators.detect import pending_files
+from quayside.operators.guards import preview
 from quayside.operators.inventory import extract_inventory
 from quayside.operators.manifest import PathRules, build_manifest
 from quayside.schema import BYTES_PER_MIB
 from quayside.session import new_run_dir
 from quayside.sources.ledger import Ledger, append_ledger, empty_ledger, ensure_ledger, read_ledger
 
+log = logging.getLogger("quayside")
+
 
 @dataclass(frozen=True)
 class LandingConfig:
@@ -43,6 +47,7 @@ class LandingConfig:
     copy_threads: int | None = None  # None: 1 per task on local/HDFS, 16 on object stores
     num_tasks: int | None = None
     staging_dir: str | None = None  # default: a new folder under spark.checkpoint.dir
+    preview_rows: int = 0  # > 0: log the first rows (by source_path) of the pending and audit sets
 
 
 @dataclass
@@ -72,6 +77,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         timings[step] = round(now - clock[0], 4)
         clock[0] = now
 
+    log.info("landing run %s: source=%s ledger=%s", run_dir, cfg.source, cfg.ledger)
     ensure_ledger(spark, cfg.ledger)
     ledger = read_ledger(spark, cfg.ledger)
     lap("ledger")
@@ -100,6 +106,8 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     stats = {"pending": n, "unmapped": n_unmapped, "pending_mb": total_mb, "collisions": n - n_unmapped - n_targets}
     stats["timings"] = timings
     lap("checks")
+    log.info("%d new or updated files (%.2f MiB), %d without a landing path", n, total_mb, n_unmapped)
+    _log_preview("pending", pending, cfg.preview_rows)
 
     if cfg.max_files is not None and n > cfg.max_files:
         raise ValueError(f"{n} files are pending, more than max_files={cfg.max_files}; nothing was copied")
@@ -123,6 +131,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         )
 
     if n == 0:
+        log.info("nothing to copy; the ledger is left as it is")
         audit = empty_ledger(spark, ledger.schema)
         return LandingResult(inventory, manifest, ledger, pending, audit, rejected, 0, run_dir, stats)
 
@@ -140,4 +149,14 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     append_ledger(spark, audit, cfg.ledger, row_count=n, check_nulls=False)
     stats["copied"] = n
     lap("append")
+    status = {r["status"]: r["n"] for r in audit.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    stats["status"] = status
+    log.info("copied %d files: %s; ledger appended", n, status)
+    _log_preview("audit", audit, cfg.preview_rows)
     return LandingResult(inventory, manifest, ledger, pending, audit, rejected, n, run_dir, stats)
+
+
+def _log_preview(label: str, df: DataFrame, rows: int) -> None:
+    if rows > 0 and log.isEnabledFor(logging.INFO):
+        for r in preview(df, rows).collect():
+            log.info("%s: %s", label, r.asDict())
