@@ -1,7 +1,8 @@
 """Command line: run one landing pass with the session spark-submit provides.
 
-    spark-submit -m quayside --source s3a://bucket/caged/ --ledger-table meta.landing \\
-        --root abfss://lake/Files/Landing/caged --bucket-marker /Files/ --landing-marker /caged/
+    spark-submit --py-files quayside.zip quayside/__main__.py --source s3a://bucket/caged/ \\
+        --ledger-table meta.landing --root abfss://lake/Files/Landing/caged \\
+        --bucket-marker /Files/ --landing-marker /caged/
 """
 
 from __future__ import annotations
