@@ -123,7 +123,7 @@ def list_files(
         n_dirs = frontier.count()
         level += 1
     return (
-        spark.read.parquet(f"{staging_dir}/level-*")
+        spark.read.parquet(*[f"{staging_dir}/level-{i:05d}" for i in range(level)])
         .filter(F.col("kind") == "file")
         .select("path", "modificationTime", "length")
     )

@@ -103,3 +103,21 @@ def test_matches_python_model(spark, man, led, retry):
     man_rows = list(man.items())
     led_rows = [(p, t, "SUCCESS" if ok else "ERROR") for p, t, ok in led]
     assert pending_set(spark, man_rows, led_rows, retry_failed=retry) == _model(man_rows, led, retry)
+
+
+def test_shuffle_join_plan_has_two_exchanges(spark, tmp_path):
+    led_dir, man_dir = str(tmp_path / "ledger"), str(tmp_path / "manifest")
+    ledger(spark, [("a", T1), ("a", T2), ("b", T1)]).write.parquet(led_dir)
+    manifest(spark, [("a", T3), ("c", T1)]).write.parquet(man_dir)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = pending_files(spark.read.parquet(man_dir), spark.read.parquet(led_dir))
+        assert sorted(r[0] for r in plan.collect()) == ["a", "c"]
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in text and "LeftOuter" in text
+    # one shuffle per side: the aggregate's hash partitioning is reused by the join
+    final = text.split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning(source_path") == 2

@@ -101,3 +101,30 @@ def test_distributed_listing_pipeline(spark, tmp_path):
     assert _run(spark, cfg).count == 0
     # the binaryFile listing sees the same paths and times: nothing new either
     assert _run(spark, replace(cfg, listing="binaryFile")).count == 0
+
+
+def test_one_snapshot_per_run(spark, tmp_path, monkeypatch):
+    """Files added or changed after the pending set is staged are left for the next run."""
+    import quayside.plans.landing as landing
+
+    _seed(tmp_path, 3)
+    real_copy = landing.copy_files
+    late_new = f"{tmp_path}/bucket/caged/d0/late.txt"
+    changed = f"{tmp_path}/bucket/caged/d1/f1.txt"
+
+    def copy_after_changes(*args, **kwargs):
+        write_file(late_new, b"arrived during the run", mtime=1_750_000_000)
+        write_file(changed, b"changed during the run", mtime=1_750_000_000)
+        return real_copy(*args, **kwargs)
+
+    monkeypatch.setattr(landing, "copy_files", copy_after_changes)
+    cfg = _cfg(spark, tmp_path)
+    first = _run(spark, cfg)
+    rows = {os.path.basename(r["source_path"]): r for r in first.audit.collect()}
+    assert first.count == first.stats["pending"] == 3 and set(rows) == {"f0.txt", "f1.txt", "f2.txt"}
+    assert first.pending.count() == 3
+    # the recorded version is the one detected, not the one found at copy time
+    assert rows["f1.txt"]["source_modified_at"].timestamp() == 1_700_000_001
+    monkeypatch.setattr(landing, "copy_files", real_copy)
+    second = _run(spark, cfg)
+    assert sorted(os.path.basename(r["source_path"]) for r in second.audit.collect()) == ["f1.txt", "late.txt"]
