@@ -46,6 +46,7 @@ class LandingConfig:
     max_files: int | None = None  # None: no cap (the copy is distributed)
     copy_threads: int | None = None  # None: 1 per task on local/HDFS, 16 on object stores
     num_tasks: int | None = None
+    copier: object = None  # optional (source_uri, target_uri) -> None replacing the pyarrow copy
     staging_dir: str | None = None  # default: a new folder under spark.checkpoint.dir
     preview_rows: int = 0  # > 0: log the first rows (by source_path) of the pending and audit sets
 
@@ -143,6 +144,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         threads=cfg.copy_threads,
         n_files=n,
         total_mb=total_mb,
+        copier=cfg.copier,
     )
     lap("copy")
     # NOT NULL columns were checked on the pending rows; the copy sets the rest.

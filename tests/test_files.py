@@ -112,3 +112,24 @@ def test_copy_plan_uses_requested_tasks(spark, tmp_path):
     assert plan.rdd.getNumPartitions() == 3
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" in text and "hashpartitioning(source_path" in text
+
+
+def test_custom_copier(spark, tmp_path):
+    def _shutil_copier(src, dst):  # nested: shipped to the workers by value
+        import os
+        import shutil
+
+        src, dst = src.replace("file:", "", 1), dst.replace("file:", "", 1)
+        if src.endswith("one.txt"):
+            raise PermissionError("refused by the custom copier")
+        os.makedirs(os.path.dirname(dst), exist_ok=True)
+        shutil.copyfile(src, dst)
+
+    root = _tree(str(tmp_path / "src"))
+    landed = str(tmp_path / "landed")
+    run = new_run_dir(spark, "test-copier")
+    rows = {os.path.basename(r["source_path"]): r for r in copy_files(
+        spark, _pending(spark, root, landed), f"{run}/audit", copier=_shutil_copier).collect()}
+    assert rows["one.txt"]["status"] == "ERROR" and "refused" in rows["one.txt"]["error"]
+    assert rows["two.csv"]["status"] == rows["three.bin"]["status"] == "SUCCESS"
+    assert os.path.getsize(f"{landed}/c/three.bin") == 3 * 1024 * 1024 + 7
