@@ -51,7 +51,7 @@ def plan_copy_tasks(
     spark: SparkSession,
     n_files: int,
     total_mb: float,
-    files_per_task: int = 256,
+    files_per_task: int = 1000,
     mb_per_task: float = 2048.0,
 ) -> int:
     """Number of copy tasks: enough that no task holds more than
@@ -181,7 +181,7 @@ def _copier(threads: int | None, chunk_bytes: int, copier=None):
                 out = pdf[MANIFEST_COLUMNS].copy()
                 out["copied_at"] = pd.to_datetime([r[2] for r in results], utc=True)
                 out["status"] = [r[0] for r in results]
-                out["error"] = pd.Series([r[1] for r in results], dtype=object)
+                out["error"] = [r[1] for r in results]
                 yield out
         finally:
             if pool:
