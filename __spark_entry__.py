@@ -20,9 +20,9 @@ from pyspark.sql import functions as F  # noqa: E402
 from quayside.functions.paths import landing_path, path_after, size_mb  # noqa: E402
 from quayside.operators.copy import audit_records, copy_files  # noqa: E402
 from quayside.operators.detect import latest_versions, pending_files  # noqa: E402
-from quayside.operators.guards import pending_summary, preview  # noqa: E402
+from quayside.operators.guards import pending_summary, preview, target_collisions  # noqa: E402
 from quayside.operators.inventory import extract_inventory  # noqa: E402
-from quayside.operators.manifest import PathRules, build_manifest  # noqa: E402
+from quayside.operators.manifest import PathRules, build_manifest, unmapped  # noqa: E402
 from quayside.plans.landing import LandingConfig, run_landing  # noqa: E402
 from quayside.session import new_run_dir  # noqa: E402
 from quayside.sources import standins as st  # noqa: E402
@@ -96,6 +96,15 @@ def q_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_manifest(st.documents_inventory(spark, sf_dir), st.STANDIN_RULES)
 
 
+def q_unmapped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    man = build_manifest(st.pages_inventory(spark, sf_dir), st.PAGES_RULES)
+    return unmapped(man).select("source_path", "bucket_path", "lakehouse_path")
+
+
+def q_landing_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_collisions(build_manifest(st.pages_inventory(spark, sf_dir), st.PAGES_RULES))
+
+
 # ---------------------------------------------------------------- detection
 def q_latest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_versions(st.lineitem_ledger(spark, sf_dir))
@@ -217,6 +226,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_path_strip_one": q_landing_path_strip_one,
     "landing_path_strip_any": q_landing_path_strip_any,
     "manifest": q_manifest,
+    "unmapped_rows": q_unmapped_rows,
+    "landing_collisions": q_landing_collisions,
     "latest_versions": q_latest_versions,
     "pending_files": q_pending_files,
     "pending_first_load": q_pending_first_load,
@@ -325,6 +336,14 @@ FROM (SELECT {_DOC_PATH} AS source_path,
              TIMESTAMP '{st.DOC_EPOCH}' + to_seconds(doc_id) AS source_modified_at,
              round(n_chars / 1024, 2) AS source_size_mb
       FROM documents)""",
+    "unmapped_rows": f"""
+SELECT url AS source_path, {_after('url', '://')} AS bucket_path, CAST(NULL AS VARCHAR) AS lakehouse_path
+FROM pages WHERE strpos(url, '/en/') = 0""",
+    "landing_collisions": f"""
+SELECT lakehouse_path, count(*) AS n_sources
+FROM (SELECT regexp_replace({_landing('url', '/en/', st.PAGES_ROOT)}, '\\.\\w+$', '') AS lakehouse_path FROM pages)
+WHERE lakehouse_path IS NOT NULL
+GROUP BY lakehouse_path HAVING count(*) > 1""",
     "latest_versions": f"""
 SELECT {_LINE_PATH} AS source_path, max(l_shipdate) AS latest_copied_time
 FROM lineitem GROUP BY 1""",

@@ -106,3 +106,16 @@ def events_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", F.lit(STATUS_ERROR)).otherwise(F.lit(STATUS_SUCCESS)).alias("status"),
         F.when(F.col("event_type") == "error", F.lit("copy failed")).alias("error"),
     )
+
+
+PAGES_RULES = PathRules(root=PAGES_ROOT, bucket_marker="://", landing_marker="/en/", strip_ext="*")
+
+
+def pages_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page URL as a source path; time = DOC_EPOCH + page_id s; size from the html length."""
+    p = table(spark, sf_dir, "pages")
+    return p.select(
+        F.col("url").alias("source_path"),
+        F.expr(f"timestampadd(SECOND, page_id, TIMESTAMP_NTZ '{DOC_EPOCH}')").alias("source_modified_at"),
+        size_mb(F.length("html"), 1024).alias("source_size_mb"),
+    )
