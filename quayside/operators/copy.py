@@ -140,7 +140,12 @@ def _copier(threads: int | None, chunk_bytes: int, copier=None):
                 )
                 try:
                     if sfs.equals(dfs):
-                        sfs.copy_file(spath, tmp)
+                        try:
+                            # server-side on object stores: no bytes through the executor
+                            sfs.copy_file(spath, tmp)
+                        except OSError:
+                            # e.g. single-request copy size limits: fall back to streaming
+                            stream(sfs, spath, dfs, tmp)
                     else:
                         stream(sfs, spath, dfs, tmp)
                     if atomic:

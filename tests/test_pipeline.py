@@ -128,3 +128,35 @@ def test_one_snapshot_per_run(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(landing, "copy_files", real_copy)
     second = _run(spark, cfg)
     assert sorted(os.path.basename(r["source_path"]) for r in second.audit.collect()) == ["f1.txt", "late.txt"]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_names = st.sampled_from([f"d{i % 3}/f{i}.txt" for i in range(12)])
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    first=st.dictionaries(_names, st.integers(1, 5), min_size=1, max_size=8),
+    changes=st.dictionaries(_names, st.integers(0, 6), max_size=6),
+)
+def test_pipeline_property(spark, tmp_path_factory, first, changes):
+    """Second pass copies exactly the new or strictly newer files; a third finds nothing."""
+    base = tmp_path_factory.mktemp("prop")
+    for rel, t in first.items():
+        write_file(f"{base}/bucket/caged/{rel}", f"{rel}@{t}".encode(), mtime=1_600_000_000 + t)
+    cfg = _cfg(spark, base)
+    assert _run(spark, cfg).count == len(first)
+    expected = set()
+    for rel, t in changes.items():
+        write_file(f"{base}/bucket/caged/{rel}", f"{rel}@{t}!".encode(), mtime=1_600_000_000 + t)
+        if rel not in first or t > first[rel]:
+            expected.add(rel)
+    second = _run(spark, cfg)
+    got = {r["source_path"].split("/caged/", 1)[1] for r in second.audit.collect()}
+    assert got == expected and second.count == len(expected)
+    for rel in expected:
+        with open(f"{base}/landed/{rel}", "rb") as fh:
+            assert fh.read().endswith(b"!")
+    assert _run(spark, cfg).count == 0
