@@ -13,9 +13,17 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "quayside") -> SparkSession:
+def build_session(
+    cpus: int | str = "*",
+    shuffle_partitions: int = 8,
+    app: str = "quayside",
+    extra: dict[str, str] | None = None,
+) -> SparkSession:
+    builder = SparkSession.builder
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,9 @@ from quayside.session import build_session, checkpoint_root  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(cpus=4, shuffle_partitions=8, app="quayside-tests")
+    warehouse = tempfile.mkdtemp(prefix="quayside-warehouse-")
+    s = build_session(cpus=4, shuffle_partitions=8, app="quayside-tests",
+                      extra={"spark.sql.warehouse.dir": warehouse})
     checkpoint_root(s)  # sets one only when the session names none
     yield s
 
