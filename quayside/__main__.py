@@ -33,7 +33,7 @@ def parse(argv: list[str]) -> LandingConfig:
     ap.add_argument("--keep-tail", action="store_true", help="keep everything after the first landing marker")
     ap.add_argument("--strip-ext", default=None, help="drop this extension from landing paths, '*' for any")
     ap.add_argument("--glob", default=None, help="only file names matching this pattern")
-    ap.add_argument("--listing", default="binaryFile", choices=["binaryFile", "distributed"])
+    ap.add_argument("--listing", default="distributed", choices=["binaryFile", "distributed"])
     ap.add_argument("--retry-failed", action="store_true", help="retry files whose last copy failed")
     ap.add_argument("--on-unmapped", default="fail", choices=["fail", "reject"])
     ap.add_argument("--on-collision", default="fail", choices=["fail", "allow"])

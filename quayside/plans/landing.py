@@ -39,7 +39,7 @@ class LandingConfig:
     rules: PathRules
     factor: int = BYTES_PER_MIB
     glob: str | None = None
-    listing: str = "binaryFile"  # or 'distributed': the tree is walked on the executors
+    listing: str = "distributed"  # tree walked on the executors; 'binaryFile': Spark's driver-side file index
     retry_failed: bool = False
     on_unmapped: str = "fail"  # 'fail' raises before copying; 'reject' sets them apart
     on_collision: str = "fail"  # 'fail' raises when two sources share a landing path; 'allow'

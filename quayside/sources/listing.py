@@ -3,13 +3,17 @@
 ``binaryFile`` (``scan_files``) builds its file index on the driver: every
 file's status is held there before the first task runs, which stops scaling
 somewhere in the tens of millions of files. ``list_files`` keeps the driver
-out of it. Level 0 is the root directory; each level is one Spark job whose
-tasks list the direct children of a share of that level's directories (hash
-partitioned on the directory path) with ``pyarrow.fs`` and write file rows and
-subdirectory rows to a staging folder. The next level's input is the staged
-subdirectories, so the driver only ever holds one count per level; the walk
-ends when a level finds no subdirectory. The result is read back from staging:
-the listing is evaluated once, however often it is used.
+out of it. Each round is one Spark job: the round's directories are hash
+partitioned over the tasks, and each task lists its directories with
+``pyarrow.fs``, then keeps descending breadth-first into the subdirectories it
+found while it has listed fewer than ``budget`` entries. Files are written to a
+staging folder as they are found; subdirectories it did not get to are written
+as the next round's input. A small tree is therefore listed by one task in one
+round, a large one fans out over the cluster after the first round, and no task
+lists more than its own directories plus ``budget`` entries. The driver only
+holds one count per round; the walk ends when a round leaves no directory. The
+result is read back from staging: the listing is evaluated once, however often
+it is used.
 
 Visibility follows Spark's own listing, so both listings return the same rows:
 names starting with ``_`` (unless they contain ``=``) or ``.``, and names
@@ -38,11 +42,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _LEVEL_SCHEMA = "kind string, path string, modificationTime timestamp, length long"
 _BATCH_ROWS = 20_000
+_BUDGET = 50_000
 
 
-def _lister(glob: str | None):
+def _lister(glob: str | None, budget: int):
     def run(batches):
         import fnmatch
+        from collections import deque
 
         import pandas as pd
         import pyarrow.fs as pafs
@@ -73,9 +79,15 @@ def _lister(glob: str | None):
             pdf["modificationTime"] = pd.to_datetime(pdf["ms"], unit="ms", utc=True)
             return pdf[["kind", "path", "modificationTime", "length"]]
 
+        rows: list = []
+        listed = 0  # entries listed by this task, across its batches
         for pdf in batches:
-            rows = []
-            for parent in pdf["dir"]:
+            queue = deque((d, True) for d in pdf["dir"])
+            while queue:
+                parent, must = queue.popleft()
+                if not must and listed >= budget:
+                    rows.append(("dir", parent, None, None))  # left for the next round
+                    continue
                 fs, ppath = resolve(parent)
                 selector = pafs.FileSelector(ppath, recursive=False, allow_not_found=True)
                 base = parent.rstrip("/")
@@ -83,8 +95,9 @@ def _lister(glob: str | None):
                     name = info.base_name
                     if hidden(name):
                         continue
+                    listed += 1
                     if info.type == pafs.FileType.Directory:
-                        rows.append(("dir", f"{base}/{name}", None, None))
+                        queue.append((f"{base}/{name}", False))
                     elif info.type == pafs.FileType.File and info.size:
                         if glob and not fnmatch.fnmatchcase(name, glob):
                             continue
@@ -92,8 +105,8 @@ def _lister(glob: str | None):
                     if len(rows) >= _BATCH_ROWS:
                         yield frame(rows)
                         rows = []
-            if rows:
-                yield frame(rows)
+        if rows:
+            yield frame(rows)
 
     return run
 
@@ -104,6 +117,7 @@ def list_files(
     staging_dir: str | None = None,
     glob: str | None = None,
     max_tasks: int | None = None,
+    budget: int = _BUDGET,
 ) -> DataFrame:
     """List every visible file under ``root`` on the executors; see the module doc."""
     staging_dir = staging_dir or new_run_dir(spark, "listing")
@@ -115,7 +129,7 @@ def list_files(
         out = f"{staging_dir}/level-{level:05d}"
         (
             frontier.repartition(max(1, min(n_dirs, cap)), "dir")
-            .mapInPandas(_lister(glob), _LEVEL_SCHEMA)
+            .mapInPandas(_lister(glob, budget), _LEVEL_SCHEMA)
             .write.mode("errorifexists")
             .parquet(out)
         )

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators.copy import copy_files, copy_plan
@@ -33,17 +34,18 @@ def test_inventory_skips_zero_byte_and_hidden(spark, tmp_path):
     assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
 
-def test_distributed_listing_equals_binary_file(spark, tmp_path):
+@pytest.mark.parametrize("budget", [1, 3, 50_000])
+def test_distributed_listing_equals_binary_file(spark, tmp_path, budget):
     root = _tree(str(tmp_path / "src"))
     write_file(f"{root}/caged/_skipdir/inner.txt", b"hidden dir")
     write_file(f"{root}/caged/.dotdir/inner.txt", b"hidden dir")
     write_file(f"{root}/caged/k=_v/_part=1/kept.txt", b"kept")
     write_file(f"{root}/caged/deep/a/b/c/d/e.txt", b"deep")
-    dist = list_files(spark, root)
+    dist = list_files(spark, root, budget=budget)
     spark_scan = scan_files(spark, root)
     assert dist.count() == spark_scan.count() == 5
     assert dist.exceptAll(spark_scan).count() == 0 and spark_scan.exceptAll(dist).count() == 0
-    only_txt = list_files(spark, root, glob="*.txt")
+    only_txt = list_files(spark, root, glob="*.txt", budget=budget)
     assert only_txt.exceptAll(scan_files(spark, root, glob="*.txt")).count() == 0
     assert only_txt.count() == 3
 

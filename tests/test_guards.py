@@ -53,9 +53,10 @@ def test_unmapped_and_collisions(spark):
 
 def test_cli_parse():
     cfg = parse(["--source", "s3a://b/caged/", "--ledger-path", "/l", "--root", "R", "--strip-ext", "*",
-                 "--retry-failed", "--max-files", "500", "--listing", "distributed"])
+                 "--retry-failed", "--max-files", "500", "--listing", "binaryFile"])
     assert cfg.source == "s3a://b/caged/" and cfg.ledger.path == "/l" and cfg.ledger.fmt == "parquet"
     assert cfg.rules.root == "R" and cfg.rules.strip_ext == "*" and cfg.retry_failed and cfg.max_files == 500
-    assert cfg.listing == "distributed"
+    assert cfg.listing == "binaryFile"
+    assert parse(["--source", "x", "--ledger-path", "/l", "--root", "R"]).listing == "distributed"
     with pytest.raises(SystemExit):
         parse(["--source", "x", "--root", "R"])  # a ledger is required

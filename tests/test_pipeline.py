@@ -94,13 +94,13 @@ def test_empty_source_touches_nothing(spark, tmp_path):
     assert read_ledger(spark, cfg.ledger).count() == 0
 
 
-def test_distributed_listing_pipeline(spark, tmp_path):
+def test_listing_modes_agree_in_pipeline(spark, tmp_path):
     _seed(tmp_path, 6)
-    cfg = _cfg(spark, tmp_path, listing="distributed")
+    cfg = _cfg(spark, tmp_path, listing="binaryFile")
     assert _run(spark, cfg).count == 6
     assert _run(spark, cfg).count == 0
-    # the binaryFile listing sees the same paths and times: nothing new either
-    assert _run(spark, replace(cfg, listing="binaryFile")).count == 0
+    # the distributed listing sees the same paths and times: nothing new either
+    assert _run(spark, replace(cfg, listing="distributed")).count == 0
 
 
 def test_one_snapshot_per_run(spark, tmp_path, monkeypatch):
