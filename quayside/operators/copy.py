@@ -231,5 +231,6 @@ def copy_files(
             ).first()
             n_files, total_mb = row["n"], row["mb"]
         num_tasks = plan_copy_tasks(spark, n_files, total_mb)
-    copy_plan(pending, num_tasks, threads, copier=copier).write.mode("errorifexists").parquet(staging_dir)
-    return spark.read.parquet(staging_dir)
+    plan = copy_plan(pending, num_tasks, threads, copier=copier)
+    plan.write.mode("errorifexists").parquet(staging_dir)
+    return spark.read.schema(plan.schema).parquet(staging_dir)

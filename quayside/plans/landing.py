@@ -90,7 +90,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     # The one evaluation of listing + detection.
     pending_plan = pending_files(manifest, ledger, cfg.retry_failed)
     pending_plan.write.mode("errorifexists").parquet(f"{run_dir}/pending")
-    pending = spark.read.parquet(f"{run_dir}/pending")
+    pending = spark.read.schema(pending_plan.schema).parquet(f"{run_dir}/pending")
     lap("detect_and_stage")
 
     # One aggregate job answers every pre-copy question: size of the batch,

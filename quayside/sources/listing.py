@@ -133,11 +133,13 @@ def list_files(
             .write.mode("errorifexists")
             .parquet(out)
         )
-        frontier = spark.read.parquet(out).filter(F.col("kind") == "dir").select(F.col("path").alias("dir"))
+        staged = spark.read.schema(_LEVEL_SCHEMA).parquet(out)  # known schema: no inference job
+        frontier = staged.filter(F.col("kind") == "dir").select(F.col("path").alias("dir"))
         n_dirs = frontier.count()
         level += 1
     return (
-        spark.read.parquet(*[f"{staging_dir}/level-{i:05d}" for i in range(level)])
+        spark.read.schema(_LEVEL_SCHEMA)
+        .parquet(*[f"{staging_dir}/level-{i:05d}" for i in range(level)])
         .filter(F.col("kind") == "file")
         .select("path", "modificationTime", "length")
     )
