@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.schema import MANIFEST_COLUMNS, STATUS_ERROR, STATUS_SUCCESS, audit_schema
+from quayside.sources.fsuri import FileSystems
 
 # Ship this module's task code by value: executors need pyarrow/pandas only.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -90,24 +91,7 @@ def _copier(threads: int | None, chunk_bytes: int, copier=None):
         import pandas as pd
         import pyarrow.fs as pafs
 
-        cache: dict = {}
-
-        def resolve(uri: str):
-            if uri.startswith("file:"):
-                path = uri[len("file:"):]
-                while path.startswith("//"):
-                    path = path[1:]
-                key = "file"
-                if key not in cache:
-                    cache[key] = pafs.LocalFileSystem()
-                return cache[key], path
-            if "://" not in uri:
-                if "local" not in cache:
-                    cache["local"] = pafs.LocalFileSystem()
-                return cache["local"], uri
-            fs, path = pafs.FileSystem.from_uri(uri)
-            key = "/".join(uri.split("/", 3)[:3])
-            return cache.setdefault(key, fs), path
+        resolve = FileSystems().resolve
 
         def stream(sfs, spath, dfs, dpath):
             with sfs.open_input_stream(spath) as src, dfs.open_output_stream(dpath) as dst:

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.session import new_run_dir, qualify
+from quayside.sources.fsuri import FileSystems
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -58,21 +59,7 @@ def _lister(glob: str | None, budget: int):
             kept = name.startswith("_common_metadata") or name.startswith("_metadata")
             return excluded and not kept
 
-        cache: dict = {}
-
-        def resolve(uri: str):
-            if uri.startswith("file:") or "://" not in uri:
-                fs = cache.setdefault("file", pafs.LocalFileSystem())
-                path = uri[len("file:"):] if uri.startswith("file:") else uri
-                while path.startswith("//"):
-                    path = path[1:]
-                return fs, path
-            scheme, rest = uri.split("://", 1)
-            if scheme in ("s3a", "s3n"):
-                uri = "s3://" + rest
-            key = uri.split("/", 3)[:3]
-            fs, path = pafs.FileSystem.from_uri(uri)
-            return cache.setdefault("/".join(key), fs), path
+        resolve = FileSystems().resolve
 
         def frame(rows):
             pdf = pd.DataFrame(rows, columns=["kind", "path", "ms", "length"])

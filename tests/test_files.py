@@ -135,3 +135,29 @@ def test_custom_copier(spark, tmp_path):
     assert rows["one.txt"]["status"] == "ERROR" and "refused" in rows["one.txt"]["error"]
     assert rows["two.csv"]["status"] == rows["three.bin"]["status"] == "SUCCESS"
     assert os.path.getsize(f"{landed}/c/three.bin") == 3 * 1024 * 1024 + 7
+
+
+def test_split_uri_keeps_path_verbatim():
+    from quayside.sources.fsuri import split_uri
+
+    assert split_uri("file:/tmp/a b/h#x?.txt") == (None, "/tmp/a b/h#x?.txt")
+    assert split_uri("file:///tmp/x") == (None, "/tmp/x")
+    assert split_uri("/tmp/x") == (None, "/tmp/x")
+    assert split_uri("s3a://bucket/dir/h#x?y%20.txt") == ("s3://bucket/", "dir/h#x?y%20.txt")
+    assert split_uri("abfss://c@acct.dfs.core.windows.net/p/q") == ("abfss://c@acct.dfs.core.windows.net/", "p/q")
+    assert split_uri("hdfs://nn:8020/") == ("hdfs://nn:8020/", "")
+
+
+def test_copy_names_with_uri_characters(spark, tmp_path):
+    root = str(tmp_path / "src")
+    names = ["a b.txt", "p%20q.txt", "h#x.txt", "q?y.txt", "é ü.txt", "k=v.txt"]
+    for n in names:
+        write_file(f"{root}/caged/dir one/{n}", n.encode())
+    landed = str(tmp_path / "landed")
+    run = new_run_dir(spark, "test-names")
+    rows = copy_files(spark, _pending(spark, root, landed), f"{run}/audit").collect()
+    assert sorted(r["status"] for r in rows) == ["SUCCESS"] * len(names)
+    for n in names:
+        with open(f"{landed}/dir one/{n}", "rb") as fh:
+            assert fh.read() == n.encode()
+    assert sorted(r[0] for r in list_files(spark, root).collect()) == sorted(r[0] for r in scan_files(spark, root).collect())
