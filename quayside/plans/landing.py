@@ -8,7 +8,8 @@ appending to the ledger cannot change an already computed pending set.
 
 Failure model: copies are idempotent and the audit append happens after all
 copies, so a run that dies part-way is repeated by the next run
-(at-least-once landing, exactly one ledger row per completed copy attempt).
+(at-least-once landing; a file gets a ledger row from each run that reaches
+its append, and a run that dies before the append leaves no row).
 """
 
 from __future__ import annotations
