@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.schema import MANIFEST_COLUMNS, STATUS_ERROR, STATUS_SUCCESS, audit_schema
+from quayside.session import qualify
 from quayside.sources.fsuri import FileSystems
 
 # Ship this module's task code by value: executors need pyarrow/pandas only.
@@ -69,7 +70,7 @@ def plan_copy_tasks(
     return int(max(1, min(want, n_files)))
 
 
-def _copier(threads: int | None, chunk_bytes: int, copier=None):
+def _copier(threads: int | None, chunk_bytes: int, copier=None, relative_to: str | None = None):
     """Build the per-task function given to ``mapInPandas``.
 
     ``threads=None`` picks the pool size from the target file system: copies to
@@ -80,6 +81,10 @@ def _copier(threads: int | None, chunk_bytes: int, copier=None):
     ``copier``: an optional picklable ``(source_uri, target_uri) -> None`` that
     replaces the built-in ``pyarrow.fs`` copy (for stores pyarrow cannot open);
     it must overwrite the target and raise on failure.
+
+    ``relative_to``: a qualified base URI for landing paths given without a
+    scheme and not absolute (Spark resolves such paths against the default file
+    system's working directory; the ledger keeps them as given).
     """
 
     def run(batches):
@@ -103,10 +108,16 @@ def _copier(threads: int | None, chunk_bytes: int, copier=None):
 
         made_dirs: set = set()
 
+        def absolute(uri):
+            if relative_to and "://" not in uri and not uri.startswith(("/", "file:")):
+                return relative_to.rstrip("/") + "/" + uri
+            return uri
+
         def copy_one(src_uri, dst_uri):
             try:
                 if dst_uri is None or src_uri is None:
                     raise ValueError("no landing path for this source")
+                dst_uri = absolute(dst_uri)
                 if copier is not None:
                     copier(src_uri, dst_uri)
                     return STATUS_SUCCESS, None, datetime.now(timezone.utc)
@@ -154,7 +165,7 @@ def _copier(threads: int | None, chunk_bytes: int, copier=None):
             if first is None:
                 return 1
             try:
-                fs_type = resolve(first)[0].type_name
+                fs_type = resolve(absolute(first))[0].type_name
             except Exception:
                 return 1
             return 1 if fs_type in ("local", "hdfs") else 16
@@ -185,6 +196,7 @@ def copy_plan(
     threads: int | None = None,
     chunk_bytes: int = _CHUNK_BYTES,
     copier=None,
+    relative_to: str | None = None,
 ) -> DataFrame:
     """The lazy copy: each evaluation copies again, so evaluate it once
     (``copy_files`` does)."""
@@ -192,7 +204,7 @@ def copy_plan(
     return (
         pending.select(*MANIFEST_COLUMNS)
         .repartition(max(1, num_tasks), F.col("source_path"))
-        .mapInPandas(_copier(threads, chunk_bytes, copier), schema)
+        .mapInPandas(_copier(threads, chunk_bytes, copier, relative_to), schema)
     )
 
 
@@ -205,9 +217,15 @@ def copy_files(
     n_files: int | None = None,
     total_mb: float | None = None,
     copier=None,
+    relative_to: str | None = None,
 ) -> DataFrame:
     """Copy every pending file on the executors, stage the audit rows once
-    at ``staging_dir`` (parquet), and return them read back from there."""
+    at ``staging_dir`` (parquet), and return them read back from there.
+
+    Relative landing paths resolve against ``relative_to``, by default the
+    default file system's working directory, as Spark resolves them."""
+    if relative_to is None:
+        relative_to = qualify(spark, ".")
     if num_tasks is None:
         if n_files is None or total_mb is None:
             row = pending.agg(
@@ -215,6 +233,6 @@ def copy_files(
             ).first()
             n_files, total_mb = row["n"], row["mb"]
         num_tasks = plan_copy_tasks(spark, n_files, total_mb)
-    plan = copy_plan(pending, num_tasks, threads, copier=copier)
+    plan = copy_plan(pending, num_tasks, threads, copier=copier, relative_to=relative_to)
     plan.write.mode("errorifexists").parquet(staging_dir)
     return spark.read.schema(plan.schema).parquet(staging_dir)

@@ -161,3 +161,14 @@ def test_copy_names_with_uri_characters(spark, tmp_path):
         with open(f"{landed}/dir one/{n}", "rb") as fh:
             assert fh.read() == n.encode()
     assert sorted(r[0] for r in list_files(spark, root).collect()) == sorted(r[0] for r in scan_files(spark, root).collect())
+
+
+def test_relative_landing_paths_resolve_against_base(spark, tmp_path):
+    root = _tree(str(tmp_path / "src"))
+    rules = PathRules(root="Files/Landing", bucket_marker="/src/", landing_marker="/caged/")
+    pend = pending_files(build_manifest(extract_inventory(spark, root), rules), empty_ledger(spark))
+    run = new_run_dir(spark, "test-relative")
+    rows = copy_files(spark, pend, f"{run}/audit", relative_to=f"file:{tmp_path}/base").collect()
+    assert {r["status"] for r in rows} == {"SUCCESS"}
+    assert {r["lakehouse_path"] for r in rows} == {"Files/Landing/a/one.txt", "Files/Landing/a/b/two.csv", "Files/Landing/c/three.bin"}
+    assert os.path.getsize(f"{tmp_path}/base/Files/Landing/c/three.bin") == 3 * 1024 * 1024 + 7
