@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.session import new_run_dir, qualify
+from quayside.sources.files import scan_files
 from quayside.sources.fsuri import FileSystems
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -98,6 +99,16 @@ def _lister(glob: str | None, budget: int):
     return run
 
 
+def _root_status(spark: SparkSession, root: str) -> str | None:
+    """'dir', 'file' or None (absent), asked once on the driver."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    return "dir" if fs.getFileStatus(p).isDirectory() else "file"
+
+
 def list_files(
     spark: SparkSession,
     root: str,
@@ -109,6 +120,11 @@ def list_files(
     """List every visible file under ``root`` on the executors; see the module doc."""
     staging_dir = staging_dir or new_run_dir(spark, "listing")
     root = qualify(spark, root)
+    status = _root_status(spark, root)
+    if status is None:
+        raise FileNotFoundError(f"listing root does not exist: {root}")
+    if status == "file":  # like binaryFile: a file root lists that file
+        return scan_files(spark, root, max_tasks=1)
     cap = max_tasks or 4 * spark.sparkContext.defaultParallelism
     frontier = spark.createDataFrame([(root,)], "dir string")
     n_dirs, level = 1, 0

@@ -172,3 +172,10 @@ def test_relative_landing_paths_resolve_against_base(spark, tmp_path):
     assert {r["status"] for r in rows} == {"SUCCESS"}
     assert {r["lakehouse_path"] for r in rows} == {"Files/Landing/a/one.txt", "Files/Landing/a/b/two.csv", "Files/Landing/c/three.bin"}
     assert os.path.getsize(f"{tmp_path}/base/Files/Landing/c/three.bin") == 3 * 1024 * 1024 + 7
+
+
+def test_distributed_listing_root_cases(spark, tmp_path):
+    one = write_file(f"{tmp_path}/single/only.txt", b"x")
+    assert [r[0] for r in list_files(spark, one).collect()] == [r[0] for r in scan_files(spark, one).collect()]
+    with pytest.raises(FileNotFoundError):
+        list_files(spark, str(tmp_path / "missing"))
