@@ -24,6 +24,7 @@ from quayside.operators.guards import pending_summary, preview, target_collision
 from quayside.operators.inventory import extract_inventory  # noqa: E402
 from quayside.operators.manifest import PathRules, build_manifest, unmapped  # noqa: E402
 from quayside.plans.landing import LandingConfig, run_landing  # noqa: E402
+from quayside.schema import REFERENCE_MAX_FILES  # noqa: E402
 from quayside.session import new_run_dir  # noqa: E402
 from quayside.sources import standins as st  # noqa: E402
 from quayside.sources.files import scan_files  # noqa: E402
@@ -31,7 +32,7 @@ from quayside.sources.ledger import Ledger, append_ledger, empty_ledger, ensure_
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 ORACLE_DIR = "/root/testdata/sf0.01"
-MAX_FILES = 500
+MAX_FILES = REFERENCE_MAX_FILES
 
 
 def _abs(sf_dir: str) -> str:

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 from quayside.operators.manifest import PathRules
 from quayside.plans.landing import LandingConfig, run_landing
+from quayside.schema import DEFAULT_BUCKET_MARKER, DEFAULT_LANDING_MARKER
 from quayside.sources.ledger import Ledger
 
 
@@ -27,8 +28,8 @@ def parse(argv: list[str]) -> LandingConfig:
     led.add_argument("--ledger-path", help="storage path of the ledger")
     ap.add_argument("--format", default="parquet", help="ledger table format (parquet, delta, ...)")
     ap.add_argument("--root", required=True, help="landing root; files land at <root>/<piece after the landing marker>")
-    ap.add_argument("--bucket-marker", default="/Files/")
-    ap.add_argument("--landing-marker", default="/caged/")
+    ap.add_argument("--bucket-marker", default=DEFAULT_BUCKET_MARKER)
+    ap.add_argument("--landing-marker", default=DEFAULT_LANDING_MARKER)
     ap.add_argument("--bucket-ignore-case", action="store_true")
     ap.add_argument("--keep-tail", action="store_true", help="keep everything after the first landing marker")
     ap.add_argument("--strip-ext", default=None, help="drop this extension from landing paths, '*' for any")

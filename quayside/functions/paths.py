@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quayside.schema import BYTES_PER_MIB
+from quayside.schema import ANY_EXTENSION_PATTERN, BYTES_PER_MIB
 
 ColumnOrName = "Column | str"
 
@@ -56,7 +56,7 @@ def strip_extension(col, ext: str | None) -> Column:
     if ext is None:
         return c
     if ext == "*":
-        return F.regexp_replace(c, r"\.\w+$", "")
+        return F.regexp_replace(c, ANY_EXTENSION_PATTERN, "")
     return F.regexp_replace(c, r"\." + _java_quote(ext.lstrip(".")) + "$", "")
 
 
