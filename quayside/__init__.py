@@ -13,6 +13,7 @@ from quayside.operators import (
     build_manifest,
     check_batch_size,
     copy_files,
+    copy_plan,
     extract_inventory,
     file_inventory,
     latest_versions,
@@ -24,6 +25,7 @@ from quayside.operators import (
 from quayside.plans import LandingConfig, LandingResult, run_landing
 from quayside.schema import ledger_schema
 from quayside.sources import Ledger, append_ledger, empty_ledger, ensure_ledger, read_ledger, scan_files
+from quayside.sources.listing import list_files
 
 __all__ = [
     "LandingConfig",
@@ -35,6 +37,7 @@ __all__ = [
     "build_manifest",
     "check_batch_size",
     "copy_files",
+    "copy_plan",
     "empty_ledger",
     "ensure_ledger",
     "extract_inventory",
@@ -42,6 +45,7 @@ __all__ = [
     "landing_path",
     "latest_versions",
     "ledger_schema",
+    "list_files",
     "path_after",
     "path_piece",
     "pending_files",

@@ -74,9 +74,9 @@ def _copier(threads: int | None, chunk_bytes: int, copier=None, relative_to: str
     """Build the per-task function given to ``mapInPandas``.
 
     ``threads=None`` picks the pool size from the target file system: copies to
-    a local or HDFS disk are bound by metadata locks and run one at a time per
-    task (measured: 8 threads were 2.5x slower than 1 on a local disk), copies
-    to an object store are bound by request latency and run 16 at a time.
+    a local disk are bound by directory locks and run one at a time per task
+    (measured: 8 threads were 2.5x slower than 1), copies to HDFS or an object
+    store are bound by network latency and run 16 at a time.
 
     ``copier``: an optional picklable ``(source_uri, target_uri) -> None`` that
     replaces the built-in ``pyarrow.fs`` copy (for stores pyarrow cannot open);
@@ -168,7 +168,7 @@ def _copier(threads: int | None, chunk_bytes: int, copier=None, relative_to: str
                 fs_type = resolve(absolute(first))[0].type_name
             except Exception:
                 return 1
-            return 1 if fs_type in ("local", "hdfs") else 16
+            return 1 if fs_type == "local" else 16
 
         pool = None
         try:

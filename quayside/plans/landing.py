@@ -45,7 +45,7 @@ class LandingConfig:
     on_unmapped: str = "fail"  # 'fail' raises before copying; 'reject' sets them apart
     on_collision: str = "fail"  # 'fail' raises when two sources share a landing path; 'allow'
     max_files: int | None = None  # None: no cap (the copy is distributed)
-    copy_threads: int | None = None  # None: 1 per task on local/HDFS, 16 on object stores
+    copy_threads: int | None = None  # None: 1 per task on a local disk, 16 on HDFS / object stores
     num_tasks: int | None = None
     copier: object = None  # optional (source_uri, target_uri) -> None replacing the pyarrow copy
     staging_dir: str | None = None  # default: a new folder under spark.checkpoint.dir
