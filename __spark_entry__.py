@@ -80,7 +80,7 @@ def q_bucket_path_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_landing_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = st.documents_paths(spark, sf_dir)
-    return d.select("doc_id", landing_path("source_path", "/caged/", st.LANDING_ROOT).alias("lakehouse_path"))
+    return d.select("doc_id", landing_path("source_path", "/raw/", st.LANDING_ROOT).alias("lakehouse_path"))
 
 
 def q_landing_path_strip_one(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,7 +282,7 @@ inv AS (
 man AS (
   SELECT source_path, source_modified_at, source_size_mb,
          {_after('source_path', '/Files/')} AS bucket_path,
-         {_landing('source_path', '/caged/', st.LANDING_ROOT)} AS lakehouse_path
+         {_landing('source_path', '/raw/', st.LANDING_ROOT)} AS lakehouse_path
   FROM inv),
 lat AS (
   SELECT {_LINE_PATH} AS source_path, max(l_shipdate) AS latest_copied_time
@@ -321,7 +321,7 @@ SELECT page_id,
        CASE WHEN regexp_matches(url, '(?is)/EN/') THEN regexp_extract(url, '(?is)/EN/(.*)', 1) END AS bucket_path
 FROM pages""",
     "landing_path": f"""
-SELECT doc_id, {_landing('source_path', '/caged/', st.LANDING_ROOT)} AS lakehouse_path
+SELECT doc_id, {_landing('source_path', '/raw/', st.LANDING_ROOT)} AS lakehouse_path
 FROM (SELECT doc_id, {_DOC_PATH} AS source_path FROM documents)""",
     "landing_path_strip_one": f"""
 SELECT page_id, regexp_replace({_landing('url', '/en/', st.PAGES_ROOT)}, '\\.html$', '') AS lakehouse_path
@@ -332,7 +332,7 @@ FROM pages""",
     "manifest": f"""
 SELECT source_path, source_modified_at, source_size_mb,
        {_after('source_path', '/Files/')} AS bucket_path,
-       {_landing('source_path', '/caged/', st.LANDING_ROOT)} AS lakehouse_path
+       {_landing('source_path', '/raw/', st.LANDING_ROOT)} AS lakehouse_path
 FROM (SELECT {_DOC_PATH} AS source_path,
              TIMESTAMP '{st.DOC_EPOCH}' + to_seconds(doc_id) AS source_modified_at,
              round(n_chars / 1024, 2) AS source_size_mb
@@ -367,7 +367,7 @@ WITH {_EVENTS_CTE},
 man AS (
   SELECT source_path, max(ts) AS source_modified_at, CAST(0 AS DOUBLE) AS source_size_mb,
          {_after('source_path', '/Files/')} AS bucket_path,
-         {_landing('source_path', '/caged/', st.LANDING_ROOT)} AS lakehouse_path
+         {_landing('source_path', '/raw/', st.LANDING_ROOT)} AS lakehouse_path
   FROM ev GROUP BY source_path),
 lat AS (SELECT source_path, max(ts) AS latest_copied_time FROM ev WHERE status = 'SUCCESS' GROUP BY 1)
 SELECT {_MAN_COLS}

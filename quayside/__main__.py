@@ -1,8 +1,8 @@
 """Command line: run one landing pass with the session spark-submit provides.
 
-    spark-submit --py-files quayside.zip quayside/__main__.py --source s3a://bucket/caged/ \\
-        --ledger-table meta.landing --root abfss://lake/Files/Landing/caged \\
-        --bucket-marker /Files/ --landing-marker /caged/
+    spark-submit --py-files quayside.zip quayside/__main__.py --source s3a://bucket/raw/ \\
+        --ledger-table meta.landing --root abfss://lake/Files/Landing/raw \\
+        --bucket-marker /Files/ --landing-marker /raw/
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 from quayside.operators.manifest import PathRules
 from quayside.plans.landing import LandingConfig, run_landing
-from quayside.schema import DEFAULT_BUCKET_MARKER, DEFAULT_LANDING_MARKER
+from quayside.schema import DEFAULT_BUCKET_MARKER
 from quayside.sources.ledger import Ledger
 
 
@@ -29,7 +29,7 @@ def parse(argv: list[str]) -> LandingConfig:
     ap.add_argument("--format", default="parquet", help="ledger table format (parquet, delta, ...)")
     ap.add_argument("--root", required=True, help="landing root; files land at <root>/<piece after the landing marker>")
     ap.add_argument("--bucket-marker", default=DEFAULT_BUCKET_MARKER)
-    ap.add_argument("--landing-marker", default=DEFAULT_LANDING_MARKER)
+    ap.add_argument("--landing-marker", required=True, help="files land at <root>/<piece after this marker>")
     ap.add_argument("--bucket-ignore-case", action="store_true")
     ap.add_argument("--keep-tail", action="store_true", help="keep everything after the first landing marker")
     ap.add_argument("--strip-ext", default=None, help="drop this extension from landing paths, '*' for any")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.paths import landing_path, path_after
-from quayside.schema import DEFAULT_BUCKET_MARKER, DEFAULT_LANDING_MARKER, MANIFEST_COLUMNS
+from quayside.schema import DEFAULT_BUCKET_MARKER, MANIFEST_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -22,8 +22,8 @@ class PathRules:
     """
 
     root: str
+    landing_marker: str
     bucket_marker: str = DEFAULT_BUCKET_MARKER
-    landing_marker: str = DEFAULT_LANDING_MARKER
     bucket_ignore_case: bool = False
     keep_tail: bool = False
     strip_ext: str | None = None

@@ -19,10 +19,8 @@ STATUS_SUCCESS = "SUCCESS"
 STATUS_ERROR = "ERROR"
 # Lower bound a file's modification time must exceed when it has never been landed.
 EPOCH_TEXT = "1970-01-01 00:00:00"
-# Default path markers: bucket_path follows the first "/Files/", the landing
-# piece follows "/caged/".
+# Default bucket marker: bucket_path is what follows the first "/Files/".
 DEFAULT_BUCKET_MARKER = "/Files/"
-DEFAULT_LANDING_MARKER = "/caged/"
 # Pattern of "any last extension" when landing paths drop one.
 ANY_EXTENSION_PATTERN = r"\.\w+$"
 # The reference's per-run file cap (optional here: max_files).

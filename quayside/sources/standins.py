@@ -18,13 +18,13 @@ from quayside.operators.manifest import PathRules, build_manifest
 from quayside.schema import STATUS_ERROR, STATUS_SUCCESS
 
 # Fixed values shared with the DuckDB oracle SQL in __spark_entry__.py.
-PREFIX = "abfss://ws@lake.example/id/Files/bucket-a/caged/"
-LANDING_ROOT = "Files/Landing/caged"
+PREFIX = "abfss://ws@lake.example/id/Files/bucket-a/raw/"
+LANDING_ROOT = "Files/Landing/raw"
 PAGES_ROOT = "Files/Landing/pages"
 DOC_EPOCH = "2020-01-01 00:00:00"
 AUDIT_TIME = "2024-01-01 00:00:00"
 
-STANDIN_RULES = PathRules(root=LANDING_ROOT, bucket_marker="/Files/", landing_marker="/caged/")
+STANDIN_RULES = PathRules(root=LANDING_ROOT, bucket_marker="/Files/", landing_marker="/raw/")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

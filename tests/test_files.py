@@ -16,12 +16,12 @@ from conftest import write_file
 
 
 def _tree(root):
-    write_file(f"{root}/caged/a/one.txt", b"x" * 6000)
-    write_file(f"{root}/caged/a/b/two.csv", b"y" * 10)
-    write_file(f"{root}/caged/c/three.bin", os.urandom(3 * 1024 * 1024 + 7))
-    write_file(f"{root}/caged/zero.txt", b"")
-    write_file(f"{root}/caged/_hidden.txt", b"h")
-    write_file(f"{root}/caged/.dot.txt", b"d")
+    write_file(f"{root}/raw/a/one.txt", b"x" * 6000)
+    write_file(f"{root}/raw/a/b/two.csv", b"y" * 10)
+    write_file(f"{root}/raw/c/three.bin", os.urandom(3 * 1024 * 1024 + 7))
+    write_file(f"{root}/raw/zero.txt", b"")
+    write_file(f"{root}/raw/_hidden.txt", b"h")
+    write_file(f"{root}/raw/.dot.txt", b"d")
     return root
 
 
@@ -37,10 +37,10 @@ def test_inventory_skips_zero_byte_and_hidden(spark, tmp_path):
 @pytest.mark.parametrize("budget", [1, 3, 50_000])
 def test_distributed_listing_equals_binary_file(spark, tmp_path, budget):
     root = _tree(str(tmp_path / "src"))
-    write_file(f"{root}/caged/_skipdir/inner.txt", b"hidden dir")
-    write_file(f"{root}/caged/.dotdir/inner.txt", b"hidden dir")
-    write_file(f"{root}/caged/k=_v/_part=1/kept.txt", b"kept")
-    write_file(f"{root}/caged/deep/a/b/c/d/e.txt", b"deep")
+    write_file(f"{root}/raw/_skipdir/inner.txt", b"hidden dir")
+    write_file(f"{root}/raw/.dotdir/inner.txt", b"hidden dir")
+    write_file(f"{root}/raw/k=_v/_part=1/kept.txt", b"kept")
+    write_file(f"{root}/raw/deep/a/b/c/d/e.txt", b"deep")
     dist = list_files(spark, root, budget=budget)
     spark_scan = scan_files(spark, root)
     assert dist.count() == spark_scan.count() == 5
@@ -51,7 +51,7 @@ def test_distributed_listing_equals_binary_file(spark, tmp_path, budget):
 
 
 def _pending(spark, root, landed):
-    rules = PathRules(root=f"file:{landed}", bucket_marker="/src/", landing_marker="/caged/")
+    rules = PathRules(root=f"file:{landed}", bucket_marker="/src/", landing_marker="/raw/")
     man = build_manifest(extract_inventory(spark, root), rules)
     return pending_files(man, empty_ledger(spark))
 
@@ -65,7 +65,7 @@ def test_copy_files_bytes_equal_and_no_leftovers(spark, tmp_path):
     assert sorted(r["status"] for r in rows) == ["SUCCESS"] * 3
     assert all(r["copied_at"] is not None and r["error"] is None for r in rows)
     for rel in ["a/one.txt", "a/b/two.csv", "c/three.bin"]:
-        with open(f"{root}/caged/{rel}", "rb") as a, open(f"{landed}/{rel}", "rb") as b:
+        with open(f"{root}/raw/{rel}", "rb") as a, open(f"{landed}/{rel}", "rb") as b:
             assert a.read() == b.read()
     leftovers = [f for _, _, fs in os.walk(landed) for f in fs if f.endswith(".inflight")]
     assert leftovers == []
@@ -78,7 +78,7 @@ def test_copy_error_rows_do_not_fail_the_others(spark, tmp_path):
     run = new_run_dir(spark, "test-copy-err")
     pend = _pending(spark, root, landed)
     gone = spark.createDataFrame(
-        [(f"file:{root}/caged/missing.txt", None, 0.0, "x", f"file:{landed}/missing.txt")], pend.schema
+        [(f"file:{root}/raw/missing.txt", None, 0.0, "x", f"file:{landed}/missing.txt")], pend.schema
     )
     rows = {os.path.basename(r["source_path"]): r for r in copy_files(spark, pend.unionByName(gone), f"{run}/audit").collect()}
     assert rows["one.txt"]["status"] == "SUCCESS"
@@ -152,7 +152,7 @@ def test_copy_names_with_uri_characters(spark, tmp_path):
     root = str(tmp_path / "src")
     names = ["a b.txt", "p%20q.txt", "h#x.txt", "q?y.txt", "é ü.txt", "k=v.txt"]
     for n in names:
-        write_file(f"{root}/caged/dir one/{n}", n.encode())
+        write_file(f"{root}/raw/dir one/{n}", n.encode())
     landed = str(tmp_path / "landed")
     run = new_run_dir(spark, "test-names")
     rows = copy_files(spark, _pending(spark, root, landed), f"{run}/audit").collect()
@@ -165,7 +165,7 @@ def test_copy_names_with_uri_characters(spark, tmp_path):
 
 def test_relative_landing_paths_resolve_against_base(spark, tmp_path):
     root = _tree(str(tmp_path / "src"))
-    rules = PathRules(root="Files/Landing", bucket_marker="/src/", landing_marker="/caged/")
+    rules = PathRules(root="Files/Landing", bucket_marker="/src/", landing_marker="/raw/")
     pend = pending_files(build_manifest(extract_inventory(spark, root), rules), empty_ledger(spark))
     run = new_run_dir(spark, "test-relative")
     rows = copy_files(spark, pend, f"{run}/audit", relative_to=f"file:{tmp_path}/base").collect()

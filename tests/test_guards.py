@@ -10,7 +10,7 @@ from quayside.operators.manifest import PathRules, build_manifest, unmapped
 
 def _rows(spark, n):
     return spark.range(n).select(
-        F.concat(F.lit("s3://b/Files/caged/"), F.col("id").cast("string")).alias("source_path"),
+        F.concat(F.lit("s3://b/Files/raw/"), F.col("id").cast("string")).alias("source_path"),
         F.lit(datetime(2024, 1, 1)).alias("source_modified_at"),
         F.lit(0.5).alias("source_size_mb"),
     )
@@ -42,21 +42,24 @@ def test_preview_is_ordered_top_k(spark):
 
 def test_unmapped_and_collisions(spark):
     inv = spark.createDataFrame(
-        [("s3://b/Files/caged/a.txt",), ("s3://b/x/a.txt",), ("s3://b/Files/caged/d/caged/a.txt",), ("s3://b/Files/caged/d/caged/b.txt",)],
+        [("s3://b/Files/raw/a.txt",), ("s3://b/x/a.txt",), ("s3://b/Files/raw/d/raw/a.txt",), ("s3://b/Files/raw/d/raw/b.txt",)],
         "source_path string",
     ).select("source_path", F.lit(datetime(2024, 1, 1)).alias("source_modified_at"), F.lit(0.0).alias("source_size_mb"))
-    man = build_manifest(inv, PathRules(root="L"))
+    man = build_manifest(inv, PathRules(root="L", landing_marker="/raw/"))
     assert [r[0] for r in unmapped(man).collect()] == ["s3://b/x/a.txt"]
     clashes = {r["lakehouse_path"]: r["n_sources"] for r in target_collisions(man).collect()}
     assert clashes == {"L/d": 2}
 
 
 def test_cli_parse():
-    cfg = parse(["--source", "s3a://b/caged/", "--ledger-path", "/l", "--root", "R", "--strip-ext", "*",
+    cfg = parse(["--source", "s3a://b/raw/", "--ledger-path", "/l", "--root", "R", "--landing-marker", "/raw/",
+                 "--strip-ext", "*",
                  "--retry-failed", "--max-files", "500", "--listing", "binaryFile"])
-    assert cfg.source == "s3a://b/caged/" and cfg.ledger.path == "/l" and cfg.ledger.fmt == "parquet"
+    assert cfg.source == "s3a://b/raw/" and cfg.ledger.path == "/l" and cfg.ledger.fmt == "parquet"
     assert cfg.rules.root == "R" and cfg.rules.strip_ext == "*" and cfg.retry_failed and cfg.max_files == 500
     assert cfg.listing == "binaryFile"
-    assert parse(["--source", "x", "--ledger-path", "/l", "--root", "R"]).listing == "distributed"
+    assert parse(["--source", "x", "--ledger-path", "/l", "--root", "R", "--landing-marker", "/m/"]).listing == "distributed"
     with pytest.raises(SystemExit):
-        parse(["--source", "x", "--root", "R"])  # a ledger is required
+        parse(["--source", "x", "--root", "R", "--landing-marker", "/m/"])  # a ledger is required
+    with pytest.raises(SystemExit):
+        parse(["--source", "x", "--ledger-path", "/l", "--root", "R"])  # so is the landing marker

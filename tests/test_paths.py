@@ -5,11 +5,11 @@ from quayside.functions.paths import landing_path, path_after, path_piece, size_
 
 ROWS = [
     ("marker_missing", "s3://b/x/y.txt"),
-    ("marker_once", "abfss://ws@h/id/Files/bucket/caged/a/b.txt"),
-    ("marker_twice", "abfss://ws@h/id/Files/b/Files/caged/x/caged/y.txt"),
+    ("marker_once", "abfss://ws@h/id/Files/bucket/raw/a/b.txt"),
+    ("marker_twice", "abfss://ws@h/id/Files/b/Files/raw/x/raw/y.txt"),
     ("marker_last", "abfss://ws@h/id/Files/"),
-    ("upper", "abfss://ws@h/id/FILES/bucket/caged/c.tar.gz"),
-    ("no_ext", "abfss://ws@h/Files/caged/dir/name"),
+    ("upper", "abfss://ws@h/id/FILES/bucket/raw/c.tar.gz"),
+    ("no_ext", "abfss://ws@h/Files/raw/dir/name"),
     ("null", None),
 ]
 
@@ -26,8 +26,8 @@ def _eval(paths, expr):
 def test_bucket_path_after_first_marker(paths):
     got = _eval(paths, path_after("p", "/Files/"))
     assert got["marker_missing"] is None
-    assert got["marker_once"] == "bucket/caged/a/b.txt"
-    assert got["marker_twice"] == "b/Files/caged/x/caged/y.txt"
+    assert got["marker_once"] == "bucket/raw/a/b.txt"
+    assert got["marker_twice"] == "b/Files/raw/x/raw/y.txt"
     assert got["marker_last"] == ""
     assert got["upper"] is None  # case-sensitive by default
     assert got["null"] is None
@@ -35,26 +35,26 @@ def test_bucket_path_after_first_marker(paths):
 
 def test_bucket_path_ignore_case(paths):
     got = _eval(paths, path_after("p", "/files/", ignore_case=True))
-    assert got["upper"] == "bucket/caged/c.tar.gz"
+    assert got["upper"] == "bucket/raw/c.tar.gz"
     assert got["marker_last"] == ""
     assert got["marker_missing"] is None
-    assert got["marker_twice"] == "b/Files/caged/x/caged/y.txt"
+    assert got["marker_twice"] == "b/Files/raw/x/raw/y.txt"
 
 
 def test_landing_piece_stops_at_second_marker(paths):
-    got = _eval(paths, landing_path("p", "/caged/", "root"))
+    got = _eval(paths, landing_path("p", "/raw/", "root"))
     assert got["marker_once"] == "root/a/b.txt"
     assert got["marker_twice"] == "root/x"  # the reference's second-piece rule
     assert got["marker_missing"] is None
-    tail = _eval(paths, landing_path("p", "/caged/", "root", keep_tail=True))
-    assert tail["marker_twice"] == "root/x/caged/y.txt"
+    tail = _eval(paths, landing_path("p", "/raw/", "root", keep_tail=True))
+    assert tail["marker_twice"] == "root/x/raw/y.txt"
 
 
 def test_strip_extension_variants(paths):
-    one = _eval(paths, landing_path("p", "/caged/", "r", strip_ext="txt"))
+    one = _eval(paths, landing_path("p", "/raw/", "r", strip_ext="txt"))
     assert one["marker_once"] == "r/a/b"
     assert one["upper"] == "r/c.tar.gz"
-    anyx = _eval(paths, landing_path("p", "/caged/", "r", strip_ext="*"))
+    anyx = _eval(paths, landing_path("p", "/raw/", "r", strip_ext="*"))
     assert anyx["upper"] == "r/c.tar"
     assert anyx["no_ext"] == "r/dir/name"
 

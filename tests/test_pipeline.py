@@ -13,13 +13,13 @@ from conftest import write_file
 
 
 def _cfg(spark, tmp_path, **kw):
-    kw.setdefault("rules", PathRules(root=f"file:{tmp_path}/landed", bucket_marker="/bucket/", landing_marker="/caged/"))
+    kw.setdefault("rules", PathRules(root=f"file:{tmp_path}/landed", bucket_marker="/bucket/", landing_marker="/raw/"))
     return LandingConfig(source=str(tmp_path / "bucket"), ledger=Ledger(path=str(tmp_path / "ledger")), **kw)
 
 
 def _seed(tmp_path, n=5):
     for i in range(n):
-        write_file(f"{tmp_path}/bucket/caged/d{i % 2}/f{i}.txt", f"file {i}".encode() * 50, mtime=1_700_000_000 + i)
+        write_file(f"{tmp_path}/bucket/raw/d{i % 2}/f{i}.txt", f"file {i}".encode() * 50, mtime=1_700_000_000 + i)
 
 
 def _run(spark, cfg):
@@ -34,7 +34,7 @@ def test_run_rerun_touch(spark, tmp_path):
     assert {r["status"] for r in first.audit.collect()} == {"SUCCESS"}
     assert os.path.exists(f"{tmp_path}/landed/d0/f0.txt")
     assert _run(spark, cfg).count == 0
-    touched = f"{tmp_path}/bucket/caged/d1/f3.txt"
+    touched = f"{tmp_path}/bucket/raw/d1/f3.txt"
     write_file(touched, b"changed", mtime=1_800_000_000)
     third = _run(spark, cfg)
     assert third.count == 1
@@ -76,18 +76,18 @@ def test_unmapped_fail_or_reject(spark, tmp_path):
 
 
 def test_two_sources_one_target_is_refused(spark, tmp_path):
-    write_file(f"{tmp_path}/bucket/caged/a/caged/x.txt", b"1")
-    write_file(f"{tmp_path}/bucket/caged/a/caged/y.txt", b"2")
+    write_file(f"{tmp_path}/bucket/raw/a/raw/x.txt", b"1")
+    write_file(f"{tmp_path}/bucket/raw/a/raw/y.txt", b"2")
     with pytest.raises(ValueError, match="more than one source"):
         _run(spark, _cfg(spark, tmp_path))
     res = _run(spark, _cfg(spark, tmp_path, rules=PathRules(
-        root=f"file:{tmp_path}/landed", bucket_marker="/bucket/", landing_marker="/caged/", keep_tail=True)))
+        root=f"file:{tmp_path}/landed", bucket_marker="/bucket/", landing_marker="/raw/", keep_tail=True)))
     assert res.count == 2
 
 
 def test_empty_source_touches_nothing(spark, tmp_path):
-    os.makedirs(f"{tmp_path}/bucket/caged")
-    write_file(f"{tmp_path}/bucket/caged/empty.txt", b"")
+    os.makedirs(f"{tmp_path}/bucket/raw")
+    write_file(f"{tmp_path}/bucket/raw/empty.txt", b"")
     cfg = _cfg(spark, tmp_path)
     res = _run(spark, cfg)
     assert res.count == 0 and res.audit.count() == 0
@@ -109,8 +109,8 @@ def test_one_snapshot_per_run(spark, tmp_path, monkeypatch):
 
     _seed(tmp_path, 3)
     real_copy = landing.copy_files
-    late_new = f"{tmp_path}/bucket/caged/d0/late.txt"
-    changed = f"{tmp_path}/bucket/caged/d1/f1.txt"
+    late_new = f"{tmp_path}/bucket/raw/d0/late.txt"
+    changed = f"{tmp_path}/bucket/raw/d1/f1.txt"
 
     def copy_after_changes(*args, **kwargs):
         write_file(late_new, b"arrived during the run", mtime=1_750_000_000)
@@ -145,16 +145,16 @@ def test_pipeline_property(spark, tmp_path_factory, first, changes):
     """Second pass copies exactly the new or strictly newer files; a third finds nothing."""
     base = tmp_path_factory.mktemp("prop")
     for rel, t in first.items():
-        write_file(f"{base}/bucket/caged/{rel}", f"{rel}@{t}".encode(), mtime=1_600_000_000 + t)
+        write_file(f"{base}/bucket/raw/{rel}", f"{rel}@{t}".encode(), mtime=1_600_000_000 + t)
     cfg = _cfg(spark, base)
     assert _run(spark, cfg).count == len(first)
     expected = set()
     for rel, t in changes.items():
-        write_file(f"{base}/bucket/caged/{rel}", f"{rel}@{t}!".encode(), mtime=1_600_000_000 + t)
+        write_file(f"{base}/bucket/raw/{rel}", f"{rel}@{t}!".encode(), mtime=1_600_000_000 + t)
         if rel not in first or t > first[rel]:
             expected.add(rel)
     second = _run(spark, cfg)
-    got = {r["source_path"].split("/caged/", 1)[1] for r in second.audit.collect()}
+    got = {r["source_path"].split("/raw/", 1)[1] for r in second.audit.collect()}
     assert got == expected and second.count == len(expected)
     for rel in expected:
         with open(f"{base}/landed/{rel}", "rb") as fh:
@@ -173,7 +173,7 @@ def test_ledger_format_and_locator(spark, tmp_path, kind):
     cfg = replace(_cfg(spark, tmp_path), ledger=ledger)
     assert _run(spark, cfg).count == 3
     assert _run(spark, cfg).count == 0
-    write_file(f"{tmp_path}/bucket/caged/d0/f0.txt", b"new", mtime=1_900_000_000)
+    write_file(f"{tmp_path}/bucket/raw/d0/f0.txt", b"new", mtime=1_900_000_000)
     assert _run(spark, cfg).count == 1
     assert read_ledger(spark, ledger).count() == 4
     if kind == "catalog-table":
