@@ -22,7 +22,7 @@ from quayside.operators import (
     preview,
     target_collisions,
 )
-from quayside.plans import LandingConfig, LandingResult, run_landing
+from quayside.plans import LandingConfig, LandingResult, copy_pending, run_landing, setup_ledger
 from quayside.schema import ledger_schema
 from quayside.sources import Ledger, append_ledger, empty_ledger, ensure_ledger, read_ledger, scan_files
 from quayside.sources.listing import list_files
@@ -37,6 +37,7 @@ __all__ = [
     "build_manifest",
     "check_batch_size",
     "copy_files",
+    "copy_pending",
     "copy_plan",
     "empty_ledger",
     "ensure_ledger",
@@ -54,6 +55,7 @@ __all__ = [
     "read_ledger",
     "run_landing",
     "scan_files",
+    "setup_ledger",
     "size_mb",
     "strip_extension",
     "target_collisions",

@@ -178,3 +178,33 @@ def test_ledger_format_and_locator(spark, tmp_path, kind):
     assert read_ledger(spark, ledger).count() == 4
     if kind == "catalog-table":
         spark.sql("DROP TABLE IF EXISTS quayside_pipeline_ledger")
+
+
+def test_step_by_step_flow(spark, tmp_path):
+    """The six steps driven one by one, as a caller of the separate steps would."""
+    from quayside import (
+        append_ledger,
+        build_manifest,
+        copy_pending,
+        extract_inventory,
+        pending_files,
+        setup_ledger,
+    )
+
+    _seed(tmp_path, 4)
+    cfg = _cfg(spark, tmp_path)
+    for expected in (4, 0):
+        inventory = extract_inventory(spark, cfg.source)
+        manifest = build_manifest(inventory, cfg.rules)
+        ledger_df = setup_ledger(spark, cfg.ledger)
+        pending = pending_files(manifest, ledger_df)
+        audit, n = copy_pending(spark, pending, cfg.ledger)
+        assert n == expected and audit.count() == expected
+        assert audit.columns == ledger_df.columns
+        assert append_ledger(spark, audit, cfg.ledger, row_count=n) == expected
+    assert read_ledger(spark, cfg.ledger).count() == 4
+    with pytest.raises(ValueError, match="max_files"):
+        write_file(f"{tmp_path}/bucket/raw/d0/new1.txt", b"1")
+        write_file(f"{tmp_path}/bucket/raw/d0/new2.txt", b"2")
+        copy_pending(spark, pending_files(build_manifest(extract_inventory(spark, cfg.source), cfg.rules),
+                                          setup_ledger(spark, cfg.ledger)), cfg.ledger, max_files=1)
