@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -46,10 +47,21 @@ def _exists(spark: SparkSession, ledger: Ledger) -> bool:
     return fs.exists(p)
 
 
+def _readable(spark: SparkSession, ledger: Ledger) -> bool:
+    try:
+        read_ledger(spark, ledger).schema
+        return True
+    except AnalysisException:
+        return False
+
+
 def ensure_ledger(spark: SparkSession, ledger: Ledger) -> None:
     """K1: create the ledger when absent; an existing one is left as it is,
-    even if its schema differs."""
+    even if its schema differs. A path ledger whose folder exists without any
+    data (an interrupted first creation) is initialised in place."""
     if _exists(spark, ledger):
+        if ledger.name is None and not _readable(spark, ledger):
+            empty_ledger(spark).write.format(ledger.fmt).mode("append").save(ledger.path)
         return
     writer = empty_ledger(spark).write.format(ledger.fmt).mode("ignore")
     if ledger.name is not None:

@@ -51,3 +51,12 @@ def test_ledger_needs_one_locator():
         Ledger()
     with pytest.raises(ValueError):
         Ledger(name="a", path="b")
+
+
+def test_empty_existing_folder_is_initialised(spark, tmp_path):
+    folder = tmp_path / "half-made"
+    folder.mkdir()
+    led = Ledger(path=str(folder))
+    ensure_ledger(spark, led)
+    assert read_ledger(spark, led).count() == 0
+    assert read_ledger(spark, led).columns == LEDGER_COLUMNS
