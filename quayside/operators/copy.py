@@ -94,7 +94,6 @@ def _copier(threads: int | None, chunk_bytes: int, copier=None, relative_to: str
         from datetime import datetime, timezone
 
         import pandas as pd
-        import pyarrow.fs as pafs
 
         resolve = FileSystems().resolve
 

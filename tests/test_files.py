@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from quayside.operators.copy import copy_files, copy_plan
 from quayside.operators.detect import pending_files
