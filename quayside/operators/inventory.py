@@ -27,6 +27,7 @@ def extract_inventory(
     glob: str | None = None,
     listing: str = "binaryFile",
     staging_dir: str | None = None,
+    dir_counter=None,
 ) -> DataFrame:
     """Listing + projection.
 
@@ -39,7 +40,9 @@ def extract_inventory(
     if listing == "distributed":
         roots = [source] if isinstance(source, str) else list(source)
         parts = [
-            list_files(spark, r, f"{staging_dir}/listing-{i}" if staging_dir else None, glob=glob)
+            list_files(
+                spark, r, f"{staging_dir}/listing-{i}" if staging_dir else None, glob=glob, dir_counter=dir_counter
+            )
             for i, r in enumerate(roots)
         ]
         listed = parts[0]

@@ -83,8 +83,9 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     ensure_ledger(spark, cfg.ledger)
     ledger = read_ledger(spark, cfg.ledger)
     lap("ledger")
+    dirs_listed = spark.sparkContext.accumulator(0)
     inventory = extract_inventory(
-        spark, cfg.source, cfg.factor, glob=cfg.glob, listing=cfg.listing, staging_dir=run_dir
+        spark, cfg.source, cfg.factor, glob=cfg.glob, listing=cfg.listing, staging_dir=run_dir, dir_counter=dirs_listed
     )
     manifest = build_manifest(inventory, cfg.rules)
 
@@ -132,8 +133,14 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
             "nothing was copied"
         )
 
+    def finish() -> None:
+        # read at the end: any re-evaluation of the listing would show here
+        if cfg.listing == "distributed":
+            stats["dirs_listed"] = dirs_listed.value
+
     if n == 0:
         log.info("nothing to copy; the ledger is left as it is")
+        finish()
         audit = empty_ledger(spark, ledger.schema)
         return LandingResult(inventory, manifest, ledger, pending, audit, rejected, 0, run_dir, stats)
 
@@ -156,6 +163,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     stats["status"] = status
     log.info("copied %d files: %s; ledger appended", n, status)
     _log_preview("audit", audit, cfg.preview_rows)
+    finish()
     return LandingResult(inventory, manifest, ledger, pending, audit, rejected, n, run_dir, stats)
 
 

@@ -47,7 +47,7 @@ _BATCH_ROWS = 20_000
 _BUDGET = 50_000
 
 
-def _lister(glob: str | None, budget: int):
+def _lister(glob: str | None, budget: int, dir_counter=None):
     def run(batches):
         import fnmatch
         from collections import deque
@@ -77,6 +77,8 @@ def _lister(glob: str | None, budget: int):
                     rows.append(("dir", parent, None, None))  # left for the next round
                     continue
                 fs, ppath = resolve(parent)
+                if dir_counter is not None:
+                    dir_counter.add(1)
                 selector = pafs.FileSelector(ppath, recursive=False, allow_not_found=True)
                 base = parent.rstrip("/")
                 for info in fs.get_file_info(selector):
@@ -116,8 +118,12 @@ def list_files(
     glob: str | None = None,
     max_tasks: int | None = None,
     budget: int = _BUDGET,
+    dir_counter=None,
 ) -> DataFrame:
-    """List every visible file under ``root`` on the executors; see the module doc."""
+    """List every visible file under ``root`` on the executors; see the module doc.
+
+    ``dir_counter``: an optional Spark accumulator that counts directory listings
+    (one per directory per evaluation; a retried task counts again)."""
     staging_dir = staging_dir or new_run_dir(spark, "listing")
     root = qualify(spark, root)
     status = _root_status(spark, root)
@@ -132,7 +138,7 @@ def list_files(
         out = f"{staging_dir}/level-{level:05d}"
         (
             frontier.repartition(max(1, min(n_dirs, cap)), "dir")
-            .mapInPandas(_lister(glob, budget), _LEVEL_SCHEMA)
+            .mapInPandas(_lister(glob, budget, dir_counter), _LEVEL_SCHEMA)
             .write.mode("errorifexists")
             .parquet(out)
         )
