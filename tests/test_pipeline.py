@@ -207,3 +207,13 @@ def test_step_by_step_flow(spark, tmp_path):
         write_file(f"{tmp_path}/bucket/raw/d0/new2.txt", b"2")
         copy_pending(spark, pending_files(build_manifest(extract_inventory(spark, cfg.source), cfg.rules),
                                           setup_ledger(spark, cfg.ledger)), cfg.ledger, max_files=1)
+
+
+def test_source_is_listed_once_per_run(spark, tmp_path):
+    _seed(tmp_path, 6)
+    cfg = _cfg(spark, tmp_path, listing="distributed", preview_rows=3)
+    n_dirs = sum(1 for _ in os.walk(f"{tmp_path}/bucket"))
+    first = _run(spark, cfg)
+    assert first.count == 6 and first.stats["dirs_listed"] == n_dirs
+    second = _run(spark, cfg)
+    assert second.count == 0 and second.stats["dirs_listed"] == n_dirs
