@@ -27,6 +27,7 @@ def parse(argv: list[str]) -> LandingConfig:
     led.add_argument("--ledger-table", help="catalog table name of the ledger")
     led.add_argument("--ledger-path", help="storage path of the ledger")
     ap.add_argument("--format", default="parquet", help="ledger table format (parquet, delta, ...)")
+    ap.add_argument("--ledger-buckets", type=int, default=None, help="bucket a catalog ledger on source_path")
     ap.add_argument("--root", required=True, help="landing root; files land at <root>/<piece after the landing marker>")
     ap.add_argument("--bucket-marker", default=DEFAULT_BUCKET_MARKER)
     ap.add_argument("--landing-marker", required=True, help="files land at <root>/<piece after this marker>")
@@ -45,7 +46,7 @@ def parse(argv: list[str]) -> LandingConfig:
     a = ap.parse_args(argv)
     return LandingConfig(
         source=a.source[0] if len(a.source) == 1 else a.source,
-        ledger=Ledger(name=a.ledger_table, path=a.ledger_path, fmt=a.format),
+        ledger=Ledger(name=a.ledger_table, path=a.ledger_path, fmt=a.format, buckets=a.ledger_buckets),
         rules=PathRules(
             root=a.root,
             bucket_marker=a.bucket_marker,

@@ -3,6 +3,12 @@
 A ledger is named either by a catalog table (``name``) or by a storage path
 (``path``); ``fmt`` picks the table format (parquet by default, ``delta`` where
 the Delta jars are on the classpath).
+
+``buckets``: a catalog parquet/orc ledger can be bucketed (and sorted) on
+``source_path``. The per-path maximum then needs no shuffle, and the detection
+join shuffles only the manifest, into the same buckets. Every append writes up
+to one file per bucket it touches, so a bucketed ledger wants periodic
+compaction; leave it unbucketed unless the ledger scan's shuffle matters.
 """
 
 from __future__ import annotations
@@ -27,10 +33,19 @@ class Ledger:
     name: str | None = None
     path: str | None = None
     fmt: str = "parquet"
+    buckets: int | None = None
 
     def __post_init__(self):
         if (self.name is None) == (self.path is None):
             raise ValueError("a ledger needs exactly one of name= or path=")
+        if self.buckets is not None and self.name is None:
+            raise ValueError("bucketing needs a catalog table (name=)")
+
+
+def _bucketed(writer, ledger: "Ledger"):
+    if ledger.buckets:
+        return writer.bucketBy(ledger.buckets, "source_path").sortBy("source_path")
+    return writer
 
 
 def empty_ledger(spark: SparkSession, schema: StructType | None = None) -> DataFrame:
@@ -65,7 +80,7 @@ def ensure_ledger(spark: SparkSession, ledger: Ledger) -> None:
         return
     writer = empty_ledger(spark).write.format(ledger.fmt).mode("ignore")
     if ledger.name is not None:
-        writer.saveAsTable(ledger.name)
+        _bucketed(writer, ledger).saveAsTable(ledger.name)
     else:
         writer.save(ledger.path)
 
@@ -119,7 +134,7 @@ def append_ledger(
     # audit rows are staged parquet: fewer output files without a shuffle
     writer = aligned.coalesce(files).write.format(ledger.fmt).mode("append")
     if ledger.name is not None:
-        writer.saveAsTable(ledger.name)
+        _bucketed(writer, ledger).saveAsTable(ledger.name)
     else:
         writer.save(ledger.path)
     return n

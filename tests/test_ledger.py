@@ -60,3 +60,35 @@ def test_empty_existing_folder_is_initialised(spark, tmp_path):
     ensure_ledger(spark, led)
     assert read_ledger(spark, led).count() == 0
     assert read_ledger(spark, led).columns == LEDGER_COLUMNS
+
+
+def test_bucketed_ledger_detection_shuffles_only_the_manifest(spark, tmp_path):
+    from quayside.operators.detect import latest_versions, pending_files
+
+    name = "quayside_bucketed_ledger"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    led = Ledger(name=name, buckets=8)
+    ensure_ledger(spark, led)
+    rows = [(f"p{i}", datetime(2024, 1, 1 + i % 5), 1.0, "b", "l", datetime(2024, 2, 1), "SUCCESS", None) for i in range(40)]
+    append_ledger(spark, spark.createDataFrame(rows, ledger_schema()), led)
+    append_ledger(spark, spark.createDataFrame(rows[:10], ledger_schema()), led)  # a second append keeps the spec
+    agg_plan = latest_versions(read_ledger(spark, led))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in agg_plan
+    man = spark.createDataFrame(
+        [(f"p{i}", datetime(2024, 1, 3), 1.0, "b", "l") for i in range(50)],
+        "source_path string, source_modified_at timestamp, source_size_mb double, bucket_path string, lakehouse_path string",
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = pending_files(man, read_ledger(spark, led))
+        expected = sorted([f"p{i}" for i in range(40) if 1 + i % 5 < 3] + [f"p{i}" for i in range(40, 50)])
+        assert sorted(r[0] for r in plan.collect()) == expected
+        final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in final
+    assert final.count("Exchange hashpartitioning") == 1  # the manifest side only
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    with pytest.raises(ValueError):
+        Ledger(path="/x", buckets=4)
