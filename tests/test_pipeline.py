@@ -161,21 +161,21 @@ def test_pipeline_property(spark, tmp_path_factory, first, changes):
     assert _run(spark, cfg).count == 0
 
 
-@pytest.mark.parametrize("kind", ["orc-path", "catalog-table"])
+@pytest.mark.parametrize("kind", ["orc-path", "catalog-table", "bucketed-table"])
 def test_ledger_format_and_locator(spark, tmp_path, kind):
     _seed(tmp_path, 3)
     if kind == "orc-path":
         ledger = Ledger(path=str(tmp_path / "ledger-orc"), fmt="orc")
     else:
         spark.sql("DROP TABLE IF EXISTS quayside_pipeline_ledger")
-        ledger = Ledger(name="quayside_pipeline_ledger", fmt="parquet")
+        ledger = Ledger(name="quayside_pipeline_ledger", fmt="parquet", buckets=4 if kind == "bucketed-table" else None)
     cfg = replace(_cfg(spark, tmp_path), ledger=ledger)
     assert _run(spark, cfg).count == 3
     assert _run(spark, cfg).count == 0
     write_file(f"{tmp_path}/bucket/raw/d0/f0.txt", b"new", mtime=1_900_000_000)
     assert _run(spark, cfg).count == 1
     assert read_ledger(spark, ledger).count() == 4
-    if kind == "catalog-table":
+    if kind != "orc-path":
         spark.sql("DROP TABLE IF EXISTS quayside_pipeline_ledger")
 
 
