@@ -27,7 +27,7 @@ from quayside.operators.guards import preview
 from quayside.operators.inventory import extract_inventory
 from quayside.operators.manifest import PathRules, build_manifest
 from quayside.schema import BYTES_PER_MIB
-from quayside.session import new_run_dir
+from quayside.session import new_run_dir, qualify
 from quayside.sources.ledger import Ledger, append_ledger, empty_ledger, ensure_ledger, read_ledger
 
 log = logging.getLogger("quayside")
@@ -70,6 +70,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         raise ValueError("on_unmapped must be 'fail' or 'reject'")
     if cfg.on_collision not in ("fail", "allow"):
         raise ValueError("on_collision must be 'fail' or 'allow'")
+    _check_layout(spark, cfg)
     run_dir = cfg.staging_dir or new_run_dir(spark, "landing")
     clock = [time.perf_counter()]
     timings: dict[str, float] = {}
@@ -171,3 +172,18 @@ def _log_preview(label: str, df: DataFrame, rows: int) -> None:
     if rows > 0 and log.isEnabledFor(logging.INFO):
         for r in preview(df, rows).collect():
             log.info("%s: %s", label, r.asDict())
+
+
+def _check_layout(spark: SparkSession, cfg: LandingConfig) -> None:
+    """Refuse a landing root or path ledger inside a source folder: the run's own
+    output would be listed as new sources by the next run."""
+    sources = [cfg.source] if isinstance(cfg.source, str) else list(cfg.source)
+    roots = [qualify(spark, s).rstrip("/") + "/" for s in sources]
+    targets = {"landing root": cfg.rules.root}
+    if cfg.ledger.path is not None:
+        targets["ledger"] = cfg.ledger.path
+    for label, target in targets.items():
+        where = qualify(spark, target).rstrip("/") + "/"
+        for root in roots:
+            if where.startswith(root):
+                raise ValueError(f"the {label} {target!r} lies inside the source {root!r}")

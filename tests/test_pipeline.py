@@ -217,3 +217,13 @@ def test_source_is_listed_once_per_run(spark, tmp_path):
     assert first.count == 6 and first.stats["dirs_listed"] == n_dirs
     second = _run(spark, cfg)
     assert second.count == 0 and second.stats["dirs_listed"] == n_dirs
+
+
+def test_outputs_inside_the_source_are_refused(spark, tmp_path):
+    _seed(tmp_path, 1)
+    inside = PathRules(root=f"file:{tmp_path}/bucket/landed", bucket_marker="/bucket/", landing_marker="/raw/")
+    with pytest.raises(ValueError, match="landing root"):
+        _run(spark, _cfg(spark, tmp_path, rules=inside))
+    cfg = replace(_cfg(spark, tmp_path), ledger=Ledger(path=str(tmp_path / "bucket" / "raw" / "ledger")))
+    with pytest.raises(ValueError, match="ledger"):
+        _run(spark, cfg)
