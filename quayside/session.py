@@ -72,9 +72,17 @@ def new_run_dir(spark: SparkSession, label: str = "run") -> str:
 
 def qualify(spark: SparkSession, path: str) -> str:
     """Fully qualify a path against the cluster's default file system (driver side,
-    one call), so executors can open it without the Hadoop configuration."""
+    one call), so executors can open it without the Hadoop configuration. A URI
+    whose scheme has no Hadoop file system here is already absolute: kept as is."""
+    from py4j.protocol import Py4JJavaError
+
     jvm = spark.sparkContext._jvm
     hconf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(hconf)
+    try:
+        fs = p.getFileSystem(hconf)
+    except Py4JJavaError:
+        if "://" in path:
+            return path
+        raise
     return str(fs.makeQualified(p).toString())

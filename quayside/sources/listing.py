@@ -102,10 +102,23 @@ def _lister(glob: str | None, budget: int, dir_counter=None):
 
 
 def _root_status(spark: SparkSession, root: str) -> str | None:
-    """'dir', 'file' or None (absent), asked once on the driver."""
+    """'dir', 'file' or None (absent), asked once on the driver: through Hadoop's
+    file system when it has one for the scheme, else through pyarrow (the same
+    access the executors will use)."""
+    from py4j.protocol import Py4JJavaError
+
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    except Py4JJavaError:
+        import pyarrow.fs as pafs
+
+        afs, apath = FileSystems().resolve(root)
+        kind = afs.get_file_info(apath).type
+        if kind == pafs.FileType.NotFound:
+            return None
+        return "dir" if kind == pafs.FileType.Directory else "file"
     if not fs.exists(p):
         return None
     return "dir" if fs.getFileStatus(p).isDirectory() else "file"
