@@ -8,12 +8,16 @@ Task count: Spark packs ``binaryFile`` splits as if content were read (file
 length plus a 4 MiB open cost per file), so a tree of a million small files, or
 of 100 TB, would become tens of thousands of scan tasks that each only stat a
 few files. The listing is therefore coalesced (no shuffle) to at most
-``max_tasks`` tasks, two per core by default; each task then stats its share
-of the files and emits the metadata rows.
+``max_tasks`` tasks; by default two per core, but never more than 64 of Spark's
+packed splits per task (with dynamic allocation the core count can be small
+when the job is planned). Each task stats its share of the files and emits the
+metadata rows.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 LISTING_COLUMNS = ["path", "modificationTime", "length"]
@@ -37,5 +41,6 @@ def scan_files(
     paths = [path] if isinstance(path, str) else list(path)
     listing = reader.load(paths).select(*LISTING_COLUMNS)
     if max_tasks is None:
-        max_tasks = 2 * spark.sparkContext.defaultParallelism
+        splits = listing.rdd.getNumPartitions()  # planning only, no job
+        max_tasks = max(2 * spark.sparkContext.defaultParallelism, math.ceil(splits / 64))
     return listing.coalesce(max_tasks) if max_tasks > 0 else listing
