@@ -53,7 +53,7 @@ def plan_copy_tasks(
     spark: SparkSession,
     n_files: int,
     total_mb: float,
-    files_per_task: int = 1000,
+    files_per_task: int = 2000,
     mb_per_task: float = 2048.0,
 ) -> int:
     """Number of copy tasks: enough that no task holds more than
