@@ -93,7 +93,7 @@ def test_empty_source_touches_nothing(spark, tmp_path):
     assert read_ledger(spark, cfg.ledger).count() == 0
 
 
-def test_listing_modes_agree_in_pipeline(spark, tmp_path):
+def test_listing_modes_agree_in_runs(spark, tmp_path):
     _seed(tmp_path, 6)
     cfg = _cfg(spark, tmp_path, listing="binaryFile")
     assert _run(spark, cfg).count == 6
@@ -140,7 +140,7 @@ _names = st.sampled_from([f"d{i % 3}/f{i}.txt" for i in range(12)])
     first=st.dictionaries(_names, st.integers(1, 5), min_size=1, max_size=8),
     changes=st.dictionaries(_names, st.integers(0, 6), max_size=6),
 )
-def test_pipeline_property(spark, tmp_path_factory, first, changes):
+def test_landing_runs_property(spark, tmp_path_factory, first, changes):
     """Second pass copies exactly the new or strictly newer files; a third finds nothing."""
     base = tmp_path_factory.mktemp("prop")
     for rel, t in first.items():
@@ -167,8 +167,8 @@ def test_ledger_format_and_locator(spark, tmp_path, kind):
     if kind == "orc-path":
         ledger = Ledger(path=str(tmp_path / "ledger-orc"), fmt="orc")
     else:
-        spark.sql("DROP TABLE IF EXISTS quayside_pipeline_ledger")
-        ledger = Ledger(name="quayside_pipeline_ledger", fmt="parquet", buckets=4 if kind == "bucketed-table" else None)
+        spark.sql("DROP TABLE IF EXISTS quayside_runs_ledger")
+        ledger = Ledger(name="quayside_runs_ledger", fmt="parquet", buckets=4 if kind == "bucketed-table" else None)
     cfg = replace(_cfg(spark, tmp_path), ledger=ledger)
     assert _run(spark, cfg).count == 3
     assert _run(spark, cfg).count == 0
@@ -176,7 +176,7 @@ def test_ledger_format_and_locator(spark, tmp_path, kind):
     assert _run(spark, cfg).count == 1
     assert read_ledger(spark, ledger).count() == 4
     if kind != "orc-path":
-        spark.sql("DROP TABLE IF EXISTS quayside_pipeline_ledger")
+        spark.sql("DROP TABLE IF EXISTS quayside_runs_ledger")
 
 
 def test_step_by_step_flow(spark, tmp_path):
