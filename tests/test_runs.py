@@ -227,3 +227,21 @@ def test_outputs_inside_the_source_are_refused(spark, tmp_path):
     cfg = replace(_cfg(spark, tmp_path), ledger=Ledger(path=str(tmp_path / "bucket" / "raw" / "ledger")))
     with pytest.raises(ValueError, match="ledger"):
         _run(spark, cfg)
+
+
+def test_path_variants_end_to_end(spark, tmp_path):
+    """Case-insensitive bucket marker, any-extension stripping and kept tail in one run."""
+    write_file(f"{tmp_path}/BUCKET/raw/a/raw/x.tar.gz", b"1")
+    write_file(f"{tmp_path}/BUCKET/raw/b/y.csv", b"22")
+    rules = PathRules(root=f"file:{tmp_path}/landed", bucket_marker="/bucket/", landing_marker="/raw/",
+                      bucket_ignore_case=True, keep_tail=True, strip_ext="*")
+    cfg = LandingConfig(source=str(tmp_path / "BUCKET"), ledger=Ledger(path=str(tmp_path / "ledger")), rules=rules)
+    res = _run(spark, cfg)
+    got = {r["bucket_path"]: r["lakehouse_path"] for r in res.audit.collect()}
+    assert got == {
+        "raw/a/raw/x.tar.gz": f"file:{tmp_path}/landed/a/raw/x.tar",
+        "raw/b/y.csv": f"file:{tmp_path}/landed/b/y",
+    }
+    with open(f"{tmp_path}/landed/b/y", "rb") as fh:
+        assert fh.read() == b"22"
+    assert _run(spark, cfg).count == 0
