@@ -70,7 +70,13 @@ def plan_copy_tasks(
     return int(max(1, min(want, n_files)))
 
 
-def _copier(threads: int | None, chunk_bytes: int, copier=None, relative_to: str | None = None):
+def _copier(
+    threads: int | None,
+    chunk_bytes: int,
+    copier=None,
+    relative_to: str | None = None,
+    counters: tuple | None = None,
+):
     """Build the per-task function given to ``mapInPandas``.
 
     ``threads=None`` picks the pool size from the target file system: copies to
@@ -85,6 +91,10 @@ def _copier(threads: int | None, chunk_bytes: int, copier=None, relative_to: str
     ``relative_to``: a qualified base URI for landing paths given without a
     scheme and not absolute (Spark resolves such paths against the default file
     system's working directory; the ledger keeps them as given).
+
+    ``counters``: optional ``(success, error)`` Spark accumulators. Updates made
+    inside an action count once per successful task, so the totals are exact
+    without another pass over the audit rows.
     """
 
     def run(batches):
@@ -181,6 +191,10 @@ def _copier(threads: int | None, chunk_bytes: int, copier=None, relative_to: str
                 out["copied_at"] = pd.to_datetime([r[2] for r in results], utc=True)
                 out["status"] = [r[0] for r in results]
                 out["error"] = [r[1] for r in results]
+                if counters is not None:
+                    n_ok = sum(1 for r in results if r[0] == STATUS_SUCCESS)
+                    counters[0].add(n_ok)
+                    counters[1].add(len(results) - n_ok)
                 yield out
         finally:
             if pool:
@@ -196,6 +210,7 @@ def copy_plan(
     chunk_bytes: int = _CHUNK_BYTES,
     copier=None,
     relative_to: str | None = None,
+    counters: tuple | None = None,
 ) -> DataFrame:
     """The lazy copy: each evaluation copies again, so evaluate it once
     (``copy_files`` does)."""
@@ -203,7 +218,7 @@ def copy_plan(
     return (
         pending.select(*MANIFEST_COLUMNS)
         .repartition(max(1, num_tasks), F.col("source_path"))
-        .mapInPandas(_copier(threads, chunk_bytes, copier, relative_to), schema)
+        .mapInPandas(_copier(threads, chunk_bytes, copier, relative_to, counters), schema)
     )
 
 
@@ -217,6 +232,7 @@ def copy_files(
     total_mb: float | None = None,
     copier=None,
     relative_to: str | None = None,
+    counters: tuple | None = None,
 ) -> DataFrame:
     """Copy every pending file on the executors, stage the audit rows once
     at ``staging_dir`` (parquet), and return them read back from there.
@@ -232,6 +248,6 @@ def copy_files(
             ).first()
             n_files, total_mb = row["n"], row["mb"]
         num_tasks = plan_copy_tasks(spark, n_files, total_mb)
-    plan = copy_plan(pending, num_tasks, threads, copier=copier, relative_to=relative_to)
+    plan = copy_plan(pending, num_tasks, threads, copier=copier, relative_to=relative_to, counters=counters)
     plan.write.mode("errorifexists").parquet(staging_dir)
     return spark.read.schema(plan.schema).parquet(staging_dir)

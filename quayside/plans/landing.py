@@ -26,7 +26,7 @@ from quayside.operators.detect import pending_files
 from quayside.operators.guards import preview
 from quayside.operators.inventory import extract_inventory
 from quayside.operators.manifest import PathRules, build_manifest
-from quayside.schema import BYTES_PER_MIB
+from quayside.schema import BYTES_PER_MIB, STATUS_ERROR, STATUS_SUCCESS
 from quayside.session import new_run_dir, qualify
 from quayside.sources.ledger import Ledger, append_ledger, empty_ledger, ensure_ledger, read_ledger
 
@@ -145,6 +145,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         audit = empty_ledger(spark, ledger.schema)
         return LandingResult(inventory, manifest, ledger, pending, audit, rejected, 0, run_dir, stats)
 
+    counters = (spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0))
     audit = copy_files(
         spark,
         to_copy,
@@ -154,13 +155,14 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         n_files=n,
         total_mb=total_mb,
         copier=cfg.copier,
+        counters=counters,
     )
     lap("copy")
     # NOT NULL columns were checked on the pending rows; the copy sets the rest.
     append_ledger(spark, audit, cfg.ledger, row_count=n, check_nulls=False)
     stats["copied"] = n
     lap("append")
-    status = {r["status"]: r["n"] for r in audit.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    status = {k: v for k, v in ((STATUS_SUCCESS, counters[0].value), (STATUS_ERROR, counters[1].value)) if v}
     stats["status"] = status
     log.info("copied %d files: %s; ledger appended", n, status)
     _log_preview("audit", audit, cfg.preview_rows)

@@ -50,6 +50,7 @@ def test_failed_copy_recorded_and_not_retried_by_default(spark, tmp_path):
     res = _run(spark, cfg)
     status = {os.path.basename(r["source_path"]): r["status"] for r in res.audit.collect()}
     assert status == {"f0.txt": "SUCCESS", "f1.txt": "ERROR", "f2.txt": "SUCCESS"}
+    assert res.stats["status"] == {"SUCCESS": 2, "ERROR": 1}  # counted in the copy tasks
     os.remove(f"{tmp_path}/landed/d1")
     assert _run(spark, cfg).count == 0
     retry = _run(spark, replace(cfg, retry_failed=True))
