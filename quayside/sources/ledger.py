@@ -129,7 +129,17 @@ def append_ledger(
         if bad:
             raise ValueError(f"audit rows violate NOT NULL ledger columns: {bad}")
     target = ledger_table_schema(spark, ledger)
-    aligned = audit.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
+    have = set(audit.columns)
+    missing = [f.name for f in target.fields if f.name not in have and not f.nullable]
+    if missing:
+        raise ValueError(f"audit rows lack ledger columns {missing}")
+    # stored schema wins: columns the audit rows lack are NULL (nullable ones only)
+    aligned = audit.select(
+        *[
+            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in target.fields
+        ]
+    )
     files = max(1, math.ceil(n * _ROW_BYTES / _TARGET_FILE_BYTES))
     # audit rows are staged parquet: fewer output files without a shuffle
     writer = aligned.coalesce(files).write.format(ledger.fmt).mode("append")

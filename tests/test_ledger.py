@@ -92,3 +92,13 @@ def test_bucketed_ledger_detection_shuffles_only_the_manifest(spark, tmp_path):
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     with pytest.raises(ValueError):
         Ledger(path="/x", buckets=4)
+
+
+def test_extra_nullable_ledger_column_is_filled_with_null(spark, tmp_path):
+    led = Ledger(path=str(tmp_path / "wider"))
+    wider = ledger_schema().add("note", "string", True)
+    spark.createDataFrame([], wider).write.parquet(led.path)
+    ensure_ledger(spark, led)  # exists: kept with its own schema
+    append_ledger(spark, spark.createDataFrame([ROW], ledger_schema()), led)
+    rows = read_ledger(spark, led).collect()
+    assert len(rows) == 1 and rows[0]["note"] is None and rows[0]["source_path"] == "p"
