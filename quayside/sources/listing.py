@@ -143,7 +143,7 @@ def list_files(
     if status is None:
         raise FileNotFoundError(f"listing root does not exist: {root}")
     if status == "file":  # like binaryFile: a file root lists that file
-        return scan_files(spark, root, max_tasks=1)
+        return scan_files(spark, root, glob=glob, max_tasks=1)
     cap = max_tasks or 4 * spark.sparkContext.defaultParallelism
     frontier = spark.createDataFrame([(root,)], "dir string")
     n_dirs, level = 1, 0
