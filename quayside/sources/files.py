@@ -31,7 +31,13 @@ def scan_files(
     options: dict[str, str] | None = None,
     max_tasks: int | None = None,
 ) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    # A file deleted between the driver's listing and the task's stat is skipped,
+    # not a failed run (deletes are not propagated anyway).
+    reader = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("ignoreMissingFiles", "true")
+    )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if modified_after:

@@ -178,3 +178,10 @@ def test_distributed_listing_root_cases(spark, tmp_path):
     assert [r[0] for r in list_files(spark, one).collect()] == [r[0] for r in scan_files(spark, one).collect()]
     with pytest.raises(FileNotFoundError):
         list_files(spark, str(tmp_path / "missing"))
+
+
+def test_file_deleted_after_listing_is_skipped(spark, tmp_path):
+    root = _tree(str(tmp_path / "src"))
+    listing = scan_files(spark, root)  # the driver lists here
+    os.remove(f"{root}/raw/a/one.txt")  # the source loses a file before the scan runs
+    assert sorted(os.path.basename(r[0]) for r in listing.collect()) == ["three.bin", "two.csv"]
