@@ -96,7 +96,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     pending = spark.read.schema(pending_plan.schema).parquet(f"{run_dir}/pending")
     lap("detect_and_stage")
 
-    # One aggregate job answers every pre-copy question: size of the batch,
+    # One aggregate (a single action) answers every pre-copy question: size of the batch,
     # rows without a landing or bucket path (the ledger forbids NULL there),
     # and whether two sources claim one landing path.
     unmapped_row = F.col("lakehouse_path").isNull() | F.col("bucket_path").isNull()
