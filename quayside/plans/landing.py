@@ -177,10 +177,16 @@ def _log_preview(label: str, df: DataFrame, rows: int) -> None:
 
 
 def _check_layout(spark: SparkSession, cfg: LandingConfig) -> None:
-    """Refuse a landing root or path ledger inside a source folder: the run's own
-    output would be listed as new sources by the next run."""
+    """Refuse overlapping source folders, and a landing root or path ledger inside
+    a source folder (the run's own output would be listed as new sources by the
+    next run). Paths are compared qualified, on the driver, before any job."""
     sources = [cfg.source] if isinstance(cfg.source, str) else list(cfg.source)
     roots = [qualify(spark, s).rstrip("/") + "/" for s in sources]
+    # nested or repeated roots would list the same files twice
+    for i, a in enumerate(roots):
+        for b in roots[i + 1:]:
+            if a.startswith(b) or b.startswith(a):
+                raise ValueError(f"source folders overlap: {a!r} and {b!r}")
     targets = {"landing root": cfg.rules.root}
     if cfg.ledger.path is not None:
         targets["ledger"] = cfg.ledger.path

@@ -246,3 +246,10 @@ def test_path_variants_end_to_end(spark, tmp_path):
     with open(f"{tmp_path}/landed/b/y", "rb") as fh:
         assert fh.read() == b"22"
     assert _run(spark, cfg).count == 0
+
+
+def test_overlapping_sources_are_refused(spark, tmp_path):
+    _seed(tmp_path, 2)
+    cfg = replace(_cfg(spark, tmp_path), source=[str(tmp_path / "bucket"), str(tmp_path / "bucket" / "raw")])
+    with pytest.raises(ValueError, match="overlap"):
+        _run(spark, cfg)
