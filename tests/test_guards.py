@@ -63,3 +63,24 @@ def test_cli_parse():
         parse(["--source", "x", "--root", "R", "--landing-marker", "/m/"])  # a ledger is required
     with pytest.raises(SystemExit):
         parse(["--source", "x", "--ledger-path", "/l", "--root", "R"])  # so is the landing marker
+
+
+def test_cli_main_end_to_end(spark, tmp_path, capsys):
+    import json
+    import os
+
+    from quayside.__main__ import main
+
+    for name in ("a/one.txt", "b/two.txt"):
+        path = f"{tmp_path}/src/raw/{name}"
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as fh:
+            fh.write(name.encode())
+    argv = ["--source", f"{tmp_path}/src", "--ledger-path", f"{tmp_path}/ledger", "--root", f"file:{tmp_path}/landed",
+            "--bucket-marker", "/src/", "--landing-marker", "/raw/", "--preview", "2"]
+    assert main(argv) == 0
+    first = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert first["copied"] == 2 and first["status"] == {"SUCCESS": 2}
+    assert open(f"{tmp_path}/landed/b/two.txt", "rb").read() == b"b/two.txt"
+    assert main(argv) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["copied"] == 0
