@@ -121,3 +121,13 @@ def test_shuffle_join_plan_has_two_exchanges(spark, tmp_path):
     # one shuffle per side: the aggregate's hash partitioning is reused by the join
     final = text.split("== Initial Plan ==")[0]
     assert final.count("Exchange hashpartitioning(source_path") == 2
+
+
+def test_retry_failed_status_filter_reaches_the_scan(spark, tmp_path):
+    led_dir = str(tmp_path / "ledger")
+    ledger(spark, [("a", T1), ("a", T2, "ERROR")]).write.parquet(led_dir)
+    plan = pending_files(manifest(spark, [("a", T2)]), spark.read.parquet(led_dir), retry_failed=True)
+    assert [r[0] for r in plan.collect()] == ["a"]
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(status,SUCCESS)" in text  # pushed to the parquet reader
+    assert "ReadSchema: struct<source_path:string,source_modified_at:timestamp,status:string>" in text
