@@ -3,11 +3,13 @@
 Plan shape: the ledger is pruned to (source_path, source_modified_at) at the
 scan, reduced by a partial (map-side) max per path, shuffled once on the path,
 then left-joined to the manifest. No join strategy is forced: Catalyst/AQE
-broadcast the per-path maxima only when their measured size is below
-``spark.sql.autoBroadcastJoinThreshold`` and fall back to a shuffle join
-otherwise. Both sides are unique per path, so the join cannot be skewed by a
-hot key; a path repeated across many ledger rows is collapsed by the partial
-aggregate before the shuffle.
+broadcast the per-path maxima only when their estimated size (under AQE, their
+measured shuffle size) is below ``spark.sql.autoBroadcastJoinThreshold``, and
+otherwise use a sort-merge join that reuses the aggregate's partitioning (a
+ledger bucketed on source_path needs no ledger shuffle at all). Both sides are
+unique per path, so the join cannot be skewed by a hot key; a path repeated
+across many ledger rows is collapsed by the partial aggregate before the
+shuffle.
 """
 
 from __future__ import annotations
