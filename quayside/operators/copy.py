@@ -3,8 +3,9 @@
 The pending rows are hash-partitioned on ``source_path`` into a number of copy
 tasks sized from the file count and bytes, and each task copies its files with
 ``pyarrow.fs`` (server-side ``copy_file`` when source and target share a file
-system, a chunked stream otherwise) on a small thread pool, since copies are
-I/O-bound. Nothing about the file list passes through the driver.
+system, a chunked stream otherwise), one at a time on a local disk and on a
+thread pool against HDFS or object stores, where copies wait on the network.
+Nothing about the file list passes through the driver.
 
 Side effects and retries: a task may be re-run (executor loss, speculation),
 so every copy is idempotent — on file systems with atomic rename the bytes go
