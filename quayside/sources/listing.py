@@ -10,7 +10,9 @@ found while it has listed fewer than ``budget`` entries. Files are written to a
 staging folder as they are found; subdirectories it did not get to are written
 as the next round's input. A small tree is therefore listed by one task in one
 round, a large one fans out over the cluster after the first round, and no task
-lists more than its own directories plus ``budget`` entries. The driver only
+lists more than its own directories plus ``budget`` entries or ``dir_budget``
+further directories (a wide tree costs one request per directory on an object
+store, so it must fan out rather than be walked by one task). The driver only
 holds one count per round; the walk ends when a round leaves no directory. The
 result is read back from staging: the listing is evaluated once, however often
 it is used.
@@ -45,9 +47,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _LEVEL_SCHEMA = "kind string, path string, modificationTime timestamp, length long"
 _BATCH_ROWS = 20_000
 _BUDGET = 50_000
+# Directories a task may list beyond the ones assigned to it, per round: on an
+# object store each directory is at least one request, so a wide tree must fan
+# out to the cluster rather than be walked by the task that found it.
+_DIR_BUDGET = 256
 
 
-def _lister(glob: str | None, budget: int, dir_counter=None):
+def _lister(glob: str | None, budget: int, dir_counter=None, dir_budget: int = _DIR_BUDGET):
     def run(batches):
         import fnmatch
         from collections import deque
@@ -69,13 +75,16 @@ def _lister(glob: str | None, budget: int, dir_counter=None):
 
         rows: list = []
         listed = 0  # entries listed by this task, across its batches
+        extra_dirs = 0  # directories listed beyond the assigned ones
         for pdf in batches:
             queue = deque((d, True) for d in pdf["dir"])
             while queue:
                 parent, must = queue.popleft()
-                if not must and listed >= budget:
+                if not must and (listed >= budget or extra_dirs >= dir_budget):
                     rows.append(("dir", parent, None, None))  # left for the next round
                     continue
+                if not must:
+                    extra_dirs += 1
                 fs, ppath = resolve(parent)
                 if dir_counter is not None:
                     dir_counter.add(1)
@@ -132,6 +141,7 @@ def list_files(
     max_tasks: int | None = None,
     budget: int = _BUDGET,
     dir_counter=None,
+    dir_budget: int = _DIR_BUDGET,
 ) -> DataFrame:
     """List every visible file under ``root`` on the executors; see the module doc.
 
@@ -151,7 +161,7 @@ def list_files(
         out = f"{staging_dir}/level-{level:05d}"
         (
             frontier.repartition(max(1, min(n_dirs, cap)), "dir")
-            .mapInPandas(_lister(glob, budget, dir_counter), _LEVEL_SCHEMA)
+            .mapInPandas(_lister(glob, budget, dir_counter, dir_budget), _LEVEL_SCHEMA)
             .write.mode("errorifexists")
             .parquet(out)
         )
