@@ -53,10 +53,16 @@ _BUDGET = 50_000
 _DIR_BUDGET = 256
 
 
-def _lister(glob: str | None, budget: int, dir_counter=None, dir_budget: int = _DIR_BUDGET):
+def _lister(
+    glob: str | None,
+    budget: int,
+    dir_counter=None,
+    dir_budget: int = _DIR_BUDGET,
+    threads: int | None = None,
+):
     def run(batches):
         import fnmatch
-        from collections import deque
+        from concurrent.futures import ThreadPoolExecutor
 
         import pandas as pd
         import pyarrow.fs as pafs
@@ -73,39 +79,66 @@ def _lister(glob: str | None, budget: int, dir_counter=None, dir_budget: int = _
             pdf["modificationTime"] = pd.to_datetime(pdf["ms"], unit="ms", utc=True)
             return pdf[["kind", "path", "modificationTime", "length"]]
 
+        def list_one(parent):
+            fs, ppath = resolve(parent)
+            return fs.get_file_info(pafs.FileSelector(ppath, recursive=False, allow_not_found=True))
+
+        def pool_size(first_dir) -> int:
+            if threads is not None:
+                return max(1, threads)
+            try:
+                return 1 if resolve(first_dir)[0].type_name == "local" else 16
+            except Exception:
+                return 1
+
         rows: list = []
         listed = 0  # entries listed by this task, across its batches
         extra_dirs = 0  # directories listed beyond the assigned ones
-        for pdf in batches:
-            queue = deque((d, True) for d in pdf["dir"])
-            while queue:
-                parent, must = queue.popleft()
-                if not must and (listed >= budget or extra_dirs >= dir_budget):
-                    rows.append(("dir", parent, None, None))  # left for the next round
-                    continue
-                if not must:
-                    extra_dirs += 1
-                fs, ppath = resolve(parent)
-                if dir_counter is not None:
-                    dir_counter.add(1)
-                selector = pafs.FileSelector(ppath, recursive=False, allow_not_found=True)
-                base = parent.rstrip("/")
-                for info in fs.get_file_info(selector):
-                    name = info.base_name
-                    if hidden(name):
-                        continue
-                    listed += 1
-                    if info.type == pafs.FileType.Directory:
-                        queue.append((f"{base}/{name}", False))
-                    elif info.type == pafs.FileType.File and info.size:
-                        if glob and not fnmatch.fnmatchcase(name, glob):
+        pool = None
+        try:
+            for pdf in batches:
+                queue = [(d, True) for d in pdf["dir"]]
+                while queue:
+                    # one wave: every queued directory still within the budgets,
+                    # listed together (concurrently against a remote store)
+                    wave, queue = queue, []
+                    to_list = []
+                    for parent, must in wave:
+                        if not must and (listed >= budget or extra_dirs >= dir_budget):
+                            rows.append(("dir", parent, None, None))  # left for the next round
                             continue
-                        rows.append(("file", f"{base}/{name}", info.mtime_ns // 1_000_000, info.size))
-                    if len(rows) >= _BATCH_ROWS:
-                        yield frame(rows)
-                        rows = []
-        if rows:
-            yield frame(rows)
+                        if not must:
+                            extra_dirs += 1
+                        to_list.append(parent)
+                    if not to_list:
+                        continue
+                    if pool is None:
+                        size = pool_size(to_list[0])
+                        pool = ThreadPoolExecutor(max_workers=size) if size > 1 else False
+                    listings = pool.map(list_one, to_list) if pool else map(list_one, to_list)
+                    for parent, infos in zip(to_list, listings):
+                        if dir_counter is not None:
+                            dir_counter.add(1)
+                        base = parent.rstrip("/")
+                        for info in infos:
+                            name = info.base_name
+                            if hidden(name):
+                                continue
+                            listed += 1
+                            if info.type == pafs.FileType.Directory:
+                                queue.append((f"{base}/{name}", False))
+                            elif info.type == pafs.FileType.File and info.size:
+                                if glob and not fnmatch.fnmatchcase(name, glob):
+                                    continue
+                                rows.append(("file", f"{base}/{name}", info.mtime_ns // 1_000_000, info.size))
+                        if len(rows) >= _BATCH_ROWS:
+                            yield frame(rows)
+                            rows = []
+            if rows:
+                yield frame(rows)
+        finally:
+            if pool:
+                pool.shutdown()
 
     return run
 
@@ -142,11 +175,14 @@ def list_files(
     budget: int = _BUDGET,
     dir_counter=None,
     dir_budget: int = _DIR_BUDGET,
+    threads: int | None = None,
 ) -> DataFrame:
     """List every visible file under ``root`` on the executors; see the module doc.
 
     ``dir_counter``: an optional Spark accumulator that counts directory listings
-    (one per directory per evaluation; a retried task counts again)."""
+    (one per directory per evaluation; a retried task counts again).
+    ``threads``: directories listed at once per task; None picks 1 on a local
+    disk and 16 against a remote store, where each listing waits on a request."""
     staging_dir = staging_dir or new_run_dir(spark, "listing")
     root = qualify(spark, root)
     status = _root_status(spark, root)
@@ -161,7 +197,7 @@ def list_files(
         out = f"{staging_dir}/level-{level:05d}"
         (
             frontier.repartition(max(1, min(n_dirs, cap)), "dir")
-            .mapInPandas(_lister(glob, budget, dir_counter, dir_budget), _LEVEL_SCHEMA)
+            .mapInPandas(_lister(glob, budget, dir_counter, dir_budget, threads), _LEVEL_SCHEMA)
             .write.mode("errorifexists")
             .parquet(out)
         )

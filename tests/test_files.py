@@ -33,18 +33,20 @@ def test_inventory_skips_zero_byte_and_hidden(spark, tmp_path):
     assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
 
-@pytest.mark.parametrize("budget,dir_budget", [(1, 256), (3, 256), (50_000, 1), (50_000, 256)])
-def test_distributed_listing_equals_binary_file(spark, tmp_path, budget, dir_budget):
+@pytest.mark.parametrize(
+    "budget,dir_budget,threads", [(1, 256, None), (3, 256, 4), (50_000, 1, None), (50_000, 256, None), (50_000, 2, 8)]
+)
+def test_distributed_listing_equals_binary_file(spark, tmp_path, budget, dir_budget, threads):
     root = _tree(str(tmp_path / "src"))
     write_file(f"{root}/raw/_skipdir/inner.txt", b"hidden dir")
     write_file(f"{root}/raw/.dotdir/inner.txt", b"hidden dir")
     write_file(f"{root}/raw/k=_v/_part=1/kept.txt", b"kept")
     write_file(f"{root}/raw/deep/a/b/c/d/e.txt", b"deep")
-    dist = list_files(spark, root, budget=budget, dir_budget=dir_budget)
+    dist = list_files(spark, root, budget=budget, dir_budget=dir_budget, threads=threads)
     spark_scan = scan_files(spark, root)
     assert dist.count() == spark_scan.count() == 5
     assert dist.exceptAll(spark_scan).count() == 0 and spark_scan.exceptAll(dist).count() == 0
-    only_txt = list_files(spark, root, glob="*.txt", budget=budget, dir_budget=dir_budget)
+    only_txt = list_files(spark, root, glob="*.txt", budget=budget, dir_budget=dir_budget, threads=threads)
     assert only_txt.exceptAll(scan_files(spark, root, glob="*.txt")).count() == 0
     assert only_txt.count() == 3
 
