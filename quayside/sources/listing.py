@@ -32,6 +32,7 @@ other directory is spread over all tasks.
 
 from __future__ import annotations
 
+import math
 import sys
 
 from pyspark import cloudpickle
@@ -190,13 +191,15 @@ def list_files(
         raise FileNotFoundError(f"listing root does not exist: {root}")
     if status == "file":  # like binaryFile: a file root lists that file
         return scan_files(spark, root, glob=glob, max_tasks=1)
-    cap = max_tasks or 4 * spark.sparkContext.defaultParallelism
+    cores_cap = max_tasks or 4 * spark.sparkContext.defaultParallelism
     frontier = spark.createDataFrame([(root,)], "dir string")
     n_dirs, level = 1, 0
     while n_dirs:
         out = f"{staging_dir}/level-{level:05d}"
         (
-            frontier.repartition(max(1, min(n_dirs, cap)), "dir")
+            # four tasks per core, but never more than 256 assigned directories per task
+            # (the core count can be small at planning time under dynamic allocation)
+            frontier.repartition(max(1, min(n_dirs, max(cores_cap, math.ceil(n_dirs / 256)))), "dir")
             .mapInPandas(_lister(glob, budget, dir_counter, dir_budget, threads), _LEVEL_SCHEMA)
             .write.mode("errorifexists")
             .parquet(out)
