@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import logging
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +48,7 @@ class LandingConfig:
     max_files: int | None = None  # None: no cap (the copy is distributed)
     copy_threads: int | None = None  # None: 1 per task on a local disk, 16 on HDFS / object stores
     num_tasks: int | None = None
-    copier: object = None  # optional (source_uri, target_uri) -> None replacing the pyarrow copy
+    copier: Callable[[str, str], None] | None = None  # replaces the pyarrow copy (must overwrite, raise on failure)
     staging_dir: str | None = None  # default: a new folder under spark.checkpoint.dir
     preview_rows: int = 0  # > 0: log the first rows (by source_path) of the pending and audit sets
 
