@@ -7,6 +7,7 @@ oracle SQL below spells out the same mappings for DuckDB.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -244,6 +245,18 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# Queries of the optional subpackage, where it is there.
+_ORACLE_MORE: dict[str, str] = {}
+if importlib.util.find_spec("quayside.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline
+    from quayside.llm import queries as _llm
+
+    _QUERIES |= _llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    _ORACLE_MORE |= _llm.ORACLE_SQL
+    if corpus_pipeline.ORACLE_SQL:
+        _ORACLE_MORE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: new-or-updated files, orders (manifest) vs lineitem (ledger), sf0.001."""
     return q_pending_files(spark, SMOKE_DIR)
@@ -394,4 +407,4 @@ FROM {_BLOBS}""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _ORACLE.items() if k in _QUERIES}
+    return {k: v for k, v in (_ORACLE | _ORACLE_MORE).items() if k in _QUERIES}
