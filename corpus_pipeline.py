@@ -4,13 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.llm import decontaminate, mixing, simhash, token_files, toxicity
 from quayside.llm.common import run_dir, staged, table
-from quayside.llm.mixing import mix_sources
-from quayside.llm.simhash import simhash_groups
 
-STAGES: list = []
 
-#: Signed taggers, covering codes and file formats are not expressible in SQL.
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.one_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(docs)
+
+
+def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return token_files.token_output(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near-duplicates", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("mixing", mix),
+    ("token-ids", write_ids),
+]
+
+#: Not to be had in SQL: the tagger, XXH64 fingerprints with connected components, and the token files.
 ORACLE_SQL = None
 
 

@@ -107,25 +107,35 @@ def thresholds(spark: SparkSession, sizes: DataFrame, budget: DataFrame, path: s
     return staged(spark, state, f"{path}/state")
 
 
-def mix_sources(
-    docs: DataFrame, seed: str = "mix-1", cycle: int = 3, cap: int = 3, path: str | None = None
-) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` of every document; ``taken`` is a whole multiple of ``size``."""
+def _planned(docs: DataFrame, seed: str, cycle: int, cap: int, path: str) -> tuple[DataFrame, DataFrame]:
+    """The documents' sizes, and for each source (``_source``) its target, copies and threshold."""
     spark = docs.sparkSession
-    path = path or run_dir(spark, "mix")
     rows = pick(docs, doc_id="long", source="string", text="string")
-    sizes = staged(
-        spark,
-        rows.select("doc_id", "source", n_words("text").alias("size"), doc_hash("doc_id", seed).alias("hash")),
-        f"{path}/sizes",
-    )
+    sizes = rows.select("doc_id", "source", n_words("text").alias("size"), doc_hash("doc_id", seed).alias("hash"))
+    sizes = staged(spark, sizes, f"{path}/sizes")
     state = thresholds(spark, sizes, budgets(source_targets(sizes, cycle, cap)), path)
-    state = state.withColumnRenamed("source", "_source")
+    return sizes, state.withColumnRenamed("source", "_source")
+
+
+def mix_sources(docs: DataFrame, seed: str = "mix-1", cycle: int = 3, cap: int = 3, path: str | None = None) -> DataFrame:
+    """``doc_id, source, size, source_size, target, taken`` of every document; ``taken`` is a whole multiple of ``size``."""
+    sizes, state = _planned(docs, seed, cycle, cap, path or run_dir(docs.sparkSession, "mix"))
     out = sizes.join(state, sizes["source"].eqNullSafe(state["_source"]))
     times = F.col("copies") + (F.col("hash") < F.col("below")).cast("long")
     return out.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * times).alias("taken"))
 
 
+def mixed(docs: DataFrame, seed: str = "mix-1", cycle: int = 3, cap: int = 3, path: str | None = None) -> DataFrame:
+    """The documents of the mix, each as often as it is taken, with all their columns."""
+    _, state = _planned(docs, seed, cycle, cap, path or run_dir(docs.sparkSession, "mix"))
+    state = state.select("_source", F.col("copies").alias("_copies"), F.col("below").alias("_below"))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.withColumn("_mix_hash", doc_hash("`doc_id`", seed))
+    out = marked.join(state, F.col("`source`").cast("string").eqNullSafe(F.col("_source")))
+    times = (F.col("_copies") + (F.col("_mix_hash") < F.col("_below")).cast("long")).cast("int")
+    return out.withColumn("_turn", F.explode(F.array_repeat(F.lit(1), times))).select(*names)
+
+
 def q_op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.llm.common import table
 

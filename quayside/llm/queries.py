@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
+from quayside.llm.decontaminate import q_op4_decontaminate
+from quayside.llm.html_text import q_op3_html_text
+from quayside.llm.licenses import q_op7_license_scan
 from quayside.llm.mixing import ORACLE_OP8, q_op8_mixing
+from quayside.llm.quality_model import q_op1_quality_model
 from quayside.llm.quality_rules import q_op9_quality_rules
 from quayside.llm.simhash import q_op6_simhash
+from quayside.llm.substrings import ORACLE_OP2, q_op2_substring_dedup
+from quayside.llm.token_files import q_op10_token_files
+from quayside.llm.toxicity import q_op5_toxicity
 
 QUERIES = {
+    "op1_quality_model": q_op1_quality_model,
+    "op2_substring_dedup": q_op2_substring_dedup,
+    "op3_html_text": q_op3_html_text,
+    "op4_decontaminate": q_op4_decontaminate,
+    "op5_toxicity": q_op5_toxicity,
     "op6_simhash": q_op6_simhash,
+    "op7_license_scan": q_op7_license_scan,
     "op8_mixing": q_op8_mixing,
     "op9_quality_rules": q_op9_quality_rules,
+    "op10_token_files": q_op10_token_files,
 }
 
-ORACLE_SQL = {"op8_mixing": ORACLE_OP8}
+ORACLE_SQL = {"op2_substring_dedup": ORACLE_OP2, "op8_mixing": ORACLE_OP8}

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.common import pick, run_dir, staged, steps, table, text_bytes
@@ -78,14 +78,15 @@ def _fingerprint(width: int):
             each = [np.array(shingle_hashes(data[a:b], width), np.uint64) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
             at = np.concatenate(([0], np.cumsum([len(x) for x in each])))
             prints = majority(np.concatenate(each), at)
-            yield pa.RecordBatch.from_arrays([rb.column("doc_id"), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([rb.column("doc_id"), rb.column("text_hash"), pa.array(prints.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed long."""
-    return pick(docs, doc_id="long", text="string").mapInArrow(_fingerprint(width), "doc_id long, fp long")
+    """``doc_id, text_hash, fp``: the fingerprint as a signed long; doc_id and text_hash tell rows apart."""
+    rows = pick(docs, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text"))
+    return rows.mapInArrow(_fingerprint(width), "doc_id long, text_hash long, fp long")
 
 
 # ---------------------------------------------------------------- anchors
@@ -185,19 +186,45 @@ def links(spark: SparkSession, distinct: DataFrame, path: str, most: int = 3, bu
     return found.union(dealt.groupBy("place", "piece", "byte").applyInPandas(_cluster(most), "a long, b long"))
 
 
-def simhash_groups(docs: DataFrame, width: int = 3, most: int = 3, busy: int = BUSY, path: str | None = None) -> DataFrame:
-    """``doc_id, fingerprint`` (16 hex digits) ``, component_id``: the smallest doc_id reachable over links."""
+def _grouped(docs: DataFrame, width: int, most: int, busy: int, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents' fingerprints, the distinct ones with their smallest doc_id, and the root of each linked one."""
     spark = docs.sparkSession
-    path = path or run_dir(spark, "simhash")
     prints = staged(spark, fingerprints(docs, width), f"{path}/prints")
     distinct = staged(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("least")), f"{path}/distinct")
     roots = components(spark, links(spark, distinct.select("fp"), f"{path}/links", most, busy), f"{path}/components")
-    linked = roots.join(distinct, roots["node"] == distinct["fp"]).select("fp", "root", "least")
+    return prints, distinct, roots.select(F.col("node").alias("fp"), "root")
+
+
+def simhash_groups(docs: DataFrame, width: int = 3, most: int = 3, busy: int = BUSY, path: str | None = None) -> DataFrame:
+    """``doc_id, fingerprint`` (16 hex digits) ``, component_id``: the smallest doc_id reachable over links."""
+    prints, distinct, roots = _grouped(docs, width, most, busy, path or run_dir(docs.sparkSession, "simhash"))
+    linked = roots.join(distinct, "fp")
     named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     groups = linked.select("fp", "root").join(named, "root").select("fp", "component_id")
     groups = distinct.join(groups, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
     return prints.join(groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, width: int = 3, most: int = 3, busy: int = BUSY, path: str | None = None) -> DataFrame:
+    """One document of each group, with all its columns: the smallest doc_id (null last), then text hash.
+    Of rows equal in both, one stays."""
+    spark = docs.sparkSession
+    path = path or run_dir(spark, "simhash")
+    prints, _, roots = _grouped(docs, width, most, busy, path)
+    rows = prints.groupBy("fp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "n")).alias("r")
+    keep = rows.groupBy("root").agg(first).select(F.col("r.doc_id").alias("_keep_id"), F.col("r.text_hash").alias("_keep_text"), F.col("r.n").alias("_keep_n"))
+    keep = staged(spark, keep, f"{path}/keep")
+    same = F.col("`doc_id`").cast("long").eqNullSafe(F.col("_keep_id")) & (F.xxhash64(F.col("`text`").cast("string")) == F.col("_keep_text"))
+    kept = docs.join(keep, same)
+    if not keep.filter("_keep_n > 1").limit(1).count():
+        return kept.select(docs["*"])
+    turn = F.row_number().over(Window.partitionBy("_keep_id", "_keep_text").orderBy(F.lit(0)))
+    repeated = kept.filter("_keep_n > 1").withColumn("_keep_turn", turn).filter("_keep_turn = 1")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.filter("_keep_n = 1").select(*names).union(repeated.select(*names))
+
+
 def q_op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
