@@ -6,9 +6,11 @@ least ``NEEDED`` (11) places: up to two substituted tokens in any window. Every
 such window holds one of two spaced seeds without a substitution: masks of six
 token positions that skip the others, whose two shapes together cover all pairs of
 substituted places (``test_masks_cover_all_pairs_of_substitutions`` tries them all).
-Seeds of the items are joined with those at every place of every document, and
-around each hit all windows that hold the seed are compared token by token, in
-the same stage, so only verified hits are shuffled.
+Seeds of the items are joined with those at every place of every document; the
+tokens around each hit are cut out, and all windows that hold the seed are compared
+token by token, in the same stage, so only verified hits are shuffled. Up to the cut
+everything is one generated loop over a document's tokens: a token array is never
+copied for a place, which would cost the square of a text's length.
 
 The items' seeds are broadcast in blocks of at most ``BLOCK_SEEDS`` rows, counted
 beforehand; a larger benchmark takes several passes. The documents never move.
@@ -33,6 +35,8 @@ NEEDED = 11
 MIN_TOKENS = 5
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
 BLOCK_SEEDS = 100_000
+#: Tokens that a window can have before its seed.
+_BEFORE = WINDOW - 1 - min(m[-1] for m in MASKS)
 
 _GAP = "[^\\p{L}\\p{N}]+"
 
@@ -62,7 +66,7 @@ def item_seeds(benchmark: DataFrame, path: str) -> DataFrame:
             F.slice("t", lo + 1, F.col("at") + WINDOW - lo).alias("around"),
             F.lit(WINDOW).alias("window"), F.lit(NEEDED).alias("needed"),
         ))
-    for n in range(MIN_TOKENS, WINDOW):
+    for n in sorted(r["n"] for r in items.filter(F.col("n") < WINDOW).select("n").distinct().collect()):
         parts.append(items.filter(F.col("n") == n).select(
             _seed(tuple(range(n)), "t", F.lit(0)).alias("key"), "item_id", F.lit(0).alias("back"),
             F.col("t").alias("around"), F.lit(n).alias("window"), F.lit(n).alias("needed"),
@@ -70,20 +74,21 @@ def item_seeds(benchmark: DataFrame, path: str) -> DataFrame:
     return staged(spark, reduce(DataFrame.union, parts), f"{path}/seeds")
 
 
-def _verified(places: DataFrame) -> DataFrame:
-    """The best window around each hit, where it agrees in enough places."""
-    begin = F.col("at") - F.col("back")
-    agree = F.transform("around", lambda x, j: F.when(F.get(F.col("t"), begin + j) == x, 1).otherwise(0))
-    rows = places.withColumn("agree", agree)
-    rows = rows.filter(F.aggregate("agree", F.lit(0), lambda a, b: a + b) >= F.col("needed"))
+def _verified(hits: DataFrame) -> DataFrame:
+    """``best`` of each hit: the window with the most equal tokens, where it has enough. A generator, as
+    a filter would become part of the join, for which the hits' tokens are not yet cut out."""
+    agree = F.transform("around", lambda x, j: F.when(F.get(F.col("near"), j + _BEFORE - F.col("back")) == x, 1).otherwise(0))
+    add = lambda xs: F.aggregate(xs, F.lit(0), lambda a, b: a + b)
     windows = F.transform(
         F.sequence(F.lit(0), F.size("agree") - F.col("window")),
         lambda s: F.struct(
-            F.aggregate(F.slice(F.col("agree"), s + 1, F.col("window")), F.lit(0), lambda a, b: a + b).alias("n_equal"),
-            (-(F.col("at") - F.col("back") + s)).alias("minus_start"),
+            add(F.slice(F.col("agree"), s + 1, F.col("window"))).alias("n_equal"),
+            (F.col("back") - F.col("at") - s).alias("minus_start"),
         ),
     )
-    return rows.withColumn("best", F.array_max(windows)).filter(F.col("best.n_equal") >= F.col("needed"))
+    enough = F.filter(F.array(F.array_max(windows)), lambda w: w["n_equal"] >= F.col("needed"))
+    scored = hits.select("*", F.explode(F.array(agree)).alias("agree"))
+    return scored.withColumn("best", F.explode(enough))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, keys: tuple[str, ...] = ("doc_id",), path: str | None = None) -> DataFrame:
@@ -103,7 +108,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keys: tuple[str, ...] = ("doc_i
     for p in range(passes if masks else 0):
         block = F.broadcast(seeds.filter(F.pmod("key", F.lit(passes)) == p) if passes > 1 else seeds)
         keyed = places.select(*own, "t", "at", F.explode(F.array(*[_seed(m, "t", F.col("at")) for m in masks])).alias("key"))
-        best = _verified(keyed.join(block, "key")).groupBy(*own, "item_id").agg(F.max(F.struct("best", "window")).alias("b"))
+        hits = keyed.join(block, "key").select(
+            *own, "item_id", "at", "back", "around", "window", "needed",
+            F.array(*[F.get(F.col("t"), F.col("at") + k) for k in range(-_BEFORE, WINDOW)]).alias("near"),
+        )
+        best = _verified(hits).groupBy(*own, "item_id").agg(F.max(F.struct("best", "window")).alias("b"))
         found.append(best)
     if not found:
         found = [texts.select(*own, F.lit(0).cast("long").alias("item_id")).filter(F.lit(False)).select(
