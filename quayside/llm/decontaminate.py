@@ -112,12 +112,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keys: tuple[str, ...] = ("doc_i
             *own, "item_id", "at", "back", "around", "window", "needed",
             F.array(*[F.get(F.col("t"), F.col("at") + k) for k in range(-_BEFORE, WINDOW)]).alias("near"),
         )
-        best = _verified(hits).groupBy(*own, "item_id").agg(F.max(F.struct("best", "window")).alias("b"))
-        found.append(best)
+        found.append(_verified(hits).select(*own, "item_id", "best", "window"))
     if not found:
         found = [texts.select(*own, F.lit(0).cast("long").alias("item_id")).filter(F.lit(False)).select(
-            "*", F.lit(None).cast("struct<best:struct<n_equal:int,minus_start:int>,window:int>").alias("b"))]
-    out = reduce(DataFrame.union, found)
+            "*", F.lit(None).cast("struct<n_equal:int,minus_start:int>").alias("best"), F.lit(0).alias("window"))]
+    out = reduce(DataFrame.union, found).groupBy(*own, "item_id").agg(F.max(F.struct("best", "window")).alias("b"))
     return out.select(
         *[F.col(o).alias(k) for o, k in zip(own, keys)], "item_id", F.col("b.best.n_equal").alias("n_equal"), F.col("b.window").alias("window"),
         (-F.col("b.best.minus_start")).alias("first_token"),

@@ -128,12 +128,12 @@ def mix_sources(docs: DataFrame, seed: str = "mix-1", cycle: int = 3, cap: int =
 def mixed(docs: DataFrame, seed: str = "mix-1", cycle: int = 3, cap: int = 3, path: str | None = None) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with all their columns."""
     _, state = _planned(docs, seed, cycle, cap, path or run_dir(docs.sparkSession, "mix"))
-    state = state.select("_source", F.col("copies").alias("_copies"), F.col("below").alias("_below"))
+    state = state.select(F.col("_source").alias("_mix_source"), F.col("copies").alias("_mix_copies"), F.col("below").alias("_mix_below"))
     names = [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.withColumn("_mix_hash", doc_hash("`doc_id`", seed))
-    out = marked.join(state, F.col("`source`").cast("string").eqNullSafe(F.col("_source")))
-    times = (F.col("_copies") + (F.col("_mix_hash") < F.col("_below")).cast("long")).cast("int")
-    return out.withColumn("_turn", F.explode(F.array_repeat(F.lit(1), times))).select(*names)
+    out = marked.join(state, F.col("`source`").cast("string").eqNullSafe(F.col("_mix_source")))
+    times = (F.col("_mix_copies") + (F.col("_mix_hash") < F.col("_mix_below")).cast("long")).cast("int")
+    return out.withColumn("_mix_turn", F.explode(F.array_repeat(F.lit(1), times))).select(*names)
 
 
 def q_op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
