@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import (
-    SPACE, covered, pick, run_dir, staged, steps, sums, table, text_bytes, windows, word_hashes, word_spans, mix64,
+    SPACE, bounded_batches, covered, run_dir, staged, steps, sums, table, text_bytes, windows, word_hashes, word_spans, mix64,
 )
 
 _SYMBOL = np.zeros(256, bool)
@@ -96,6 +96,7 @@ def _measure(window: int):
 
 def measure(docs: DataFrame, host: str = "source", window: int = 8) -> DataFrame:
     """Base counts and line hashes of every document."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(
         F.col("`doc_id`").cast("long").alias("doc_id"),
         F.col(f"`{host}`").cast("string").alias("host"),
@@ -144,3 +145,35 @@ def q_op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words"
     )
+
+
+ORACLE_OP9 = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+places AS (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM docs WHERE len(w) >= 8),
+wins AS (SELECT r, i, list_aggregate(w[i:i + 7], 'string_agg', ' ') AS s FROM places),
+twice AS (SELECT r, unnest(range(i, i + 8)) AS j FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM wins) WHERE n > 1),
+repeats AS (SELECT r, count(DISTINCT j) AS n FROM twice GROUP BY r),
+lines AS (
+  SELECT r, source, line, regexp_extract_all(
+           translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS lw
+  FROM (SELECT r, source, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r),
+frequent AS (
+  SELECT source, x FROM (SELECT DISTINCT r, source, array_to_string(lw, ' ') AS x FROM lines)
+  GROUP BY source, x HAVING count(*) > 50),
+gone AS (
+  SELECT r, CAST(sum(len(lw)) AS BIGINT) AS n FROM lines l JOIN frequent f
+    ON array_to_string(l.lw, ' ') = f.x AND l.source IS NOT DISTINCT FROM f.source
+  GROUP BY r),
+counts AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(dups.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words, coalesce(gone.n, 0) AS removed_words
+  FROM docs LEFT JOIN repeats USING (r) LEFT JOIN dups USING (r) LEFT JOIN gone USING (r)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts)
+SELECT *, NOT base_failed AND n_words - removed_words >= 20 AND n_words - removed_words >= 0.3 * n_words AS kept
+FROM judged"""

@@ -7,7 +7,7 @@ from quayside.llm.html_text import q_op3_html_text
 from quayside.llm.licenses import q_op7_license_scan
 from quayside.llm.mixing import ORACLE_OP8, q_op8_mixing
 from quayside.llm.quality_model import q_op1_quality_model
-from quayside.llm.quality_rules import q_op9_quality_rules
+from quayside.llm.quality_rules import ORACLE_OP9, q_op9_quality_rules
 from quayside.llm.simhash import q_op6_simhash
 from quayside.llm.substrings import ORACLE_OP2, q_op2_substring_dedup
 from quayside.llm.token_files import q_op10_token_files
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_token_files": q_op10_token_files,
 }
 
-ORACLE_SQL = {"op2_substring_dedup": ORACLE_OP2, "op8_mixing": ORACLE_OP8}
+ORACLE_SQL = {"op2_substring_dedup": ORACLE_OP2, "op8_mixing": ORACLE_OP8, "op9_quality_rules": ORACLE_OP9}
