@@ -2,7 +2,7 @@
 
 Tokens (lower-cased runs of ASCII letters, digits and characters from 0x80) are
 tagged clean or toxic. A token's features are hashed: the token, its prefixes of 3 to 5
-bytes, its suffix of 3, and both neighbours; one matrix holds the transitions.
+bytes and its suffix of 3; the neighbours come in by the chain's transitions.
 Training tokens are labelled from the documents' labels: a token of a toxic document
 is toxic when the token or one of its prefixes is typical of toxic documents; all
 other tokens are clean. Weights are trained by stochastic gradient descent on the
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.common import mix64, pick, steps, table, text_bytes, word_hashes, word_spans
+from quayside.llm.common import bounded_batches, mix64, pick, steps, table, text_bytes, word_hashes, word_spans
 from quayside.llm.learning import fold, labelled_sample
 
 BITS = 18
@@ -38,10 +38,10 @@ SAMPLE_EACH = 1_500
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.3
 EPOCHS = 5
-RATE = 0.3
+RATE = 0.5
 LANE = 128
-#: A token or prefix is typical: in so many toxic sample documents, and so many times likelier there.
-TYPICAL_DOCS, TYPICAL_RATIO = 4, 25.0
+#: A token or prefix is typical: in so many toxic sample documents, that share of them, and so many times likelier there.
+TYPICAL_DOCS, TYPICAL_SHARE, TYPICAL_RATIO = 4, 0.01, 25.0
 
 _TOKEN = np.full(256, 0x20, np.uint8)
 for _c in range(256):
@@ -49,7 +49,7 @@ for _c in range(256):
         _TOKEN[_c] = _c + 32
     elif 0x30 <= _c <= 0x39 or 0x61 <= _c <= 0x7A or _c >= 0x80:
         _TOKEN[_c] = _c
-_SALTS = [np.uint64(0x9E3779B97F4A7C15 * k & (2**64 - 1)) for k in range(1, 8)]
+_SALTS = [np.uint64(0x9E3779B97F4A7C15 * k & (2**64 - 1)) for k in range(1, 6)]
 
 
 class Tokens:
@@ -69,15 +69,8 @@ class Tokens:
         return [*out, word_hashes(self.plain, np.maximum(s, e - 3), e)]
 
     def features(self) -> np.ndarray:
-        """One row of buckets for each of the seven features."""
-        parts = self.parts()
-        before, after = np.roll(parts[0], 1), np.roll(parts[0], -1)
-        before[self.first] = 1
-        last = np.roll(self.first, -1)
-        if len(last):
-            last[-1] = True
-        after[last] = 2
-        return np.stack([(mix64(h + salt) >> np.uint64(64 - BITS)).astype(np.int32) for h, salt in zip((*parts, before, after), _SALTS)])
+        """One row of buckets for each of the five features."""
+        return np.stack([(mix64(h + salt) >> np.uint64(64 - BITS)).astype(np.int32) for h, salt in zip(self.parts(), _SALTS)])
 
 
 # ---------------------------------------------------------------- the chain
@@ -132,19 +125,50 @@ def forward_backward(score: np.ndarray, first: np.ndarray, trans: np.ndarray, st
 
 
 # ---------------------------------------------------------------- training
+def copy_groups(token: np.ndarray, doc: np.ndarray, n: int, bands: int = 8, rows: int = 6) -> np.ndarray:
+    """For each of n sample documents a group shared with its near copies: equal minima of the tokens'
+    hashes in one of the bands."""
+    root = np.arange(n)
+    if not len(token):
+        return root
+    first = np.flatnonzero(np.diff(doc, prepend=-1))
+    has = doc[first]
+    for band in range(bands):
+        key = np.zeros(len(has), np.uint64)
+        for row in range(rows):
+            salt = np.uint64((band * rows + row + 1) * 0xD6E8FEB86659FD93 & (2**64 - 1))
+            key = mix64(key ^ np.minimum.reduceat(mix64(token ^ salt), first))
+        _, lead, at = np.unique(key, return_index=True, return_inverse=True)
+        for a, b in zip(has, has[lead[at]]):
+            while root[a] != a:
+                a = root[a]
+            while root[b] != b:
+                b = root[b]
+            root[max(a, b)] = min(a, b)
+    for k in range(n):
+        root[k] = root[root[k]]
+    return root
+
+
 def token_labels(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
-    """Labels of the sample's tokens from the labels of its documents."""
+    """Labels of the sample's tokens from the labels of its documents: typical tokens and prefixes, near
+    copies of a document counting once."""
     doc = np.searchsorted(tokens.woff, np.arange(len(tokens.starts)), "right") - 1
-    n1 = max(1, int(toxic.sum()))
-    n0 = max(1, len(toxic) - n1)
+    parts = tokens.parts()[:3]
+    group = copy_groups(parts[0], doc, len(toxic))
+    n1 = max(1, len(np.unique(group[toxic])))
+    n0 = max(1, len(np.unique(group[~toxic])))
     out = np.zeros(len(doc), bool)
-    for part in tokens.parts()[:3]:
-        pair = np.unique(np.stack([part, doc.astype(np.uint64)]), axis=1)
-        kinds, at = np.unique(pair[0], return_inverse=True)
-        bad = np.bincount(at, toxic[pair[1].astype(np.int64)], len(kinds))
-        good = np.bincount(at, minlength=len(kinds)) - bad
-        typical = kinds[(bad >= TYPICAL_DOCS) & (bad / n1 >= TYPICAL_RATIO * (good + 0.1) / n0)]
-        out |= np.isin(part, typical)
+    for part in parts:
+        kinds, at = np.unique(part, return_inverse=True)
+        counts = []
+        for wanted in (toxic, ~toxic):
+            of = wanted[doc]
+            pairs = np.unique(at[of].astype(np.int64) * len(toxic) + group[doc[of]])
+            counts.append(np.bincount(pairs // max(1, len(toxic)), minlength=len(kinds)))
+        bad, good = counts
+        typical = (bad >= max(TYPICAL_DOCS, TYPICAL_SHARE * n1)) & (bad / n1 >= TYPICAL_RATIO * (good + 0.1) / n0)
+        out |= typical[at]
     return out & toxic[doc]
 
 
@@ -191,7 +215,7 @@ def fit(texts: list[bytes], labels: list[int], shares: dict[int, int], seed: int
     toxic, rng = np.array(labels, bool), np.random.default_rng(seed)
     truth = token_labels(whole := _batch(texts), toxic)
     feats, first, woff = whole.features(), whole.first, whole.woff
-    squares, tr_squares, st_square = np.full(1 << BITS, 1e-6, np.float32), np.full((2, 2), 1e-6), 1e-6
+    squares, tr_squares, st_square = np.full(1 << BITS, 0.05, np.float32), np.ones((2, 2)), 1.0
     groups = np.array_split(np.arange(len(texts)), max(1, len(texts) // 40))
     for _ in range(EPOCHS):
         order = rng.permutation(len(texts))
@@ -289,6 +313,7 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -
         for rb in steps(batches):
             yield rb.filter(pa.array(tag(shared.value, rb, False)[0] < threshold))
 
+    bounded_batches(docs.sparkSession)
     rows = docs.withColumn("text", F.col("`text`").cast("string"))
     return rows.mapInArrow(run, rows.schema)
 
