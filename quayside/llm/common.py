@@ -22,6 +22,9 @@ from quayside.session import new_run_dir
 #: Text bytes that one step inside a task works on at a time (a longer document is a step of its own).
 STEP_BYTES = 4 << 20
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 1_000
+
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -36,8 +39,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Whole texts go to the tasks' Python in batches of at most BATCH_ROWS rows; a batch is held several
+    times over (JVM, pipe, Python), so the session's default of 10,000 rows is too many for long texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def pick(df: DataFrame, **kinds: str) -> DataFrame:
     """Only the named columns, cast: other columns of the input cannot clash with what an operator adds."""
+    bounded_batches(df.sparkSession)
     return df.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in kinds.items()])
 
 

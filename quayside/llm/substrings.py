@@ -32,10 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import (
-    STEP_BYTES, covered, pick, run_dir, steps, table, text_bytes, windows, word_hashes, word_spans,
+    covered, pick, run_dir, steps, table, text_bytes, windows, word_hashes, word_spans,
 )
 
-#: Text bytes whose windows one bucket gets.
+#: Text bytes of a block, and those whose windows one bucket gets.
+BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
 _LAST = np.iinfo(np.int64).max
 
@@ -55,9 +56,9 @@ def lengths(window: int, start: int = 10) -> list[int]:
 # ---------------------------------------------------------------- blocks
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, block, held, row = TaskContext.get().partitionId(), 0, 0, 0
-    for rb in steps(batches, size=STEP_BYTES // 4):
+    for rb in steps(batches, size=BLOCK_BYTES // 4):
         size = pc.sum(pc.binary_length(rb.column("text"))).as_py() or 0
-        if held and held + size > STEP_BYTES:
+        if held and held + size > BLOCK_BYTES:
             block, held, row = block + 1, 0, 0
         n, held = rb.num_rows, held + size
         yield pa.RecordBatch.from_arrays(
@@ -68,7 +69,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def blocked(docs: DataFrame, path: str) -> DataFrame:
-    """The texts in a table bucketed by block of about STEP_BYTES."""
+    """The texts in a table bucketed by block of about BLOCK_BYTES."""
     spark = docs.sparkSession
     rows = pick(docs, doc_id="long", text="string")
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
@@ -238,7 +239,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, start: int = 10, path: st
     path = path or run_dir(spark, "substrings")
     texts, levels = blocked(docs, path), lengths(window, start)
     n_blocks = texts.select("block").distinct().count()
-    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), n_blocks * STEP_BYTES // BUCKET_BYTES)
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), n_blocks * BLOCK_BYTES // BUCKET_BYTES)
     answers, last = None, -1
     for k in range(len(levels)):
         by_block = texts.groupBy("block")
