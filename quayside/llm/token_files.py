@@ -23,11 +23,11 @@ doc_id follow each other in the order of their text hashes. Empty tables write n
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +43,8 @@ MAGIC = b"DACTOK1\0"
 CHUNK_BITS = 8
 RANK_BITS = 512
 FILE_TOKENS = 16 << 20
-#: Distinct words whose ids a task remembers at a time.
-CACHE_WORDS = 250_000
+#: Distinct words of a generation whose ids a task remembers (two generations of words, two of their pieces).
+CACHE_WORDS = 300_000
 END_ID = 2
 
 _MANIFEST = "shard int, part int, file string, n_tokens long, n_docs long"
@@ -58,79 +58,87 @@ def default_tokenizer() -> str:
 
 
 # ---------------------------------------------------------------- encoding words
-class WordIds(dict):
+class _Recent(dict):
+    """A memory of two generations: what is used stays, the rest is forgotten after ``most`` newer entries."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.older = most, {}
+
+    def unknown(self, keys) -> list:
+        """Which of the distinct keys must be learnt; the older generation's are taken over."""
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+        out = []
+        for k in keys:
+            if k not in self:
+                v = self.older.get(k)
+                if v is None:
+                    out.append(k)
+                else:
+                    self[k] = v
+        return out
+
+
+class WordIds:
     """Ids of texts by way of their words. The tokenizer treats words apart from each other (its
-    pre-tokenizer drops white space), so each distinct word is encoded once: plain Latin letters as their
-    lower-case stem, ASCII punctuation behind them as a token run of its own, every other word as it stands."""
+    pre-tokenizer drops white space), so a distinct word is encoded once: plain Latin letters as their
+    lower-case stem, ASCII punctuation behind them as a token run of its own, every other word as it stands.
+    Ids are held as little-endian 32-bit integers."""
 
-    END = b"\n"
-    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+    LINE = re.compile("^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)|(.+))$", re.M)
+    #: Pieces given to the tokenizer at once; it slows down on longer texts.
+    AT_ONCE = 128
 
     def __init__(self, tokenizer_json: str, end_id: int = END_ID, most: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer, self.end_id, self.most = Tokenizer.from_str(tokenizer_json), end_id, most
-        self._reset()
-
-    def _reset(self):
-        self.clear()
-        self.pieces: dict[str, list[int]] = {"": []}
-        self.flat, self.first = array("I", [self.end_id]), array("q", [0, 1])
-        self.new: list[bytes] = []
-        self[self.END] = 0
-
-    def __missing__(self, word: bytes) -> int:
-        at = self[word] = len(self.first) - 1 + len(self.new)
-        self.new.append(word)
-        return at
+        self.tokenizer, self.end = Tokenizer.from_str(tokenizer_json), struct.pack("<I", end_id)
+        # pieces are lower case, composed, and one pre-token each already: the same model without the steps that see to it
+        plain = json.loads(tokenizer_json)
+        if [n["type"] for n in plain["normalizer"]["normalizers"]] != ["NFC", "Replace", "Lowercase"]:
+            raise ValueError("written for a tokenizer that composes, folds white space and lowers case")
+        last = plain["pre_tokenizer"]["pretokenizers"][-1]
+        plain |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, last]}}
+        self.model = Tokenizer.from_str(json.dumps(plain))
+        self.words, self.pieces = _Recent(most), _Recent(most)
 
     def _encode(self, pieces: list[str]) -> None:
         """All at once where each is one pre-token; else one by one."""
-        enc = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        enc = self.model.encode(" ".join(pieces), add_special_tokens=False)
         ids, word = enc.ids, enc.word_ids
-        if pieces and word and word[-1] == len(pieces) - 1 and None not in word:
+        if word and word[-1] == len(pieces) - 1 and None not in word:
             cuts = np.searchsorted(np.array(word), np.arange(len(pieces) + 1)).tolist()
-            self.pieces.update((p, ids[a:b]) for p, a, b in zip(pieces, cuts, cuts[1:]))
+            data = np.array(ids, "<u4").tobytes()
+            self.pieces.update((p, data[4 * a : 4 * b]) for p, a, b in zip(pieces, cuts, cuts[1:]))
         else:
             for p in pieces:
-                self.pieces[p] = self.tokenizer.encode(p, add_special_tokens=False).ids
-
-    def _learn(self) -> None:
-        split, plain, odd = [], {}, {}
-        for word in self.new:
-            text = word.decode()
-            m = self.PLAIN.fullmatch(text)
-            parts = (m[1].lower(), m[2]) if m else (text, "")
-            split.append(parts)
-            (plain if m else odd).update({p: None for p in parts if p not in self.pieces})
-        todo = list(plain)
-        for a in range(0, len(todo), 4096):
-            self._encode(todo[a : a + 4096])
-        for p in odd:
-            self.pieces[p] = self.tokenizer.encode(p, add_special_tokens=False).ids
-        for stem, tail in split:
-            self.flat.extend(self.pieces[stem])
-            self.flat.extend(self.pieces[tail])
-            self.first.append(len(self.flat))
-        self.new.clear()
+                self.pieces[p] = self._alone(p)
+
+    def _alone(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, new: list[bytes]) -> None:
+        if not new:
+            return
+        found = self.LINE.findall(b"\n".join(new).decode())
+        stems = "\n".join([f[0] for f in found]).lower().split("\n")
+        todo = self.pieces.unknown(({*stems} | {f[1] for f in found}) - {""})
+        for a in range(0, len(todo), self.AT_ONCE):
+            self._encode(todo[a : a + self.AT_ONCE])
+        words, pieces = self.words, self.pieces
+        for word, stem, (_, tail, odd) in zip(new, stems, found, strict=True):
+            words[word] = self._alone(odd) if odd else pieces[stem] + pieces[tail] if tail else pieces[stem]
 
     def ids(self, data: bytes, offs: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents, each with the end id, and where each document starts."""
-        if len(self) > self.most or len(self.pieces) > self.most:
-            self._reset()
-        words, counts = [], [0]
-        for a, b in zip(offs, offs[1:]):
-            words += data[a:b].split()
-            words.append(self.END)
-            counts.append(len(words))
-        which = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        self._learn()
-        first, flat = np.array(self.first, np.int64), np.array(self.flat, np.uint32)
-        size = first[which + 1] - first[which]
-        ends = np.cumsum(size)
-        ids = flat[np.arange(ends[-1]) + np.repeat(first[which] - (ends - size), size)]
-        return ids, np.concatenate(([0], ends))[counts]
+        docs = [data[a:b].split() for a, b in zip(offs, offs[1:])]
+        self._learn(self.words.unknown(set().union(*docs)))
+        known = self.words.__getitem__
+        parts = [b"".join(map(known, words)) + self.end for words in docs]
+        starts = np.concatenate(([0], np.cumsum([len(p) // 4 for p in parts])))
+        return np.frombuffer(b"".join(parts), "<u4"), starts
 
 
 # ---------------------------------------------------------------- the file format
