@@ -1,0 +1,78 @@
+import itertools
+import random
+import re
+
+import pytest
+
+from quayside.llm import decontaminate as dc
+from tests.llm.conftest import awkward_rows, frame, prose
+
+
+def toks(text):
+    return re.findall(r"[^\W_]+", (text or "").lower())
+
+
+def brute(rows, items):
+    out = {}
+    for r in rows:
+        t = toks(r[1])
+        for item, text in items:
+            s = toks(text)
+            w = min(len(s), dc.WINDOW)
+            if w < dc.MIN_TOKENS:
+                continue
+            need = dc.NEEDED if w == dc.WINDOW else w
+            best = max(
+                ((n, -i) for i in range(len(t) - w + 1) for j in range(len(s) - w + 1) if (n := sum(a == b for a, b in zip(t[i : i + w], s[j : j + w]))) >= need),
+                default=None,
+            )
+            if best:
+                out[r[0], item] = max(out.get((r[0], item), best), best)
+    return out
+
+
+def test_masks_cover_all_pairs_of_substitutions():
+    for places in itertools.combinations(range(dc.WINDOW), dc.WINDOW - dc.NEEDED):
+        assert any(
+            not {at + k for k in mask} & set(places) for mask in dc.MASKS for at in range(dc.WINDOW - mask[-1])
+        ), places
+
+
+@pytest.mark.parametrize("block", [100_000, 7])
+def test_planted_leaks(spark, monkeypatch, block):
+    monkeypatch.setattr(dc, "BLOCK_SEEDS", block)
+    rng = random.Random(4)
+    items = [(k, prose(50 + k, rng.randrange(13, 40))) for k in range(6)]
+    items += [(90, "short item of seven tokens it is"), (91, "tiny one"), (92, None), (93, ""), (None, prose(77, 20)), (94, "Punctuation, kept? no: not (at) all - it's dropped; really dropped.")]
+    rows = awkward_rows()
+    for k in range(60):
+        w = prose(200 + k, rng.randrange(0, 60)).split()
+        source = items[k % 12][1] or ""
+        s = source.split()
+        for _ in range(k % 4):
+            if s:
+                s[rng.randrange(len(s))] = "replaced"
+        a = rng.randrange(0, max(1, len(s) - 13)) if k % 5 == 0 else 0
+        at = rng.randrange(len(w) + 1)
+        rows.append((100 + k, " ".join([*w[:at], *[x.upper() for x in s[a:]], *w[at:]]), "en", "a", 0))
+    bench = spark.createDataFrame([(i, t, "x", "y") for i, t in items], "item_id long, text string, key string, n string")
+    out = {(r["doc_id"], r["item_id"]): (r["n_equal"], -r["first_token"]) for r in dc.leaks(frame(spark, rows), bench).collect()}
+    assert out == brute(rows, items) and len(out) > 20
+    bad = {d for d, _ in out}
+    df = frame(spark, rows)
+    kept = dc.clean(df, bench)
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((r[0] for r in rows if r[0] not in bad), key=str)
+
+
+def test_empty_tables(spark, awkward, nothing):
+    none = spark.createDataFrame([], "item_id long, text string")
+    one = spark.createDataFrame([(1, prose(1, 20))], "item_id long, text string")
+    assert dc.leaks(awkward, none).collect() == [] and dc.leaks(nothing, one).collect() == []
+    assert dc.clean(awkward, none).count() == len(awkward_rows())
+
+
+def test_no_python_on_the_way(spark, awkward):
+    one = spark.createDataFrame([(1, prose(1, 20))], "item_id long, text string")
+    plan = dc.leaks(awkward, one)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

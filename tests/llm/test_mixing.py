@@ -1,0 +1,88 @@
+import hashlib
+
+import duckdb
+import pytest
+
+from quayside.llm.mixing import ORACLE_OP8, mix_sources, mixed, source_targets
+from tests.llm.conftest import awkward_rows, frame, prose, words
+
+
+def many():
+    return [(k, prose(k, 5 + k % 90), "en", ["a", "b", "c", "d", None][min(k % 11, 4)], 0) for k in range(700)]
+
+
+def check(spark, rows):
+    out = mix_sources(frame(spark, rows)).collect()
+    sizes = {}
+    for r in rows:
+        sizes[r[3]] = sizes.get(r[3], 0) + len(words(r[1]))
+    assert len(out) == len(rows)
+    by, target, most = {}, {}, {}
+    for r in out:
+        by[r["source"]] = by.get(r["source"], 0) + r["taken"]
+        target[r["source"]] = r["target"]
+        most[r["source"]] = max(most.get(r["source"], 0), r["size"])
+        assert r["source_size"] == sizes[r["source"]] and 0 <= r["taken"] <= 3 * r["size"]
+    assert abs(sum(target.values()) - sum(sizes.values())) < 1e-6 * max(1, sum(sizes.values()))
+    return out, by, target, most
+
+
+def test_targets_are_met_within_a_document(spark):
+    _, by, target, most = check(spark, many())
+    assert all(target[s] - 2 * most[s] <= by[s] <= target[s] + 1e-9 for s in by)
+
+
+def test_awkward_rows(spark):
+    out, by, target, _ = check(spark, awkward_rows())
+    assert all(by[s] <= target[s] + 1e-9 for s in by)
+    assert len({r["taken"] for r in out if r["doc_id"] == 2}) == 1  # repeated rows go together
+
+
+def test_matches_the_sql(spark):
+    rows = many() + awkward_rows()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(r[0], r[1], r[3]) for r in rows])
+    sql = sorted(con.execute(ORACLE_OP8).fetchall(), key=str)
+    out = mix_sources(frame(spark, rows)).select("doc_id", "size", "source_size", "target", "taken")
+    assert sorted(map(tuple, out.collect()), key=str) == sql
+
+
+def test_excess_is_shared_again_by_weight(spark):
+    sizes = spark.createDataFrame([("a", 10), ("b", 1), ("c", 100), ("d", 1), (None, 50)], "source string, size long")
+    out = {r["source"]: r["target"] for r in source_targets(sizes).collect()}
+    # weights 1, 2, 3, 1, 2: b and d stop at 3, then c at ... by water-filling
+    total, caps, weight = 162, {"a": 30, "b": 3, "c": 300, "d": 3, None: 150}, {"a": 1, "b": 2, "c": 3, "d": 1, None: 2}
+    full, left = {}, dict(weight)
+    while True:
+        unit = (total - sum(full.values())) / sum(left.values())
+        over = [s for s in left if left[s] * unit > caps[s]]
+        if not over:
+            break
+        for s in over:
+            full[s] = caps[s]
+            del left[s]
+    want = full | {s: w * unit for s, w in left.items()}
+    assert out == pytest.approx(want)
+
+
+def test_mixed_repeats_rows_as_taken(spark):
+    rows = many()
+    df = frame(spark, rows)
+    taken = {r["doc_id"]: r["taken"] // r["size"] for r in mix_sources(df).collect()}
+    out = mixed(df)
+    assert out.columns == df.columns
+    counts = {}
+    for r in out.select("doc_id").collect():
+        counts[r[0]] = counts.get(r[0], 0) + 1
+    assert counts == {k: v for k, v in taken.items() if v}
+
+
+def test_reruns_agree_and_empty(spark, nothing):
+    df = frame(spark, many())
+    a, b = (sorted(map(tuple, mix_sources(df).collect()), key=str) for _ in range(2))
+    assert a == b and mix_sources(nothing).collect() == [] and mixed(nothing).collect() == []
+
+
+def test_hash_is_md5():
+    assert int(hashlib.md5(b"mix-1:5").hexdigest()[:15], 16) < 1 << 60

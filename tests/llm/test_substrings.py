@@ -1,0 +1,69 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from quayside.llm import common
+from quayside.llm.substrings import lengths, substring_dedup
+from tests.llm.conftest import awkward_rows, frame, words
+
+
+def brute(rows, window):
+    """Rows of one doc_id must be equal here: which of them keeps its words is open."""
+    first, out = {}, []
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k))
+    toks = [words(r[1]) for r in rows]
+    for k in order:
+        for i in range(len(toks[k]) - window + 1):
+            first.setdefault(tuple(toks[k][i : i + window]), (k, i))
+    for k, r in enumerate(rows):
+        gone = set()
+        for i in range(len(toks[k]) - window + 1):
+            if first[tuple(toks[k][i : i + window])] != (k, i):
+                gone.update(range(i, i + window))
+        kept = [w for i, w in enumerate(toks[k]) if i not in gone]
+        out.append((r[0], len(toks[k]), len(gone), hashlib.sha256(" ".join(kept).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(map(tuple, df.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()), key=str)
+
+
+def test_awkward_rows(awkward):
+    assert got(substring_dedup(awkward)) == brute(awkward_rows(), 20)
+
+
+@pytest.mark.parametrize("seed,vocabulary,window,start", [(1, 2, 4, 2), (2, 3, 6, 3), (3, 40, 5, 1), (4, 2, 20, 10)])
+def test_random_rows_match_brute_force(spark, seed, vocabulary, window, start):
+    rng = random.Random(seed)
+    rows = [(k, " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(rng.randrange(60))), "en", "a", 0) for k in range(40)]
+    rng.shuffle(rows)
+    assert got(substring_dedup(frame(spark, rows, 5), window, start)) == brute(rows, window)
+
+
+def test_empty_table(nothing):
+    assert substring_dedup(nothing).collect() == []
+
+
+def test_no_repeats_ends_early(spark):
+    rows = [(k, " ".join(f"d{k}w{i}" for i in range(50)), "en", "a", 0) for k in range(5)]
+    assert got(substring_dedup(frame(spark, rows))) == brute(rows, 20)
+
+
+def test_lengths():
+    assert lengths(20) == [10, 20] and lengths(50, 10) == [7, 13, 25, 50] and lengths(4, 2) == [2, 4]
+
+
+def test_spans_and_hashes_follow_documents():
+    texts = [b"", b" a  bb\tccc ", b"a", b"bb ccc", b"  ", b"a bb ccc"]
+    buf = np.frombuffer(b"".join(texts), np.uint8)
+    offs = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    starts, ends, woff = common.word_spans(buf, offs)
+    assert [bytes(buf[a:b]) for a, b in zip(starts, ends)] == [w for t in texts for w in t.split()]
+    assert np.diff(woff).tolist() == [len(t.split()) for t in texts]
+    h = common.word_hashes(buf, starts, ends)
+    assert len(set(h.tolist())) == 3 and h[0] == h[3] == h[6]
+    pos, w = common.windows(h, woff, 2)
+    assert len(pos) == 2 + 1 + 2 and len(set(w.tolist())) == 2
