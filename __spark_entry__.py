@@ -12,6 +12,7 @@ import os
 import sys
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime, timezone
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -21,14 +22,13 @@ from pyspark.sql import functions as F  # noqa: E402
 from quayside.functions.paths import landing_path, path_after, size_mb  # noqa: E402
 from quayside.operators.copy import audit_records, copy_files  # noqa: E402
 from quayside.operators.detect import latest_versions, pending_files  # noqa: E402
-from quayside.operators.guards import pending_summary, preview, target_collisions  # noqa: E402
+from quayside.operators.guards import check_batch_size, claimed_targets, pending_summary, preview, target_collisions  # noqa: E402
 from quayside.operators.inventory import extract_inventory  # noqa: E402
 from quayside.operators.manifest import PathRules, build_manifest, unmapped  # noqa: E402
 from quayside.plans.landing import LandingConfig, run_landing  # noqa: E402
 from quayside.schema import REFERENCE_MAX_FILES  # noqa: E402
 from quayside.session import new_run_dir  # noqa: E402
 from quayside.sources import standins as st  # noqa: E402
-from quayside.sources.files import scan_files  # noqa: E402
 from quayside.sources.ledger import Ledger, append_ledger, empty_ledger, ensure_ledger, read_ledger  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -50,15 +50,33 @@ def q_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _tree(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """A folder ``tree`` of real files, one for each row of ``documents``, in a new run folder: its run folder."""
+    run = new_run_dir(spark, label)
+    st.documents_tree(spark, sf_dir, f"{run}/tree")
+    return run
+
+
+def _below(col: str, marker: str = "/raw/"):
+    """The part of a path of the tree that does not depend on the run."""
+    return F.substring_index(F.col(col), marker, -1)
+
+
 def q_file_inventory_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inv = extract_inventory(spark, _abs(sf_dir), glob="*.parquet", listing="distributed")
+    run = _tree(spark, sf_dir, "listing")
+    inv = extract_inventory(spark, f"{run}/tree", listing="distributed")
     return inv.select(
-        "source_path",
-        F.unix_seconds("source_modified_at").alias("source_modified_unix"),
-        "source_size_mb",
+        _below("source_path").alias("source_path"), "source_size_mb", F.col("source_modified_at").isNotNull().alias("has_time")
     )
 
 
+def q_inventory_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names by braces, classes, negated classes and ``?``, over the tree's files, from a source path with wildcards."""
+    run = _tree(spark, sf_dir, "glob")
+    inv = extract_inventory(spark, f"{run}/tree/raw/src{{0,1?}}", glob="{*[0-3],[^1-8]?}.txt", listing="distributed")
+    return inv.select(_below("source_path").alias("source_path"), "source_size_mb")
+
+
 def q_size_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = st.table(spark, sf_dir, "documents")
     return d.select("doc_id", size_mb("n_chars", 1024).alias("source_size_mb"))
@@ -94,6 +112,16 @@ def q_landing_path_strip_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", landing_path("url", "/en/", st.PAGES_ROOT, strip_ext="*").alias("lakehouse_path"))
 
 
+def q_landing_path_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A marker that most paths hold more than once: the piece up to its second occurrence, and the whole tail."""
+    p = st.table(spark, sf_dir, "pages")
+    return p.select(
+        "page_id",
+        landing_path("url", "th", st.PAGES_ROOT).alias("piece"),
+        landing_path("url", "th", st.PAGES_ROOT, keep_tail=True).alias("tail"),
+    )
+
+
 def q_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_manifest(st.documents_inventory(spark, sf_dir), st.STANDIN_RULES)
 
@@ -121,8 +149,7 @@ def q_pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_pending_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = st.lineitem_ledger(spark, sf_dir).filter(F.lit(False))
-    return pending_files(st.orders_manifest(spark, sf_dir), ledger)
+    return pending_files(st.orders_manifest(spark, sf_dir), empty_ledger(spark))
 
 
 def q_latest_success_only(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +198,9 @@ def q_pending_after_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     pending_plan.write.parquet(f"{run}/pending")
     pending = spark.read.parquet(f"{run}/pending")
     n_before = pending.count()
-    n_appended = append_ledger(spark, audit_records(pending), ledger, row_count=n_before)
+    rows_before = read_ledger(spark, ledger).count()
+    append_ledger(spark, audit_records(pending), ledger, row_count=n_before)
+    n_appended = read_ledger(spark, ledger).count() - rows_before
     n_after = pending_files(manifest, read_ledger(spark, ledger)).count()
     return spark.range(1).select(
         F.lit(n_before).cast("bigint").alias("n_pending_before"),
@@ -180,39 +209,91 @@ def q_pending_after_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_preview_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unordered preview: how many rows it has, and how many of them are pending rows."""
+    pending = _pending(spark, sf_dir)
+    some = preview(pending, 20, order_by=None)
+    known = some.join(pending.select("source_path"), "source_path", "left_semi")
+    return some.agg(F.count(F.lit(1)).alias("n_rows")).join(known.agg(F.count(F.lit(1)).alias("n_pending")))
+
+
+def _raises(action) -> bool:
+    try:
+        action()
+    except ValueError:
+        return True
+    return False
+
+
+def q_cap_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch cap: as many files as the cap pass, one more raises."""
+    pending = _pending(spark, sf_dir)
+    n = pending.count()
+    at_cap, over = _raises(lambda: check_batch_size(pending, n)), _raises(lambda: check_batch_size(pending, n - 1))
+    return spark.range(1).select(
+        F.lit(n).cast("bigint").alias("n_files"), F.lit(at_cap).alias("raises_at_cap"), F.lit(over).alias("raises_over_cap")
+    )
+
+
+def q_collisions_vs_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as ``.txt`` files, whose landing paths (any extension dropped) the ledger has from ``.csv`` files."""
+    rules = replace(st.STANDIN_RULES, strip_ext="*")
+    inv = st.orders_inventory(spark, sf_dir).withColumn("source_path", F.regexp_replace("source_path", "\\.csv$", ".txt"))
+    manifest = build_manifest(inv, rules)
+    landed = landing_path("source_path", rules.landing_marker, rules.root, strip_ext="*")
+    ledger = st.lineitem_ledger(spark, sf_dir).withColumn("lakehouse_path", landed)
+    return claimed_targets(pending_files(manifest, ledger), manifest, ledger)
+
+
 # ---------------------------------------------------------------- copy + run
-def _file_rules(run: str) -> PathRules:
-    return PathRules(root=f"{run}/landed", bucket_marker="/testdata/", landing_marker="/testdata/")
+def _tree_rules(run: str) -> PathRules:
+    return PathRules(root=f"{run}/landed", bucket_marker="/tree/", landing_marker="/raw/")
+
+
+def _with_content(spark: SparkSession, audit: DataFrame, landed: str) -> DataFrame:
+    """The audit rows with the size and MD5 of what stands at their landing paths."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landed)
+    files = files.select(
+        F.regexp_replace("path", "^file:/+", "/").alias("at"), size_mb("length").alias("target_size_mb"), F.md5("content").alias("content_md5")
+    )
+    return audit.join(files, F.regexp_replace("lakehouse_path", "^file:/+", "/") == F.col("at"), "left")
 
 
 def q_copy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = new_run_dir(spark, "copy-files")
-    manifest = build_manifest(extract_inventory(spark, _abs(sf_dir), glob="*.parquet"), _file_rules(run))
-    pending = pending_files(manifest, empty_ledger(spark))
-    pending.write.parquet(f"{run}/pending")
+    """The tree of documents, copied; sizes and content are read back from the copies."""
+    run = _tree(spark, sf_dir, "copy-files")
+    manifest = build_manifest(extract_inventory(spark, f"{run}/tree", listing="distributed"), _tree_rules(run))
+    pending_files(manifest, empty_ledger(spark)).write.parquet(f"{run}/pending")
     audit = copy_files(spark, spark.read.parquet(f"{run}/pending"), f"{run}/audit")
-    landed = scan_files(spark, f"{run}/landed").select(
-        F.col("path").alias("lakehouse_path"), size_mb("length").alias("target_size_mb")
+    return _with_content(spark, audit, f"{run}/landed").select(
+        _below("source_path").alias("source_path"), "source_size_mb", "target_size_mb", "content_md5", "status", "error"
     )
-    return audit.join(landed, "lakehouse_path", "left").select(
-        "source_path", "source_size_mb", "target_size_mb", "status", "error"
+
+
+def q_copy_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's file, and for each a second source that does not exist."""
+    run = _tree(spark, sf_dir, "copy-errors")
+    manifest = build_manifest(extract_inventory(spark, f"{run}/tree", listing="distributed"), _tree_rules(run))
+    gone = manifest.withColumns({c: F.concat(F.col(c), F.lit(".gone")) for c in ("source_path", "bucket_path", "lakehouse_path")})
+    manifest.union(gone).write.parquet(f"{run}/pending")
+    began = datetime.now(timezone.utc)
+    audit = copy_files(spark, spark.read.parquet(f"{run}/pending"), f"{run}/audit")
+    return _with_content(spark, audit, f"{run}/landed").select(
+        _below("source_path").alias("source_path"), "status", F.col("error").isNotNull().alias("has_error"),
+        F.col("content_md5").isNotNull().alias("landed"), (F.col("copied_at") >= F.lit(began)).alias("copied_since_start"),
     )
 
 
 def q_run_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = new_run_dir(spark, "run-landing")
-    cfg = LandingConfig(
-        source=_abs(sf_dir),
-        glob="*.parquet",
-        ledger=Ledger(path=f"{run}/ledger"),
-        rules=_file_rules(run),
-        staging_dir=f"{run}/first",
-    )
+    """The whole run over the tree of documents, and a second one that finds nothing."""
+    run = _tree(spark, sf_dir, "run-landing")
+    cfg = LandingConfig(source=f"{run}/tree", ledger=Ledger(path=f"{run}/ledger"), rules=_tree_rules(run), staging_dir=f"{run}/first")
     first = run_landing(spark, cfg)
     second = run_landing(spark, replace(cfg, staging_dir=f"{run}/second"))
     return (
-        first.audit.groupBy("status")
-        .agg(F.count(F.lit(1)).alias("n_files"))
+        _with_content(spark, first.audit, f"{run}/landed")
+        .groupBy("status")
+        .agg(F.count(F.lit(1)).alias("n_files"), F.count_distinct("content_md5").alias("n_contents"))
         .withColumn("n_pending_rerun", F.lit(second.count).cast("bigint"))
     )
 
@@ -220,6 +301,7 @@ def q_run_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_inventory": q_file_inventory,
     "file_inventory_distributed": q_file_inventory_distributed,
+    "inventory_glob": q_inventory_glob,
     "size_projection": q_size_projection,
     "bucket_path": q_bucket_path,
     "bucket_path_missing": q_bucket_path_missing,
@@ -227,6 +309,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_path": q_landing_path,
     "landing_path_strip_one": q_landing_path_strip_one,
     "landing_path_strip_any": q_landing_path_strip_any,
+    "landing_path_repeated": q_landing_path_repeated,
     "manifest": q_manifest,
     "unmapped_rows": q_unmapped_rows,
     "landing_collisions": q_landing_collisions,
@@ -238,9 +321,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_all_status": q_latest_all_status,
     "pending_retry_failed": q_pending_retry_failed,
     "pending_summary": q_pending_summary,
+    "cap_guard": q_cap_guard,
+    "collisions_vs_ledger": q_collisions_vs_ledger,
     "preview": q_preview,
+    "preview_any": q_preview_any,
     "audit_records": q_audit_records,
     "copy_files": q_copy_files,
+    "copy_with_errors": q_copy_with_errors,
     "run_landing": q_run_landing,
 }
 
@@ -285,6 +372,12 @@ _EVENT_PATH = f"'{P}events/' || CAST(user_id AS VARCHAR) || '.json'"
 _EPOCH = "TIMESTAMP '1970-01-01 00:00:00'"
 _BLOBS = f"read_blob('{ORACLE_DIR}/*.parquet')"
 
+# The files of the tree: zero-byte files are invisible.
+_TREE = """
+SELECT source || '/' || lang || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, CAST(doc_id AS VARCHAR) || '.txt' AS name,
+       source, text, round(strlen(text) / 1048576, 2) AS mb
+FROM documents WHERE strlen(text) > 0"""
+
 _MAN_COLS = "m.source_path, m.source_modified_at, m.source_size_mb, m.bucket_path, m.lakehouse_path"
 
 _PENDING_CTE = f"""
@@ -319,11 +412,22 @@ SELECT 'file:' || filename AS source_path,
        CAST(floor(epoch(last_modified)) AS BIGINT) AS source_modified_unix,
        round(size / 1048576, 2) AS source_size_mb
 FROM {_BLOBS}""",
-    "file_inventory_distributed": f"""
-SELECT 'file:' || filename AS source_path,
-       CAST(floor(epoch(last_modified)) AS BIGINT) AS source_modified_unix,
-       round(size / 1048576, 2) AS source_size_mb
-FROM {_BLOBS}""",
+    "file_inventory_distributed": f"SELECT path AS source_path, mb AS source_size_mb, true AS has_time FROM ({_TREE})",
+    "inventory_glob": f"""
+SELECT path AS source_path, mb AS source_size_mb FROM ({_TREE})
+WHERE regexp_full_match(source, 'src(0|1.)') AND regexp_full_match(name, '(.*[0-3]|[^1-8].)\\.txt')""",
+    "landing_path_repeated": f"""
+SELECT page_id, {_landing('url', 'th', st.PAGES_ROOT)} AS piece, '{st.PAGES_ROOT}/' || {_after('url', 'th')} AS tail
+FROM pages""",
+    "preview_any": f"WITH {_PENDING_CTE} SELECT least(count(*), 20) AS n_rows, least(count(*), 20) AS n_pending FROM pend",
+    "cap_guard": f"""
+WITH {_PENDING_CTE} SELECT count(*) AS n_files, false AS raises_at_cap, true AS raises_over_cap FROM pend""",
+    "collisions_vs_ledger": f"""
+WITH o AS (
+  SELECT '{P}orders/' || CAST(o_orderkey AS VARCHAR) AS stem FROM orders WHERE o_orderdate > {_EPOCH}),
+l AS (SELECT DISTINCT '{P}orders/' || CAST(l_orderkey AS VARCHAR) AS stem FROM lineitem)
+SELECT {_landing('stem', '/raw/', st.LANDING_ROOT)} AS lakehouse_path, stem || '.csv' AS first_source, stem || '.txt' AS last_source
+FROM o JOIN l USING (stem)""",
     "size_projection": "SELECT doc_id, round(n_chars / 1024, 2) AS source_size_mb FROM documents",
     "bucket_path": f"""
 SELECT doc_id, source_path, {_after('source_path', '/Files/')} AS bucket_path
@@ -395,14 +499,16 @@ WITH {_PENDING_CTE}
 SELECT *, TIMESTAMP '{st.AUDIT_TIME}' AS copied_at, 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error
 FROM pend""",
     "copy_files": f"""
-SELECT 'file:' || filename AS source_path,
-       round(size / 1048576, 2) AS source_size_mb,
-       round(size / 1048576, 2) AS target_size_mb,
+SELECT path AS source_path, mb AS source_size_mb, mb AS target_size_mb, md5(text) AS content_md5,
        'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error
-FROM {_BLOBS}""",
+FROM ({_TREE})""",
+    "copy_with_errors": f"""
+SELECT path AS source_path, 'SUCCESS' AS status, false AS has_error, true AS landed, true AS copied_since_start FROM ({_TREE})
+UNION ALL
+SELECT path || '.gone', 'ERROR', true, false, true FROM ({_TREE})""",
     "run_landing": f"""
-SELECT 'SUCCESS' AS status, count(*) AS n_files, CAST(0 AS BIGINT) AS n_pending_rerun
-FROM {_BLOBS}""",
+SELECT 'SUCCESS' AS status, count(*) AS n_files, count(DISTINCT text) AS n_contents, CAST(0 AS BIGINT) AS n_pending_rerun
+FROM ({_TREE})""",
 }
 
 

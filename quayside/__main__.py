@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 from quayside.operators.manifest import PathRules
 from quayside.plans.landing import LandingConfig, run_landing
-from quayside.schema import DEFAULT_BUCKET_MARKER
+from quayside.schema import DEFAULT_BUCKET_MARKER, STATUS_SUCCESS
 from quayside.sources.ledger import Ledger
 
 
@@ -42,6 +42,7 @@ def parse(argv: list[str]) -> LandingConfig:
     ap.add_argument("--max-files", type=int, default=None)
     ap.add_argument("--copy-threads", type=int, default=None)
     ap.add_argument("--tasks", type=int, default=None, help="number of copy tasks (default: from files and bytes)")
+    ap.add_argument("--keep-staging", action="store_true", help="leave the run's listing, pending and audit files")
     ap.add_argument("--preview", type=int, default=20, help="rows of pending/audit to log")
     a = ap.parse_args(argv)
     return LandingConfig(
@@ -64,6 +65,7 @@ def parse(argv: list[str]) -> LandingConfig:
         copy_threads=a.copy_threads,
         num_tasks=a.tasks,
         preview_rows=a.preview,
+        keep_staging=a.keep_staging,
     )
 
 
@@ -73,7 +75,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("quayside-landing").getOrCreate()
     result = run_landing(spark, cfg)
     print(json.dumps({"copied": result.count, "run_dir": result.run_dir, **result.stats}, default=str))
-    return 0
+    status = result.stats.get("status", {})
+    return 1 if status and STATUS_SUCCESS not in status else 0  # every copy failed
 
 
 if __name__ == "__main__":

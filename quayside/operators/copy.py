@@ -1,19 +1,24 @@
 """Distributed file copy with one audit row per file.
 
-The pending rows are hash-partitioned on ``source_path`` into a number of copy
-tasks sized from the file count and bytes, and each task copies its files with
-``pyarrow.fs`` (server-side ``copy_file`` when source and target share a file
+Pending rows are dealt to copy tasks by bytes: every file of ``mb_per_task`` or more
+is a range of its own among the large ones, and the rest is range-partitioned by
+target path, so neighbours in a folder meet in one task. Each task copies its files
+with ``pyarrow.fs`` (server-side ``copy_file`` when source and target share a file
 system, a chunked stream otherwise), one at a time on a local disk and on a
 thread pool against HDFS or object stores, where copies wait on the network.
 Nothing about the file list passes through the driver.
 
-Side effects and retries: a task may be re-run (executor loss, speculation),
-so every copy is idempotent — on file systems with atomic rename the bytes go
-to a hidden temporary name first and are renamed over the target; on object
-stores the single PUT is already atomic. The copy plan is evaluated exactly
-once by writing its audit rows to a staging folder (the write job's commit
-protocol keeps one attempt per task); counts, previews and the ledger append
-all read that staging output.
+A target is never replaced by part of a file. The bytes go to a hidden temporary
+name beside it, their count is compared with the source's, and only then the
+temporary takes the target's place: by rename on local disks and HDFS, by a
+server-side copy and the removal of the temporary on object stores (where one
+object copied within a store skips the temporary: that copy is a single request).
+A failed copy removes its temporary and leaves the old target.
+
+Side effects and retries: a task may be re-run (executor loss, speculation); every
+copy is idempotent. The copy plan is evaluated exactly once by writing its audit
+rows to a staging folder (the write job's commit protocol keeps one attempt per
+task); counts, previews and the ledger append all read that staging output.
 """
 
 from __future__ import annotations
@@ -27,12 +32,14 @@ from pyspark.sql import functions as F
 
 from quayside.schema import MANIFEST_COLUMNS, STATUS_ERROR, STATUS_SUCCESS, audit_schema
 from quayside.session import qualify
-from quayside.sources.fsuri import FileSystems
+from quayside.sources.fsuri import FileSystems, has_scheme, storage_settings
 
 # Ship this module's task code by value: executors need pyarrow/pandas only.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _CHUNK_BYTES = 8 * 1024 * 1024
+# Bytes (MiB) of a copy task; a file this large is one by itself.
+MB_PER_TASK = 2048.0
 
 
 def audit_records(
@@ -55,7 +62,7 @@ def plan_copy_tasks(
     n_files: int,
     total_mb: float,
     files_per_task: int = 2000,
-    mb_per_task: float = 2048.0,
+    mb_per_task: float = MB_PER_TASK,
 ) -> int:
     """Number of copy tasks: enough that no task holds more than
     ``files_per_task`` files or ``mb_per_task`` MiB, and at least one per core
@@ -77,6 +84,8 @@ def _copier(
     copier=None,
     relative_to: str | None = None,
     counters: tuple | None = None,
+    settings: dict | None = None,
+    root: tuple[str, str] | None = None,
 ):
     """Build the per-task function given to ``mapInPandas``.
 
@@ -93,6 +102,9 @@ def _copier(
     scheme and not absolute (Spark resolves such paths against the default file
     system's working directory; the ledger keeps them as given).
 
+    ``root``: ``(as given, qualified)``; a landing path that begins with the first is
+    opened under the second. ``settings``: see ``storage_settings``.
+
     ``counters``: optional ``(success, error)`` Spark accumulators. Updates made
     inside an action count once per successful task, so the totals are exact
     without another pass over the audit rows.
@@ -106,7 +118,7 @@ def _copier(
 
         import pandas as pd
 
-        resolve = FileSystems().resolve
+        resolve = FileSystems(settings).resolve
 
         def stream(sfs, spath, dfs, dpath):
             with sfs.open_input_stream(spath) as src, dfs.open_output_stream(dpath) as dst:
@@ -116,10 +128,17 @@ def _copier(
                         break
                     dst.write(block)
 
+        def check(fs, path, size):
+            got = fs.get_file_info(path).size
+            if got != size:
+                raise OSError(f"{got} bytes arrived of {size}")
+
         made_dirs: set = set()
 
         def absolute(uri):
-            if relative_to and "://" not in uri and not uri.startswith(("/", "file:")):
+            if root and (uri + "/").startswith(root[0].rstrip("/") + "/"):
+                return root[1].rstrip("/") + uri[len(root[0].rstrip("/")):]
+            if relative_to and not has_scheme(uri) and not uri.startswith("/"):
                 return relative_to.rstrip("/") + "/" + uri
             return uri
 
@@ -133,34 +152,38 @@ def _copier(
                     return STATUS_SUCCESS, None, datetime.now(timezone.utc)
                 sfs, spath = resolve(src_uri)
                 dfs, dpath = resolve(dst_uri)
+                size = sfs.get_file_info(spath).size
+                if size is None:
+                    raise FileNotFoundError(src_uri)
                 parent = posixpath.dirname(dpath)
-                if parent and (id(dfs), parent) not in made_dirs:
+                folders = dfs.type_name in ("local", "hdfs")  # object stores have none to make
+                if folders and parent and (id(dfs), parent) not in made_dirs:
                     dfs.create_dir(parent, recursive=True)
                     made_dirs.add((id(dfs), parent))
-                atomic = dfs.type_name in ("local", "hdfs")
-                tmp = (
-                    posixpath.join(parent, f".{posixpath.basename(dpath)}.{uuid.uuid4().hex}.inflight")
-                    if atomic
-                    else dpath
-                )
+                if not folders and sfs.equals(dfs):
+                    try:
+                        sfs.copy_file(spath, dpath)  # one request: whole or not at all
+                        check(dfs, dpath, size)
+                        return STATUS_SUCCESS, None, datetime.now(timezone.utc)
+                    except OSError:
+                        pass  # e.g. over the size limit of one request: through a temporary
+                tmp = posixpath.join(parent, f".{posixpath.basename(dpath)}.{uuid.uuid4().hex}.inflight")
                 try:
-                    if sfs.equals(dfs):
-                        try:
-                            # server-side on object stores: no bytes through the executor
-                            sfs.copy_file(spath, tmp)
-                        except OSError:
-                            # e.g. single-request copy size limits: fall back to streaming
-                            stream(sfs, spath, dfs, tmp)
+                    if folders and sfs.equals(dfs):
+                        sfs.copy_file(spath, tmp)
                     else:
                         stream(sfs, spath, dfs, tmp)
-                    if atomic:
+                    check(dfs, tmp, size)
+                    if folders:
                         dfs.move(tmp, dpath)
+                    else:
+                        dfs.copy_file(tmp, dpath)
+                        dfs.delete_file(tmp)
                 except BaseException:
-                    if atomic:
-                        try:
-                            dfs.delete_file(tmp)
-                        except Exception:
-                            pass
+                    try:
+                        dfs.delete_file(tmp)
+                    except Exception:
+                        pass
                     raise
                 return STATUS_SUCCESS, None, datetime.now(timezone.utc)
             except Exception as exc:  # one failed file never fails the task
@@ -212,15 +235,24 @@ def copy_plan(
     copier=None,
     relative_to: str | None = None,
     counters: tuple | None = None,
+    settings: dict | None = None,
+    root: tuple[str, str] | None = None,
+    num_large: int = 0,
+    large_mb: float = MB_PER_TASK,
 ) -> DataFrame:
     """The lazy copy: each evaluation copies again, so evaluate it once
-    (``copy_files`` does)."""
+    (``copy_files`` does). ``num_large`` tasks take the files of ``large_mb`` or more."""
     schema = audit_schema(pending.schema)
-    return (
-        pending.select(*MANIFEST_COLUMNS)
-        .repartition(max(1, num_tasks), F.col("source_path"))
-        .mapInPandas(_copier(threads, chunk_bytes, copier, relative_to, counters), schema)
-    )
+    rows = pending.select(*MANIFEST_COLUMNS)
+    run = _copier(threads, chunk_bytes, copier, relative_to, counters, settings, root)
+    if num_large:
+        large = F.coalesce(F.col("source_size_mb") >= large_mb, F.lit(False))
+        dealt = rows.filter(large).repartitionByRange(num_large, "source_path").union(
+            rows.filter(~large).repartitionByRange(max(1, num_tasks), "lakehouse_path")
+        )
+    else:
+        dealt = rows.repartitionByRange(max(1, num_tasks), "lakehouse_path")
+    return dealt.mapInPandas(run, schema)
 
 
 def copy_files(
@@ -229,11 +261,10 @@ def copy_files(
     staging_dir: str,
     num_tasks: int | None = None,
     threads: int | None = None,
-    n_files: int | None = None,
-    total_mb: float | None = None,
     copier=None,
     relative_to: str | None = None,
     counters: tuple | None = None,
+    root: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Copy every pending file on the executors, stage the audit rows once
     at ``staging_dir`` (parquet), and return them read back from there.
@@ -242,13 +273,49 @@ def copy_files(
     default file system's working directory, as Spark resolves them."""
     if relative_to is None:
         relative_to = qualify(spark, ".")
+    large = F.col("source_size_mb") >= MB_PER_TASK
+    num_large = 0
     if num_tasks is None:
-        if n_files is None or total_mb is None:
-            row = pending.agg(
-                F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("source_size_mb"), F.lit(0.0)).alias("mb")
-            ).first()
-            n_files, total_mb = row["n"], row["mb"]
-        num_tasks = plan_copy_tasks(spark, n_files, total_mb)
-    plan = copy_plan(pending, num_tasks, threads, copier=copier, relative_to=relative_to, counters=counters)
+        row = pending.agg(
+            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("source_size_mb"), F.lit(0.0)).alias("mb"),
+            F.count_if(large).alias("large"), F.coalesce(F.sum(F.when(large, F.col("source_size_mb"))), F.lit(0.0)).alias("large_mb"),
+        ).first()
+        num_large = row["large"]
+        num_tasks = plan_copy_tasks(spark, row["n"] - num_large, row["mb"] - row["large_mb"])
+    plan = copy_plan(
+        pending, num_tasks, threads, copier=copier, relative_to=relative_to, counters=counters,
+        settings=storage_settings(spark), root=root, num_large=num_large,
+    )
     plan.write.mode("errorifexists").parquet(staging_dir)
     return spark.read.schema(plan.schema).parquet(staging_dir)
+
+
+def preflight(spark: SparkSession, target: str, settings: dict | None = None) -> None:
+    """Open the landing root, write and remove a probe there, on the driver and in one
+    task; raises before any copy when either cannot."""
+
+    def probe(uri: str) -> str | None:
+        import uuid
+
+        try:
+            fs, path = FileSystems(settings).resolve(uri)
+            if fs.type_name in ("local", "hdfs"):
+                fs.create_dir(path, recursive=True)
+            name = f"{path.rstrip('/')}/.probe-{uuid.uuid4().hex}.inflight"
+            with fs.open_output_stream(name) as out:
+                out.write(b"probe")
+            fs.delete_file(name)
+        except Exception as exc:
+            return f"{type(exc).__name__}: {exc}"
+        return None
+
+    def run(batches):
+        for pdf in batches:
+            yield pdf.assign(error=[probe(u) for u in pdf["uri"]])
+
+    error = probe(target)
+    if error is None:
+        one = spark.createDataFrame([(target,)], "uri string").coalesce(1)
+        error = one.mapInPandas(run, "uri string, error string").first()["error"]
+    if error is not None:
+        raise RuntimeError(f"the landing root {target!r} cannot be written: {error}; nothing was copied")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.schema import STATUS_SUCCESS
+
 
 def pending_summary(pending: DataFrame, max_files: int | None = None) -> DataFrame:
     """A2/A3/A4 in one aggregate pass: file count, emptiness, over the cap."""
@@ -37,6 +39,23 @@ def target_collisions(pending: DataFrame) -> DataFrame:
     )
 
 
+def claimed_targets(pending: DataFrame, manifest: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Landing paths of pending files that more than one source claims, in the whole
+    listing or by a landed row of the ledger: ``lakehouse_path, first_source,
+    last_source`` (smallest and largest source path). Only paths that a pending file
+    would write are looked at; minima and maxima are partial before the shuffle."""
+    claims = manifest.select("lakehouse_path", "source_path").union(
+        ledger.filter(F.col("status") == STATUS_SUCCESS).select("lakehouse_path", "source_path")
+    )
+    wanted = pending.select("lakehouse_path").distinct()
+    return (
+        claims.join(wanted, "lakehouse_path", "left_semi")
+        .groupBy("lakehouse_path")
+        .agg(F.min("source_path").alias("first_source"), F.max("source_path").alias("last_source"))
+        .filter(F.col("first_source") != F.col("last_source"))
+    )
+
+
 def preview(df: DataFrame, n: int = 20, order_by: str | None = "source_path") -> DataFrame:
     """O1/O2: first ``n`` rows ordered by ``order_by`` (a top-k, planned as
     TakeOrderedAndProject), or any ``n`` rows when ``order_by`` is None."""

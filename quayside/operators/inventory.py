@@ -28,6 +28,7 @@ def extract_inventory(
     listing: str = "binaryFile",
     staging_dir: str | None = None,
     dir_counter=None,
+    vanished=None,
 ) -> DataFrame:
     """Listing + projection.
 
@@ -41,7 +42,8 @@ def extract_inventory(
         roots = [source] if isinstance(source, str) else list(source)
         parts = [
             list_files(
-                spark, r, f"{staging_dir}/listing-{i}" if staging_dir else None, glob=glob, dir_counter=dir_counter
+                spark, r, f"{staging_dir}/listing-{i}" if staging_dir else None, glob=glob, dir_counter=dir_counter,
+                vanished=vanished,
             )
             for i, r in enumerate(roots)
         ]

@@ -6,6 +6,14 @@ step — guards, counts, copy, preview, append — reads that snapshot, so a fil
 that changes or disappears during the run cannot make the steps disagree, and
 appending to the ledger cannot change an already computed pending set.
 
+Before the first copy a run refuses: overlapping sources; a landing root, ledger,
+staging or checkpoint folder inside a source; landing paths that another source of
+the listing claims or that the ledger has from another source; and a landing root
+that the driver or a task cannot write (``preflight``).
+
+Staging (listing, pending and audit rows) stays for the result's DataFrames unless
+``keep_staging=False``, which removes it at the end of a successful run.
+
 Failure model: copies are idempotent and the audit append happens after all
 copies, so a run that dies part-way is repeated by the next run
 (at-least-once landing; a file gets a ledger row from each run that reaches
@@ -22,13 +30,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.copy import copy_files
+from quayside.operators.copy import copy_files, preflight
 from quayside.operators.detect import pending_files
-from quayside.operators.guards import preview
+from quayside.operators.guards import claimed_targets, preview
 from quayside.operators.inventory import extract_inventory
 from quayside.operators.manifest import PathRules, build_manifest
 from quayside.schema import BYTES_PER_MIB, STATUS_ERROR, STATUS_SUCCESS
-from quayside.session import new_run_dir, qualify
+from quayside.session import checkpoint_root, new_run_dir, qualify
+from quayside.sources.fsuri import storage_settings
 from quayside.sources.ledger import Ledger, append_ledger, empty_ledger, ensure_ledger, read_ledger
 
 log = logging.getLogger("quayside")
@@ -44,12 +53,13 @@ class LandingConfig:
     listing: str = "distributed"  # tree walked on the executors; 'binaryFile': Spark's driver-side file index
     retry_failed: bool = False
     on_unmapped: str = "fail"  # 'fail' raises before copying; 'reject' sets them apart
-    on_collision: str = "fail"  # 'fail' raises when two sources share a landing path; 'allow'
+    on_collision: str = "fail"  # 'fail' raises when two sources share a landing path, also across runs; 'allow'
     max_files: int | None = None  # None: no cap (the copy is distributed)
     copy_threads: int | None = None  # None: 1 per task on a local disk, 16 on HDFS / object stores
     num_tasks: int | None = None
     copier: Callable[[str, str], None] | None = None  # replaces the pyarrow copy (must overwrite, raise on failure)
     staging_dir: str | None = None  # default: a new folder under spark.checkpoint.dir
+    keep_staging: bool = True  # False: remove the run folder after a successful run (its DataFrames go with it)
     preview_rows: int = 0  # > 0: log the first rows (by source_path) of the pending and audit sets
 
 
@@ -83,12 +93,17 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
 
     log.info("landing run %s: source=%s ledger=%s", run_dir, cfg.source, cfg.ledger)
     ensure_ledger(spark, cfg.ledger)
+    _check_table_place(spark, cfg)
     ledger = read_ledger(spark, cfg.ledger)
     lap("ledger")
-    dirs_listed = spark.sparkContext.accumulator(0)
+    dirs_listed, vanished = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
     inventory = extract_inventory(
-        spark, cfg.source, cfg.factor, glob=cfg.glob, listing=cfg.listing, staging_dir=run_dir, dir_counter=dirs_listed
+        spark, cfg.source, cfg.factor, glob=cfg.glob, listing=cfg.listing, staging_dir=run_dir, dir_counter=dirs_listed,
+        vanished=vanished,
     )
+    if cfg.listing != "distributed":  # the distributed listing is staged by itself
+        inventory.write.mode("errorifexists").parquet(f"{run_dir}/listing")
+        inventory = spark.read.schema(inventory.schema).parquet(f"{run_dir}/listing")
     manifest = build_manifest(inventory, cfg.rules)
 
     # The one evaluation of listing + detection.
@@ -97,18 +112,16 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     pending = spark.read.schema(pending_plan.schema).parquet(f"{run_dir}/pending")
     lap("detect_and_stage")
 
-    # One aggregate (a single action) answers every pre-copy question: size of the batch,
-    # rows without a landing or bucket path (the ledger forbids NULL there),
-    # and whether two sources claim one landing path.
+    # One aggregate (a single action) answers the pre-copy questions: size of the batch
+    # and rows without a landing or bucket path (the ledger forbids NULL there).
     unmapped_row = F.col("lakehouse_path").isNull() | F.col("bucket_path").isNull()
     row = pending.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(unmapped_row).alias("unmapped"),
         F.coalesce(F.sum(F.when(~unmapped_row, F.col("source_size_mb"))), F.lit(0.0)).alias("mb"),
-        F.count_distinct(F.when(~unmapped_row, F.col("lakehouse_path"))).alias("targets"),
     ).first()
-    n, n_unmapped, total_mb, n_targets = row["n"], row["unmapped"], float(row["mb"]), row["targets"]
-    stats = {"pending": n, "unmapped": n_unmapped, "pending_mb": total_mb, "collisions": n - n_unmapped - n_targets}
+    n, n_unmapped, total_mb = row["n"], row["unmapped"], float(row["mb"])
+    stats = {"pending": n, "unmapped": n_unmapped, "pending_mb": total_mb}
     stats["timings"] = timings
     lap("checks")
     log.info("%d new or updated files (%.2f MiB), %d without a landing path", n, total_mb, n_unmapped)
@@ -129,16 +142,24 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         to_copy = pending.filter(~unmapped_row)
         n -= n_unmapped
 
-    if cfg.on_collision == "fail" and stats["collisions"]:
-        raise ValueError(
-            f"landing paths are claimed by more than one source ({stats['collisions']} surplus sources); "
-            "nothing was copied"
-        )
+    if n and cfg.on_collision == "fail":
+        claims = claimed_targets(to_copy, manifest, ledger)
+        stats["collisions"] = claims.count()
+        if stats["collisions"]:
+            first = claims.first()
+            raise ValueError(
+                f"{stats['collisions']} landing paths are claimed by more than one source, in this listing or in the "
+                f"ledger (e.g. {first['lakehouse_path']!r} by {first['first_source']!r} and {first['last_source']!r}); "
+                "nothing was copied"
+            )
 
     def finish() -> None:
         # read at the end: any re-evaluation of the listing would show here
         if cfg.listing == "distributed":
             stats["dirs_listed"] = dirs_listed.value
+            stats["dirs_vanished"] = vanished.value
+        if not cfg.keep_staging:
+            _remove(spark, run_dir)
 
     if n == 0:
         log.info("nothing to copy; the ledger is left as it is")
@@ -146,6 +167,9 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         audit = empty_ledger(spark, ledger.schema)
         return LandingResult(inventory, manifest, ledger, pending, audit, rejected, 0, run_dir, stats)
 
+    root = (cfg.rules.root, _qualified_root(spark, cfg.rules.root))
+    if cfg.copier is None:
+        preflight(spark, root[1], storage_settings(spark))
     counters = (spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0))
     audit = copy_files(
         spark,
@@ -153,10 +177,9 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         f"{run_dir}/audit",
         num_tasks=cfg.num_tasks,
         threads=cfg.copy_threads,
-        n_files=n,
-        total_mb=total_mb,
         copier=cfg.copier,
         counters=counters,
+        root=root,
     )
     lap("copy")
     # NOT NULL columns were checked on the pending rows; the copy sets the rest.
@@ -178,8 +201,8 @@ def _log_preview(label: str, df: DataFrame, rows: int) -> None:
 
 
 def _check_layout(spark: SparkSession, cfg: LandingConfig) -> None:
-    """Refuse overlapping source folders, and a landing root or path ledger inside
-    a source folder (the run's own output would be listed as new sources by the
+    """Refuse overlapping source folders, and a landing root, path ledger or
+    staging inside a source folder (the run's own output would be listed as new sources by the
     next run). Paths are compared qualified, on the driver, before any job."""
     sources = [cfg.source] if isinstance(cfg.source, str) else list(cfg.source)
     roots = [qualify(spark, s).rstrip("/") + "/" for s in sources]
@@ -188,9 +211,39 @@ def _check_layout(spark: SparkSession, cfg: LandingConfig) -> None:
         for b in roots[i + 1:]:
             if a.startswith(b) or b.startswith(a):
                 raise ValueError(f"source folders overlap: {a!r} and {b!r}")
-    targets = {"landing root": cfg.rules.root}
+    targets = {"landing root": _qualified_root(spark, cfg.rules.root)}
     if cfg.ledger.path is not None:
         targets["ledger"] = cfg.ledger.path
+    targets["staging folder"] = cfg.staging_dir or checkpoint_root(spark)
+    _refuse_inside(spark, roots, targets)
+
+
+def _check_table_place(spark: SparkSession, cfg: LandingConfig) -> None:
+    """The same for the folder of a catalog ledger, once it exists."""
+    if cfg.ledger.name is None:
+        return
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {cfg.ledger.name}").filter("col_name = 'Location'").collect()
+    sources = [cfg.source] if isinstance(cfg.source, str) else list(cfg.source)
+    roots = [qualify(spark, s).rstrip("/") + "/" for s in sources]
+    _refuse_inside(spark, roots, {"ledger": r["data_type"] for r in rows})
+
+
+def _qualified_root(spark: SparkSession, root: str) -> str:
+    """The landing root as a URI that executors can open; raises for one that names no file system."""
+    from py4j.protocol import Py4JJavaError
+
+    try:
+        return qualify(spark, root)
+    except Py4JJavaError as exc:
+        raise ValueError(f"the landing root {root!r} does not resolve: {exc.java_exception}; nothing was copied") from None
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _refuse_inside(spark: SparkSession, roots: list[str], targets: dict[str, str]) -> None:
     for label, target in targets.items():
         where = qualify(spark, target).rstrip("/") + "/"
         for root in roots:

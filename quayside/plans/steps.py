@@ -13,7 +13,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quayside.operators.copy import copy_files
 from quayside.schema import ledger_schema
@@ -41,12 +40,11 @@ def copy_pending(
     run = staging_dir or new_run_dir(spark, "copy")
     pending.write.mode("errorifexists").parquet(f"{run}/pending")
     staged = spark.read.schema(pending.schema).parquet(f"{run}/pending")
-    row = staged.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("source_size_mb"), F.lit(0.0)).alias("mb")).first()
-    n, total_mb = row["n"], float(row["mb"])
+    n = staged.count()
     if max_files is not None and n > max_files:
         raise ValueError(f"{n} files are pending, more than max_files={max_files}; nothing was copied")
     if n == 0:
         schema = ledger_table_schema(spark, ledger) if ledger is not None else ledger_schema()
         return empty_ledger(spark, schema), 0
-    audit = copy_files(spark, staged, f"{run}/audit", n_files=n, total_mb=total_mb, **copy_options)
+    audit = copy_files(spark, staged, f"{run}/audit", **copy_options)
     return audit, n

@@ -17,23 +17,32 @@ holds one count per round; the walk ends when a round leaves no directory. The
 result is read back from staging: the listing is evaluated once, however often
 it is used.
 
+Names are matched by the regular expression that Hadoop itself makes of ``glob``
+(braces, classes with ``^`` or ``!``, escapes), taken from it once on the driver; a
+source path with wildcards is expanded there too, as ``binaryFile`` does.
+
 Visibility follows Spark's own listing, so both listings return the same rows:
 names starting with ``_`` (unless they contain ``=``) or ``.``, and names
 ending in ``._COPYING_``, are skipped for files and directories alike, except
 ``_metadata`` / ``_common_metadata``; zero-byte files are skipped; times are
-truncated to milliseconds; ``glob`` filters file names. Output columns are
-those of ``scan_files``: ``path``, ``modificationTime``, ``length``.
+truncated to milliseconds (a store that gives none leaves it NULL, so the file is
+never pending); ``glob`` filters file names. Output columns are those of
+``scan_files``: ``path``, ``modificationTime``, ``length``. A directory that vanishes
+between its discovery and its listing is counted in ``vanished``.
 
 Limits: the direct children of one directory are listed by one task (an
 object-store listing is one paginated request sequence), so a single flat
 directory holding a large share of all files makes that task long; every
-other directory is spread over all tasks.
+other directory is spread over all tasks. pyarrow returns that one listing as a
+list (some hundred bytes an entry); rows leave the task in frames of at most
+``_BATCH_ROWS``, and at most ``_WAVE`` listings are held at a time.
 """
 
 from __future__ import annotations
 
 import math
 import sys
+from functools import reduce
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +50,7 @@ from pyspark.sql import functions as F
 
 from quayside.session import new_run_dir, qualify
 from quayside.sources.files import scan_files
-from quayside.sources.fsuri import FileSystems
+from quayside.sources.fsuri import FileSystems, storage_settings
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -52,17 +61,22 @@ _BUDGET = 50_000
 # object store each directory is at least one request, so a wide tree must fan
 # out to the cluster rather than be walked by the task that found it.
 _DIR_BUDGET = 256
+# Directories whose listings a task holds at a time.
+_WAVE = 16
 
 
 def _lister(
-    glob: str | None,
+    name_pattern: str | None,
     budget: int,
     dir_counter=None,
     dir_budget: int = _DIR_BUDGET,
     threads: int | None = None,
+    settings: dict | None = None,
+    vanished=None,
 ):
     def run(batches):
-        import fnmatch
+        import re
+        from collections import deque
         from concurrent.futures import ThreadPoolExecutor
 
         import pandas as pd
@@ -73,7 +87,8 @@ def _lister(
             kept = name.startswith("_common_metadata") or name.startswith("_metadata")
             return excluded and not kept
 
-        resolve = FileSystems().resolve
+        resolve = FileSystems(settings).resolve
+        wanted = re.compile(name_pattern, re.S).fullmatch if name_pattern else None
 
         def frame(rows):
             pdf = pd.DataFrame(rows, columns=["kind", "path", "ms", "length"])
@@ -82,7 +97,10 @@ def _lister(
 
         def list_one(parent):
             fs, ppath = resolve(parent)
-            return fs.get_file_info(pafs.FileSelector(ppath, recursive=False, allow_not_found=True))
+            try:
+                return fs.get_file_info(pafs.FileSelector(ppath, recursive=False))
+            except FileNotFoundError:
+                return None
 
         def pool_size(first_dir) -> int:
             if threads is not None:
@@ -98,18 +116,20 @@ def _lister(
         pool = None
         try:
             for pdf in batches:
-                queue = [(d, True) for d in pdf["dir"]]
+                queue = deque((d, True) for d in pdf["dir"])
                 while queue:
-                    # one wave: every queued directory still within the budgets,
+                    # one wave: some queued directories still within the budgets,
                     # listed together (concurrently against a remote store)
-                    wave, queue = queue, []
                     to_list = []
-                    for parent, must in wave:
+                    while queue and len(to_list) < _WAVE:
+                        parent, must = queue.popleft()
                         if not must and (listed >= budget or extra_dirs >= dir_budget):
                             rows.append(("dir", parent, None, None))  # left for the next round
+                            if len(rows) >= _BATCH_ROWS:
+                                yield frame(rows)
+                                rows = []
                             continue
-                        if not must:
-                            extra_dirs += 1
+                        extra_dirs += not must
                         to_list.append(parent)
                     if not to_list:
                         continue
@@ -120,6 +140,10 @@ def _lister(
                     for parent, infos in zip(to_list, listings):
                         if dir_counter is not None:
                             dir_counter.add(1)
+                        if infos is None:
+                            if vanished is not None:
+                                vanished.add(1)
+                            continue
                         base = parent.rstrip("/")
                         for info in infos:
                             name = info.base_name
@@ -129,12 +153,13 @@ def _lister(
                             if info.type == pafs.FileType.Directory:
                                 queue.append((f"{base}/{name}", False))
                             elif info.type == pafs.FileType.File and info.size:
-                                if glob and not fnmatch.fnmatchcase(name, glob):
+                                if wanted and not wanted(name):
                                     continue
-                                rows.append(("file", f"{base}/{name}", info.mtime_ns // 1_000_000, info.size))
-                        if len(rows) >= _BATCH_ROWS:
-                            yield frame(rows)
-                            rows = []
+                                ms = info.mtime_ns // 1_000_000 if info.mtime_ns is not None else None
+                                rows.append(("file", f"{base}/{name}", ms, info.size))
+                                if len(rows) >= _BATCH_ROWS:
+                                    yield frame(rows)
+                                    rows = []
             if rows:
                 yield frame(rows)
         finally:
@@ -144,7 +169,28 @@ def _lister(
     return run
 
 
-def _root_status(spark: SparkSession, root: str) -> str | None:
+def glob_pattern(spark: SparkSession, glob: str) -> str:
+    """The regular expression that Hadoop matches ``glob`` by, usable in Python."""
+    import re
+
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern()
+    try:
+        re.compile(pattern, re.S)
+    except re.error as exc:
+        raise ValueError(f"cannot match names by {glob!r}: {exc}") from exc
+    return pattern
+
+
+def _expand(spark: SparkSession, root: str) -> list[str]:
+    """The paths that a root with wildcards stands for (driver side, one call)."""
+    if not any(c in root for c in "*?[{"):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return [str(s.getPath().toString()) for s in found or []]
+
+
+def _root_status(spark: SparkSession, root: str, settings: dict) -> str | None:
     """'dir', 'file' or None (absent), asked once on the driver: through Hadoop's
     file system when it has one for the scheme, else through pyarrow (the same
     access the executors will use)."""
@@ -157,7 +203,7 @@ def _root_status(spark: SparkSession, root: str) -> str | None:
     except Py4JJavaError:
         import pyarrow.fs as pafs
 
-        afs, apath = FileSystems().resolve(root)
+        afs, apath = FileSystems(settings).resolve(root)
         kind = afs.get_file_info(apath).type
         if kind == pafs.FileType.NotFound:
             return None
@@ -177,22 +223,33 @@ def list_files(
     dir_counter=None,
     dir_budget: int = _DIR_BUDGET,
     threads: int | None = None,
+    vanished=None,
 ) -> DataFrame:
     """List every visible file under ``root`` on the executors; see the module doc.
 
     ``dir_counter``: an optional Spark accumulator that counts directory listings
     (one per directory per evaluation; a retried task counts again).
     ``threads``: directories listed at once per task; None picks 1 on a local
-    disk and 16 against a remote store, where each listing waits on a request."""
+    disk and 16 against a remote store, where each listing waits on a request.
+    ``vanished``: an optional accumulator of directories gone before their listing."""
     staging_dir = staging_dir or new_run_dir(spark, "listing")
     root = qualify(spark, root)
-    status = _root_status(spark, root)
+    settings = storage_settings(spark)
+    status = _root_status(spark, root, settings)
     if status is None:
-        raise FileNotFoundError(f"listing root does not exist: {root}")
+        matches = _expand(spark, root)
+        if not matches:
+            raise FileNotFoundError(f"listing root does not exist: {root}")
+        parts = [
+            list_files(spark, m, f"{staging_dir}/match-{i:05d}", glob, max_tasks, budget, dir_counter, dir_budget, threads, vanished)
+            for i, m in enumerate(matches)
+        ]
+        return reduce(DataFrame.union, parts)
     if status == "file":  # like binaryFile: a file root lists that file
         return scan_files(spark, root, glob=glob, max_tasks=1)
     cores_cap = max_tasks or 4 * spark.sparkContext.defaultParallelism
     frontier = spark.createDataFrame([(root,)], "dir string")
+    name_pattern = glob_pattern(spark, glob) if glob else None
     n_dirs, level = 1, 0
     while n_dirs:
         out = f"{staging_dir}/level-{level:05d}"
@@ -200,7 +257,7 @@ def list_files(
             # four tasks per core, but never more than 256 assigned directories per task
             # (the core count can be small at planning time under dynamic allocation)
             frontier.repartition(max(1, min(n_dirs, max(cores_cap, math.ceil(n_dirs / 256)))), "dir")
-            .mapInPandas(_lister(glob, budget, dir_counter, dir_budget, threads), _LEVEL_SCHEMA)
+            .mapInPandas(_lister(name_pattern, budget, dir_counter, dir_budget, threads, settings, vanished), _LEVEL_SCHEMA)
             .write.mode("errorifexists")
             .parquet(out)
         )

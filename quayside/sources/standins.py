@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quayside.functions.paths import landing_path, path_after, size_mb
 from quayside.operators.manifest import PathRules, build_manifest
 from quayside.schema import STATUS_ERROR, STATUS_SUCCESS
+from quayside.sources.fsuri import FileSystems, storage_settings
 
 # Fixed values shared with the DuckDB oracle SQL in __spark_entry__.py.
 PREFIX = "abfss://ws@lake.example/id/Files/bucket-a/raw/"
@@ -108,6 +109,37 @@ def events_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents_tree(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """One real file for each row of ``documents``, written by the executors as
+    ``root/raw/<source>/<lang>/<doc_id>.txt`` (the text's UTF-8 bytes): ``path, size``."""
+    settings = storage_settings(spark)
+
+    def write(batches):
+        import posixpath
+
+        import pandas as pd
+
+        resolve, made = FileSystems(settings).resolve, set()
+        for pdf in batches:
+            paths, sizes = [], []
+            for doc_id, source, lang, text in zip(pdf.doc_id, pdf.source, pdf.lang, pdf.text):
+                path, data = f"{root}/raw/{source}/{lang}/{doc_id}.txt", (text or "").encode()
+                fs, at = resolve(path)
+                parent = posixpath.dirname(at)
+                if parent not in made:
+                    fs.create_dir(parent, recursive=True)
+                    made.add(parent)
+                with fs.open_output_stream(at) as out:
+                    out.write(data)
+                paths.append(path)
+                sizes.append(len(data))
+            yield pd.DataFrame({"path": paths, "size": sizes})
+
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    rows.mapInPandas(write, "path string, size long").write.parquet(f"{root}-written")
+    return spark.read.parquet(f"{root}-written")
+
+
 PAGES_RULES = PathRules(root=PAGES_ROOT, bucket_marker="://", landing_marker="/en/", strip_ext="*")
 
 

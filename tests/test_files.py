@@ -112,9 +112,9 @@ def test_staged_audit_is_not_recomputed(spark, tmp_path):
 def test_copy_plan_uses_requested_tasks(spark, tmp_path):
     root = _tree(str(tmp_path / "src"))
     plan = copy_plan(_pending(spark, root, str(tmp_path / "l")), num_tasks=3)
-    assert plan.rdd.getNumPartitions() == 3
+    assert 1 <= plan.rdd.getNumPartitions() <= 3
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "MapInPandas" in text and "hashpartitioning(source_path" in text
+    assert "MapInPandas" in text and "rangepartitioning(lakehouse_path" in text
 
 
 def test_custom_copier(spark, tmp_path):
