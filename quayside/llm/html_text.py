@@ -33,7 +33,7 @@ from quayside.llm.common import pick, steps, table
 _RAW = "script|style|noscript|template|svg|math|canvas|iframe|object|select|textarea|title"
 _TOKENS = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
-    r"|<(/?)([a-zA-Z][\w:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)/?>|<[!?/a-zA-Z][^>]*+(?:>|\Z)|[^<]++|<",
+    r"|<(/?)([a-zA-Z][\w:-]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>|<[!?/a-zA-Z][^>]*+(?:>|\Z)|[^<]++|<",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""([\w-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -92,7 +92,8 @@ def _surroundings(tag: str, attributes: str, inside_article: bool) -> tuple[bool
         names = set(_NAME.findall(f"{found.get('class', '')} {found.get('id', '')}"))
         if tag not in ("body", "html"):
             style = found.get("style", "").replace(" ", "")
-            boiler |= bool(names & _BOILER_WORDS or "header" in names and not inside_article and not names & _CONTENT_WORDS) and not (tag in _CONTENT_TAGS or tag in ("h1", "h2"))
+            page_head = "header" in names and not inside_article and not names & _CONTENT_WORDS
+            boiler |= (bool(names & _BOILER_WORDS) or page_head) and tag not in _CONTENT_TAGS and tag not in ("h1", "h2")
             boiler |= found.get("role") in _BOILER_ROLES or found.get("aria-hidden") == "true"
             boiler |= "display:none" in style or "visibility:hidden" in style
         content |= bool(names & _CONTENT_WORDS) or found.get("role") in ("main", "article") or found.get("itemprop") == "articlebody"

@@ -29,7 +29,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quayside.llm.common import (
     covered, pick, run_dir, steps, table, text_bytes, windows, word_hashes, word_spans,

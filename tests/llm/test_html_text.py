@@ -19,6 +19,8 @@ TEXT = "Title & more\nFirst bold text of it.\nSecond, with a link in it, goes on
     (f"<script>var a='</p><p>no text';</script><style>p{{}}</style><!-- <p>gone</p> --><article>{ARTICLE}</article><form><p>Your name please.</p><input></form>", TEXT),
     (f"<article>{ARTICLE}<!-- unclosed <p>x", TEXT), (f"<article>{ARTICLE}<script>unclosed <p>x", TEXT),
     ("<article><p>a &lt; b<br>c</p></article>", "a < b c"),
+    ("<article><p title=it's data-x = 'a > b' y=\"<p>\">It isn't lost, nor is 'this'.<img src='/a>b.png'/> End.</p></article>", "It isn't lost, nor is 'this'. End."),
+    ("<article><p title=\"unclosed>One.</p><p>Two.</p></article>", "One.\nTwo."),
     (f"<article>{ARTICLE}</article><div role='banner'><p>Some banner that speaks in sentences.</p></div>", TEXT),
     ("<article><p>1 < 2 and 3 > 2, \"quoted\" it's</p></article>", "1 < 2 and 3 > 2, \"quoted\" it's"),
 ])
