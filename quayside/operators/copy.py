@@ -27,7 +27,7 @@ import math
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.schema import MANIFEST_COLUMNS, STATUS_ERROR, STATUS_SUCCESS, audit_schema
@@ -255,6 +255,16 @@ def copy_plan(
     return dealt.mapInPandas(run, schema)
 
 
+def size_aggregates(where: Column | None = None) -> list[Column]:
+    """Files and MiB of the rows ``where`` holds, and of those large enough for a task of their own."""
+    where = F.lit(True) if where is None else where
+    mb, large = F.col("source_size_mb"), where & (F.col("source_size_mb") >= MB_PER_TASK)
+    return [
+        F.count_if(where).alias("n_files"), F.coalesce(F.sum(F.when(where, mb)), F.lit(0.0)).alias("mb"),
+        F.count_if(large).alias("n_large"), F.coalesce(F.sum(F.when(large, mb)), F.lit(0.0)).alias("large_mb"),
+    ]
+
+
 def copy_files(
     spark: SparkSession,
     pending: DataFrame,
@@ -265,23 +275,21 @@ def copy_files(
     relative_to: str | None = None,
     counters: tuple | None = None,
     root: tuple[str, str] | None = None,
+    sizes: Row | None = None,
 ) -> DataFrame:
     """Copy every pending file on the executors, stage the audit rows once
     at ``staging_dir`` (parquet), and return them read back from there.
 
+    ``sizes``: the ``size_aggregates`` of ``pending``, where the caller has them already.
     Relative landing paths resolve against ``relative_to``, by default the
     default file system's working directory, as Spark resolves them."""
     if relative_to is None:
         relative_to = qualify(spark, ".")
-    large = F.col("source_size_mb") >= MB_PER_TASK
     num_large = 0
     if num_tasks is None:
-        row = pending.agg(
-            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("source_size_mb"), F.lit(0.0)).alias("mb"),
-            F.count_if(large).alias("large"), F.coalesce(F.sum(F.when(large, F.col("source_size_mb"))), F.lit(0.0)).alias("large_mb"),
-        ).first()
-        num_large = row["large"]
-        num_tasks = plan_copy_tasks(spark, row["n"] - num_large, row["mb"] - row["large_mb"])
+        row = sizes or pending.agg(*size_aggregates()).first()
+        num_large = row["n_large"]
+        num_tasks = plan_copy_tasks(spark, row["n_files"] - num_large, row["mb"] - row["large_mb"])
     plan = copy_plan(
         pending, num_tasks, threads, copier=copier, relative_to=relative_to, counters=counters,
         settings=storage_settings(spark), root=root, num_large=num_large,

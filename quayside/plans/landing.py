@@ -30,7 +30,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.copy import copy_files, preflight
+from quayside.operators.copy import copy_files, preflight, size_aggregates
 from quayside.operators.detect import pending_files
 from quayside.operators.guards import claimed_targets, preview
 from quayside.operators.inventory import extract_inventory
@@ -118,7 +118,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     row = pending.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(unmapped_row).alias("unmapped"),
-        F.coalesce(F.sum(F.when(~unmapped_row, F.col("source_size_mb"))), F.lit(0.0)).alias("mb"),
+        *size_aggregates(~unmapped_row),
     ).first()
     n, n_unmapped, total_mb = row["n"], row["unmapped"], float(row["mb"])
     stats = {"pending": n, "unmapped": n_unmapped, "pending_mb": total_mb}
@@ -144,9 +144,9 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
 
     if n and cfg.on_collision == "fail":
         claims = claimed_targets(to_copy, manifest, ledger)
-        stats["collisions"] = claims.count()
+        claimed = claims.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("lakehouse_path", "first_source", "last_source")).alias("one")).first()
+        stats["collisions"], first = claimed["n"], claimed["one"]
         if stats["collisions"]:
-            first = claims.first()
             raise ValueError(
                 f"{stats['collisions']} landing paths are claimed by more than one source, in this listing or in the "
                 f"ledger (e.g. {first['lakehouse_path']!r} by {first['first_source']!r} and {first['last_source']!r}); "
@@ -180,6 +180,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         copier=cfg.copier,
         counters=counters,
         root=root,
+        sizes=row,
     )
     lap("copy")
     # NOT NULL columns were checked on the pending rows; the copy sets the rest.
