@@ -38,7 +38,7 @@ def test_masks_cover_all_pairs_of_substitutions():
         ), places
 
 
-@pytest.mark.parametrize("block", [100_000, 7])
+@pytest.mark.parametrize("block", [100_000, 150])
 def test_planted_leaks(spark, monkeypatch, block):
     monkeypatch.setattr(dc, "BLOCK_SEEDS", block)
     rng = random.Random(4)
