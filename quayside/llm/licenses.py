@@ -5,9 +5,9 @@ digits and all other characters from 0x80, one space between. Exact phrases are
 found there by whole words. For the fuzzy notices the pigeonhole principle gives
 exact seeds: a notice with up to k edits (insertions, deletions, substitutions of
 a byte) is cut into k + 1 pieces, one of which stands unchanged. One automaton
-finds the pieces of all notices in one pass; around each find the bounded-error
-matching of the regex library verifies the edits, and the best match's words are
-the span.
+finds the pieces of all notices in one pass; the edits are counted to the left and
+to the right of each find by itself, so every match within the bound is seen. The
+spans are whole words; of a notice's overlapping matches the best stands.
 
 Every document is searched in its whole length, and the work stays in one pass over
 the rows, without a shuffle; a third of all rows of one source is a third of the tasks.
@@ -18,6 +18,7 @@ doc_id passes through. Empty tables give no rows.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -59,7 +60,6 @@ class Scanner:
 
     def __init__(self, notices: tuple[Notice, ...] = NOTICES):
         import ahocorasick
-        import regex
 
         self.notices, pieces = notices, {}
         for k, n in enumerate(notices):
@@ -71,29 +71,58 @@ class Scanner:
         for piece, owners in pieces.items():
             self.automaton.add_word(piece, (len(piece), owners))
         self.automaton.make_automaton()
-        self.patterns = [regex.compile(f"(?b)(?<![^ ])(?:{regex.escape(n.text, literal_spaces=True)}){{e<={n.edits}}}(?![^ ])") for n in notices]
 
     def fuzzy(self, text: str) -> list[tuple[str, int, int, int]]:
-        """``(label, start, end, edits)`` of the matches in a normal form, offsets in it."""
-        regions: dict[int, list[list[int]]] = {}
-        for end, (size, owners) in self.automaton.iter(text):
+        """``(label, start, end, edits)`` of the matches in a normal form, offsets in it. Each find is verified by itself,
+        to its left and its right; of a notice's matches that overlap the one of the fewest edits stands, then the first."""
+        best: dict[int, dict[tuple[int, int], int]] = {}
+        for last, (size, owners) in self.automaton.iter(text):
+            end = last + 1
+            begin = end - size
             for k, offset in owners:
                 n = self.notices[k]
-                begin = end + 1 - size - offset
-                lo, hi = max(0, begin - n.edits - 1), min(len(text), begin + len(n.text) + n.edits + 1)
-                of = regions.setdefault(k, [])
-                if of and lo <= of[-1][1]:  # finds come in ascending order of their ends, regions nearly so
-                    of[-1][0], of[-1][1] = min(lo, of[-1][0]), max(hi, of[-1][1])
-                else:
-                    of.append([lo, hi])
+                left = _edits(n.text[:offset][::-1], text[max(0, begin - offset - n.edits - 1) : begin][::-1], n.edits)
+                if not left:
+                    continue
+                rest = n.text[offset + size :]
+                right = _edits(rest, text[end : end + len(rest) + n.edits + 1], n.edits)
+                found = best.setdefault(k, {}) if right else {}
+                for back, x in left:
+                    for on, y in right:
+                        if x + y <= n.edits:
+                            at = (begin - back, end + on)
+                            found[at] = min(x + y, found.get(at, x + y))
         out = set()
-        for k, of in regions.items():
-            for lo, hi in of:
-                for m in self.patterns[k].finditer(text, lo, hi):
-                    out.add((self.notices[k].label, m.start(), m.end(), sum(m.fuzzy_counts)))
+        for k, found in best.items():
+            starts, ends = [], []  # of the matches that stand, ascending; they are disjoint
+            for (a, b), edits in sorted(found.items(), key=lambda x: (x[1], x[0])):
+                i = bisect.bisect_left(ends, a + 1)
+                if i == len(starts) or starts[i] >= b:
+                    starts.insert(i, a)
+                    ends.insert(i, b)
+                    out.add((self.notices[k].label, a, b, edits))
         return sorted(out, key=lambda x: (x[1], x[2], x[0], x[3]))
 
 
+def _edits(part: str, text: str, most: int) -> list[tuple[int, int]]:
+    """``(length, edits)`` of the heads of ``text`` that end with a word and are at most ``most`` edits from ``part``.
+    ``text`` is ``most + 1`` characters longer than ``part``, or ends with the document."""
+    stops = [j for j in range(max(0, len(part) - most), min(len(text), len(part) + most) + 1) if j == len(text) or text[j] == " "]
+    if not stops:
+        return []
+    beyond = most + 1
+    row = [min(j, beyond) for j in range(len(text) + 1)]
+    for i, c in enumerate(part, 1):  # only the band of ``most`` about the diagonal can stay within it
+        lo, hi = max(1, i - most), min(len(text), i + most)
+        new = [beyond] * len(row)
+        if i <= most:
+            new[0] = i
+        for j in range(lo, hi + 1):
+            new[j] = min(row[j - 1] + (c != text[j - 1]), row[j] + 1, new[j - 1] + 1, beyond)
+        row = new
+    return [(j, row[j]) for j in stops if row[j] <= most]
+
+
 def exact(text: bytes) -> list[tuple[str, int]]:
     """``(label, first word)`` of all base phrases in a normal form."""
     out, padded = [], b" " + text + b" "

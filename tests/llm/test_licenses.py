@@ -57,3 +57,48 @@ def test_spans_and_scores():
 
 def test_empty_table(nothing):
     assert license_scan(nothing).collect() == []
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        new = [i]
+        for j, d in enumerate(b, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return row[-1]
+
+
+def every_match(text):
+    """All runs of whole words within a notice's edits; of overlapping ones the best, then the first."""
+    starts, out = [0] + [i + 1 for i, c in enumerate(text) if c == " "], set()
+    stops = [i for i, c in enumerate(text) if c == " "] + [len(text)]
+    for n in NOTICES:
+        near = [(a, b) for a in starts for b in stops if abs(b - a - len(n.text)) <= n.edits]
+        kept = []
+        for edits, a, b in sorted((distance(n.text, text[a:b]), a, b) for a, b in near):
+            if edits <= n.edits and all(b <= x or y <= a for x, y in kept):
+                kept.append((a, b))
+                out.add((n.label, a, b, edits))
+    return sorted(out, key=lambda x: (x[1], x[2], x[0], x[3]))
+
+
+def test_a_misspelt_notice_before_a_better_one_is_kept():
+    spans = scan_text(b"x all rights reservd all rights reserved y", Scanner())[2]
+    assert [(s["first_word"], s["n_words"], s["edits"]) for s in spans] == [(1, 3, 1), (4, 3, 0)]
+
+
+def test_notices_close_together_match_brute_force():
+    rng, scanner = random.Random(5), Scanner()
+    for _ in range(60):
+        parts = []
+        for notice in rng.choices(NOTICES, k=rng.randrange(1, 5)):
+            for _ in range(rng.randrange(1, 4)):
+                s = list(notice.text)
+                for _ in range(rng.randrange(notice.edits + 2)):
+                    at = rng.randrange(len(s))
+                    s[at : at + rng.randrange(2)] = rng.choice(["q", "", " ", "qu"])
+                parts.append("".join(s))
+                parts += rng.choice([[], [], ["a"], ["and the"], prose(rng.randrange(99), 3).split()])
+        text = " ".join(" ".join(parts).split())
+        assert scanner.fuzzy(text) == every_match(text), text
