@@ -8,6 +8,10 @@ that spends the remainder. The threshold comes from histograms: words by
 and only the bucket at its boundary is split again by the next bits of the hash.
 Nothing is sorted; the choice depends on ``doc_id`` and ``seed`` alone.
 
+The threshold ends at the first document that overspends the remainder, as the SQL
+does. With ``fill`` documents that do not fit are stepped over and later ones go on
+spending what is left, until nothing that fits is left out.
+
 Nulls: a null text has size 0, a null source is a source of its own (last), a
 null doc_id hashes like the empty string. Rows of one doc_id share a hash and are
 taken together. Zero-size documents are taken 0 times. An empty table gives none.
@@ -15,6 +19,9 @@ taken together. Zero-size documents are taken 0 times. An empty table gives none
 
 from __future__ import annotations
 
+import functools
+import itertools
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -107,32 +114,64 @@ def thresholds(spark: SparkSession, sizes: DataFrame, budget: DataFrame, path: s
     return staged(spark, state, f"{path}/state")
 
 
-def _planned(docs: DataFrame, seed: str, cycle: int, cap: int, path: str) -> tuple[DataFrame, DataFrame]:
-    """The documents' sizes, and for each source (``_source``) its target, copies and threshold."""
+def fillers(spark: SparkSession, sizes: DataFrame, state: DataFrame, path: str) -> DataFrame:
+    """``_of, _at`` (source, hash) of the documents behind the threshold to be taken once more: in ascending order of the
+    hash, each that fits what is still left. What is left only shrinks, so a round drops for good what has become too
+    long and takes the others up to their own threshold; each round takes one document at least of an open source."""
+    left, picked = sizes, []
+    for turn in itertools.count():
+        edge = state.select(F.col("source").alias("_source"), F.col("below").alias("_low"), F.col("rest").alias("_most"))
+        behind = left.join(edge, left["source"].eqNullSafe(edge["_source"])).filter("hash >= _low")
+        left = behind.groupBy("source", "hash", "_most").agg(F.sum("size").alias("size")).filter("size > 0 AND size <= _most")
+        left = staged(spark, left.select("source", "hash", "size"), f"{path}/left-{turn}")
+        if not left.limit(1).count():
+            every = functools.reduce(DataFrame.union, picked, left.select("source", "hash"))
+            return staged(spark, every.toDF("_of", "_at"), f"{path}/picked")
+        state = thresholds(spark, left, state.drop("below", "open"), f"{path}/fill-{turn}")
+        upto = state.select(F.col("source").alias("_source"), "below")
+        taken = left.join(upto, left["source"].eqNullSafe(upto["_source"])).filter("hash < below")
+        picked.append(taken.select("source", "hash"))
+
+
+def _planned(docs: DataFrame, seed: str, cycle: int, cap: int, path: str, fill: bool) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The documents' sizes, for each source (``_source``) its target, copies and threshold, and what is taken behind it."""
     spark = docs.sparkSession
     rows = pick(docs, doc_id="long", source="string", text="string")
     sizes = rows.select("doc_id", "source", n_words("text").alias("size"), doc_hash("doc_id", seed).alias("hash"))
     sizes = staged(spark, sizes, f"{path}/sizes")
     state = thresholds(spark, sizes, budgets(source_targets(sizes, cycle, cap)), path)
-    return sizes, state.withColumnRenamed("source", "_source")
+    return sizes, state.withColumnRenamed("source", "_source"), fillers(spark, sizes, state, path) if fill else None
 
 
-def mix_sources(docs: DataFrame, seed: str = "mix-1", cycle: int = 3, cap: int = 3, path: str | None = None) -> DataFrame:
+def mix_sources(
+    docs: DataFrame, seed: str = "mix-1", cycle: int = 3, cap: int = 3, path: str | None = None, fill: bool = False
+) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken`` of every document; ``taken`` is a whole multiple of ``size``."""
-    sizes, state = _planned(docs, seed, cycle, cap, path or run_dir(docs.sparkSession, "mix"))
+    sizes, state, more = _planned(docs, seed, cycle, cap, path or run_dir(docs.sparkSession, "mix"), fill)
     out = sizes.join(state, sizes["source"].eqNullSafe(state["_source"]))
-    times = F.col("copies") + (F.col("hash") < F.col("below")).cast("long")
+    once = F.col("hash") < F.col("below")
+    if fill:
+        here = F.col("source").eqNullSafe(F.col("_of")) & (F.col("hash") == F.col("_at"))
+        out, once = out.join(F.broadcast(more), here, "left"), once | F.col("_at").isNotNull()
+    times = F.col("copies") + once.cast("long")
     return out.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * times).alias("taken"))
 
 
-def mixed(docs: DataFrame, seed: str = "mix-1", cycle: int = 3, cap: int = 3, path: str | None = None) -> DataFrame:
+def mixed(
+    docs: DataFrame, seed: str = "mix-1", cycle: int = 3, cap: int = 3, path: str | None = None, fill: bool = False
+) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with all their columns."""
-    _, state = _planned(docs, seed, cycle, cap, path or run_dir(docs.sparkSession, "mix"))
+    _, state, more = _planned(docs, seed, cycle, cap, path or run_dir(docs.sparkSession, "mix"), fill)
     state = state.select(F.col("_source").alias("_mix_source"), F.col("copies").alias("_mix_copies"), F.col("below").alias("_mix_below"))
     names = [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.withColumn("_mix_hash", doc_hash("`doc_id`", seed))
     out = marked.join(state, F.col("`source`").cast("string").eqNullSafe(F.col("_mix_source")))
-    times = (F.col("_mix_copies") + (F.col("_mix_hash") < F.col("_mix_below")).cast("long")).cast("int")
+    once = F.col("_mix_hash") < F.col("_mix_below")
+    if fill:
+        more = more.select(F.col("_of").alias("_mix_of"), F.col("_at").alias("_mix_at"))
+        here = F.col("_mix_source").eqNullSafe(F.col("_mix_of")) & (F.col("_mix_hash") == F.col("_mix_at"))
+        out, once = out.join(F.broadcast(more), here, "left"), once | F.col("_mix_at").isNotNull()
+    times = (F.col("_mix_copies") + once.cast("long")).cast("int")
     return out.withColumn("_mix_turn", F.explode(F.array_repeat(F.lit(1), times))).select(*names)
 
 

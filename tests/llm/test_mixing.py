@@ -86,3 +86,54 @@ def test_reruns_agree_and_empty(spark, nothing):
 
 def test_hash_is_md5():
     assert int(hashlib.md5(b"mix-1:5").hexdigest()[:15], 16) < 1 << 60
+
+
+def first_fit(rows):
+    """``source, doc_id, taken words`` with every document tried in the order of the hash."""
+    words_of, target = {}, {}
+    for r in rows:
+        words_of.setdefault(r["source"], {}).setdefault(r["doc_id"], []).append(r["size"])
+        target[r["source"]] = (r["target"], r["source_size"])
+    out = []
+    for source, docs in words_of.items():
+        goal, size = target[source]
+        copies = int(goal // size) if size else 0
+        rest = goal - copies * size
+        for doc in sorted(docs, key=lambda d: hashlib.md5(f"mix-1:{'' if d is None else d}".encode()).hexdigest()[:15]):
+            fits = sum(docs[doc]) <= rest
+            rest -= sum(docs[doc]) * fits
+            out += [(source, doc, n * (copies + fits)) for n in docs[doc]]
+    return sorted(out, key=str)
+
+
+def test_fill_steps_over_what_does_not_fit(spark):
+    rows = many() + awkward_rows() + [(9_000 + k, prose(k, 3_000 if k == 3 else 4), "en", "small", 0) for k in range(40)]
+    plain, full = mix_sources(frame(spark, rows)).collect(), mix_sources(frame(spark, rows), fill=True).collect()
+    assert sorted(((r["source"], r["doc_id"], r["taken"]) for r in full), key=str) == first_fit(full)
+
+    def by_source(out):
+        got = {}
+        for r in out:
+            got[r["source"]] = got.get(r["source"], 0) + r["taken"]
+        return got
+
+    before, after = by_source(plain), by_source(full)
+    assert all(after[s] >= before[s] for s in before) and any(after[s] > before[s] for s in before)
+    assert all(after[r["source"]] <= r["target"] + 1e-9 for r in full)
+    want = {}
+    for r in full:
+        if r["size"]:
+            want[r["doc_id"]] = want.get(r["doc_id"], 0) + r["taken"] // r["size"]
+    counts = {}
+    for r in mixed(frame(spark, [r for r in rows if words(r[1])]), fill=True).select("doc_id").collect():
+        counts[r[0]] = counts.get(r[0], 0) + 1
+    assert counts == {k: v for k, v in want.items() if v}
+
+
+def test_the_pipeline_fills(spark):
+    import corpus_pipeline
+
+    rows = [(k, prose(k, 400 if k == 3 else 4), "en", "ab"[k % 2], 0) for k in range(60)]
+    df = frame(spark, rows)
+    want = sum(r["taken"] for r in mix_sources(df, fill=True).collect())
+    assert sum(len(words(r["text"])) for r in corpus_pipeline.mix(spark, df, "").collect()) == want
