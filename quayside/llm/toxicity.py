@@ -7,8 +7,8 @@ Training tokens are labelled from the documents' labels: a token of a toxic docu
 is toxic when the token or one of its prefixes is typical of toxic documents; all
 other tokens are clean. Weights are trained by stochastic gradient descent on the
 chain's likelihood; forward-backward marginals give each token's probability, and a
-document's score is a logistic function of the largest marginal and of their sum,
-fitted on the same sample. Stretches of tokens above 0.5 are the offending spans.
+document's score is a logistic function of the largest marginal and of their largest
+sum over ``STRETCH`` tokens in a row, fitted on the same sample. Stretches of tokens above 0.5 are the offending spans.
 
 A batch of documents is one chain, cut at document starts by the transition itself;
 products of 2 x 2 matrices over lanes of it are carried over, so the marginals are
@@ -38,6 +38,8 @@ SAMPLE_EACH = 1_500
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.3
 EPOCHS = 5
+#: Successive tokens whose marginals are summed up for a document.
+STRETCH = 20
 RATE = 0.5
 LANE = 128
 #: A token or prefix is typical: in so many toxic sample documents, that share of them, and so many times likelier there.
@@ -176,7 +178,7 @@ class Model:
     def __init__(self):
         self.weights = np.zeros(1 << BITS, np.float32)
         self.log_trans, self.log_start = np.zeros((2, 2)), 0.0
-        self.curve: tuple[float, ...] | None = None  # of max and sum of the marginals
+        self.curve: tuple[float, ...] | None = None  # of the marginals' maximum and largest sum of a stretch
         self.constant = 0.5
 
     def marginals(self, tokens: Tokens) -> np.ndarray:
@@ -187,13 +189,17 @@ class Model:
 
     @staticmethod
     def summary(p: np.ndarray, woff: np.ndarray) -> np.ndarray:
-        """For each document: 1, log odds of its largest marginal, log of their sum."""
+        """For each document: 1, log odds of its largest marginal, log of their largest sum over STRETCH tokens in a
+        row. The sum of all would grow with a clean text's length, their mean hide a toxic passage of a long one."""
         n = len(woff) - 1
         most, total = np.zeros(n), np.zeros(n)
         full = np.flatnonzero(np.diff(woff))
         if len(full):
             most[full] = np.maximum.reduceat(p, woff[full])
-            total[full] = np.add.reduceat(p, woff[full])
+            upto = np.concatenate(([0.0], np.cumsum(p)))
+            at = np.arange(1, len(p) + 1)
+            since = np.maximum(at - STRETCH, np.repeat(woff[:-1], np.diff(woff)))
+            total[full] = np.maximum.reduceat(np.maximum(upto[at] - upto[since], 0), woff[full])
         most = np.clip(most, 1e-4, 1 - 1e-4)
         return np.stack([np.ones(n), np.log(most / (1 - most)), np.log(total + 0.01)])
 

@@ -79,3 +79,11 @@ def test_awkward_rows(spark, awkward, nothing, label_rows):
     assert tx.toxicity(nothing, model).collect() == [] and tx.without_toxic(nothing, model).collect() == []
     empty = tx.train(awkward, label_rows.filter("false"))
     assert {r["score"] for r in tx.toxicity(awkward, empty).collect()} == {0.5}
+
+
+def test_a_long_clean_text_is_judged_like_a_short_one():
+    calm, passage = np.full(60, 0.004), np.full(12, 0.6)
+    docs = [calm, np.tile(calm, 2_000), np.concatenate((calm, passage, calm)), np.concatenate((np.tile(calm, 900), passage, np.tile(calm, 900)))]
+    x = tx.Model.summary(np.concatenate(docs), np.concatenate(([0], np.cumsum([len(d) for d in docs]))))
+    assert np.allclose(x[:, 0], x[:, 1], atol=1e-6) and np.allclose(x[:, 2], x[:, 3], atol=1e-6)
+    assert x[2, 2] > x[2, 0] + 1 and tx.Model.summary(np.zeros(0), np.array([0, 0])).shape == (3, 1)
