@@ -8,6 +8,7 @@ from quayside.llm.html_text import q_op3_html_text
 from quayside.llm.licenses import q_op7_license_scan
 from quayside.llm.merkle import ORACLE_OP13, q_op13_merkle_manifest
 from quayside.llm.mixing import ORACLE_OP8, q_op8_mixing
+from quayside.llm.packing import q_op12_packing
 from quayside.llm.quality_model import q_op1_quality_model
 from quayside.llm.quality_rules import ORACLE_OP9, q_op9_quality_rules
 from quayside.llm.simhash import q_op6_simhash
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_quality_rules": q_op9_quality_rules,
     "op10_token_files": q_op10_token_files,
     "op11_fill_in_middle": q_op11_fill_in_middle,
+    "op12_packing": q_op12_packing,
     "op13_merkle_manifest": q_op13_merkle_manifest,
 }
 
@@ -35,5 +37,6 @@ ORACLE_SQL = {
     "op8_mixing": ORACLE_OP8,
     "op9_quality_rules": ORACLE_OP9,
     "op11_fill_in_middle": ORACLE_OP11,
+    "op12_packing": q_op12_packing,
     "op13_merkle_manifest": ORACLE_OP13,
 }
