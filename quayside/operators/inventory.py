@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quayside.functions.paths import size_mb
 from quayside.schema import BYTES_PER_MIB
 from quayside.sources.files import scan_files
-from quayside.sources.listing import list_files
+from quayside.sources.listing import PAGE_LIMIT, list_files
 
 
 def file_inventory(listing: DataFrame, factor: int = BYTES_PER_MIB) -> DataFrame:
@@ -29,26 +29,21 @@ def extract_inventory(
     staging_dir: str | None = None,
     dir_counter=None,
     vanished=None,
+    page_limit: int = PAGE_LIMIT,
+    pages=None,
 ) -> DataFrame:
     """Listing + projection.
 
     ``listing='binaryFile'`` uses Spark's file source (file index on the
     driver); ``'distributed'`` walks the tree on the executors and stages the
-    listing (for trees with tens of millions of files).
+    listing (for trees with tens of millions of files); ``page_limit`` and ``pages`` as in ``list_files``.
     """
     if listing == "binaryFile":
         return file_inventory(scan_files(spark, source, glob=glob), factor)
     if listing == "distributed":
-        roots = [source] if isinstance(source, str) else list(source)
-        parts = [
-            list_files(
-                spark, r, f"{staging_dir}/listing-{i}" if staging_dir else None, glob=glob, dir_counter=dir_counter,
-                vanished=vanished,
-            )
-            for i, r in enumerate(roots)
-        ]
-        listed = parts[0]
-        for extra in parts[1:]:
-            listed = listed.unionByName(extra)
+        listed = list_files(
+            spark, source, f"{staging_dir}/listing-0" if staging_dir else None, glob=glob, dir_counter=dir_counter, vanished=vanished,
+            page_limit=page_limit, pages=pages,
+        )
         return file_inventory(listed, factor)
     raise ValueError("listing must be 'binaryFile' or 'distributed'")
