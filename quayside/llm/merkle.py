@@ -11,10 +11,11 @@ langs, null first, are the bottom of one more such tree, whose root stands for t
    tree is its row in the partition and the number of leaves of its lang in earlier partitions.
 3. Each level is a grouping of at most ``FAN`` digests by (tree, position div FAN) and is written as node rows
    with a link to the parent, ``up_*``; a lang's root links to the tree of langs.
-4. ``WITH RECURSIVE climb``: the leaves that share a parent climb together, as all that they meet above it is the
-   same. A step joins the parent's row, folds each of the tampered digests with the siblings on the left and
-   right, and appends these siblings to the common upper part of the proofs. Spark keeps each step's rows in shuffle
-   files and computes lost ones anew. Node rows are repeated for each block of ``BLOCK`` parents beneath, so that a
+4. ``WITH RECURSIVE climb``: the leaves below one node of the second level (at most ``FAN ** 2``) climb in one row, as all
+   that they meet above it is the same. The anchor folds each tampered digest with its siblings of the two lowest
+   levels; a step joins the parent's row, folds each digest with the siblings on the left and right, and appends these
+   siblings to the common upper part of the proofs. Spark keeps each step's rows in shuffle
+   files and computes lost ones anew. Node rows are repeated for each ``BLOCK`` climbing rows beneath, so that a
    join key never has more than ``BLOCK`` rows, whatever the size of a tree.
 
 Nulls: a null value enters the digest as ``-``; a null lang is a tree of its own, before the others; null
@@ -35,8 +36,8 @@ from quayside.llm.common import pick, run_dir, staged, table
 
 #: Consecutive nodes that become one.
 FAN = 8
-#: Runs of leaves that share a copy of the nodes above them.
-BLOCK = 64
+#: Climbing rows that share a copy of the nodes above them.
+BLOCK = 8
 #: The tree of langs; the others are ``0`` (null) and ``1`` and the lang.
 TOP = "2"
 #: Levels of the tree of langs are counted from here, so that they differ from those of a lang's tree.
@@ -104,21 +105,27 @@ def _levels(spark: SparkSession, path: str, nodes: DataFrame, level: int, most:
     return out
 
 
-#: ``cells`` are runs of leaves, which the anchor folds with their parent's other children; ``nodes`` lie above them.
+def _fold(digest: str, children: str, place: str) -> str:
+    """SQL for the parent's digest, with ``digest`` in a place of the parent's children."""
+    return f"sha2(concat(substr({children}, 1, 64 * {place}), {digest}, substr({children}, 64 * {place} + 65)), 256)"
+
+
+#: ``bundles`` are the nodes of the second level with the runs of leaves below them, ``nodes`` all that lies above. A tree of one
+#: run, or of one leaf, has a level less, or two.
 CLIMB = f"""
-WITH RECURSIVE climb(tree, cell, doc_ids, children, folded, upper, subroot, root, up_level, up_idx, up_place, up_own) AS (
-  SELECT tree, idx, doc_ids, children,
-         CASE WHEN lone THEN tampered
-              ELSE transform(tampered, (t, i) -> sha2(concat(substr(children, 1, 64 * i), t, substr(children, 64 * i + 65)), 256)) END,
+WITH RECURSIVE climb(tree, bundle, folded, upper, subroot, root, up_level, up_idx, up_place, up_own) AS (
+  SELECT tree, idx,
+         flatten(transform(runs, (run, j) -> transform(run.tampered, (t, i) ->
+           CASE WHEN n_leaves = 1 THEN t WHEN n_leaves <= {FAN} THEN {_fold('t', 'run.children', 'i')}
+                ELSE {_fold(_fold('t', 'run.children', 'i'), 'children', 'j')} END))),
          '', hash, hash, up_level, up_idx, up_place, up_own
-  FROM {{cells}}
+  FROM {{bundles}}
   UNION ALL
-  SELECT c.tree, c.cell, c.doc_ids, c.children,
-         transform(c.folded, t -> sha2(concat(substr(n.children, 1, 64 * c.up_place), t, substr(n.children, 64 * c.up_place + 65)), 256)),
+  SELECT c.tree, c.bundle, transform(c.folded, t -> {_fold('t', 'n.children', 'c.up_place')}),
          concat(c.upper, substr(n.children, 1, 64 * c.up_place), substr(n.children, 64 * c.up_place + 65)),
          CASE WHEN c.up_own THEN n.hash ELSE c.subroot END, n.hash, n.up_level, n.up_idx, n.up_place, n.up_own
-  FROM climb c JOIN {{nodes}} n ON c.tree = n.tree AND c.cell div {BLOCK} = n.block AND c.up_level = n.level AND c.up_idx = n.idx)
-SELECT doc_ids, children, folded, upper, subroot, root FROM climb WHERE up_level IS NULL LIMIT ALL"""
+  FROM climb c JOIN {{nodes}} n ON c.tree = n.tree AND c.bundle div {BLOCK} = n.block AND c.up_level = n.level AND c.up_idx = n.idx)
+SELECT tree, bundle AS idx, folded, upper, subroot, root FROM climb WHERE up_level IS NULL LIMIT ALL"""
 
 
 def _link(level: Column, pos: str, own: bool) -> list[Column]:
@@ -151,14 +158,14 @@ _NODE = ["tree", "block", "level", "idx", "children", "hash", "up_level", "up_id
 
 
 def _node_rows(own: list[DataFrame], top: list[DataFrame], ranked: DataFrame, places: DataFrame | None) -> DataFrame:
-    """The nodes above the cells, each repeated for the blocks of cells beneath it."""
-    cells = own[0].groupBy("tree").agg(F.max("idx").alias("last_cell"))
+    """The nodes above the bundles, each repeated for the blocks of bundles beneath it."""
+    sizes = own[0].groupBy("tree").agg(F.max("idx").alias("last_bundle"))
     parts = []
     for k, nodes in enumerate(own[1:], 1):
-        wide = FAN**k  # cells beneath a node
-        blocks = F.expr(f"sequence(idx * {wide} div {BLOCK}, least((idx + 1) * {wide} - 1, last_cell) div {BLOCK})")
-        parts.append(_linked(nodes, places).join(cells, "tree").select("*", F.explode(blocks).alias("block")).select(*_NODE))
-    routes = ranked.join(cells, "tree").select("tree", "pos", F.explode(F.expr(f"sequence(0L, last_cell div {BLOCK})")).alias("block"))
+        wide = FAN**k  # bundles beneath a node
+        blocks = F.expr(f"sequence(idx * {wide} div {BLOCK}, least((idx + 1) * {wide} - 1, last_bundle) div {BLOCK})")
+        parts.append(_linked(nodes, places).join(sizes, "tree").select("*", F.explode(blocks).alias("block")).select(*_NODE))
+    routes = ranked.join(sizes, "tree").select("tree", "pos", F.explode(F.expr(f"sequence(0L, last_bundle div {BLOCK})")).alias("block"))
     for k, nodes in enumerate(top, 1):
         nodes = nodes.drop("tree")
         nodes = nodes.filter("n > 1").select("*", *_link(F.col("level"), "idx", False)).union(nodes.filter("n = 1").select("*", *_no_link()))
@@ -166,49 +173,65 @@ def _node_rows(own: list[DataFrame], top: list[DataFrame], ranked: DataFrame, pl
     return _all(parts) if parts else own[0].filter("false").select("tree", F.col("idx").alias("block"), "level", "idx", "children", "hash", *_no_link())
 
 
-def _result(climbed: DataFrame) -> DataFrame:
-    rows = climbed.select("children", "folded", "upper", "subroot", "root", F.posexplode("doc_ids").alias("i", "doc_id"))
-    beside = F.concat(F.expr("substr(children, 1, 64 * i)"), F.expr("substr(children, 64 * i + 65)"), F.col("upper"))
-    rows = rows.select("doc_id", F.expr("substr(children, 64 * i + 1, 64)").alias("leaf"), "subroot", "root", F.sha2(beside, 256).alias("proof_sha256"), F.expr("folded[i]").alias("folded_root"))
+def _bundles(rows: DataFrame) -> DataFrame:
+    """The numbered leaves gathered by runs, and these by nodes of the second level: ``tree, level, idx, children, hash, n``, the
+    number of leaves of the tree, and the runs with their leaves."""
+    runs = rows.groupBy("tree", F.expr(f"pos div {FAN}").alias("idx")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "doc_id", "leaf", "tampered"))).alias("run"), F.max("n").alias("n_leaves")
+    )
+    children, digest = _digest(F.col("run.leaf"))
+    digest = F.when(F.col("n_leaves") == 1, F.col("run.leaf")[0]).otherwise(digest)
+    run = F.struct("idx", digest.alias("hash"), children, F.col("run.doc_id").alias("doc_ids"), F.col("run.tampered").alias("tampered"))
+    above = runs.groupBy("tree", F.expr(f"idx div {FAN}").alias("idx")).agg(F.sort_array(F.collect_list(run)).alias("runs"), F.max("n_leaves").alias("n_leaves"))
+    children, digest = _digest(F.col("runs.hash"))
+    lone = F.col("n_leaves") <= FAN
+    return above.select(
+        "tree", F.lit(2).alias("level"), "idx", children, F.when(lone, F.col("runs.hash")[0]).otherwise(digest).alias("hash"), _up(_up(F.col("n_leaves"))).alias("n"), "n_leaves", "runs"
+    )
+
+
+def _result(bundles: DataFrame) -> DataFrame:
+    """A row for each leaf of ``bundles`` with ``folded, upper, subroot, root``."""
+    rows = bundles.select("children", "runs", "n_leaves", "folded", "upper", "subroot", "root", F.posexplode(F.flatten("runs.doc_ids")).alias("at", "doc_id"))
+    rows = rows.select("*", F.expr(f"runs[at div {FAN}].children").alias("run"), F.expr(f"at div {FAN}").alias("j"), F.expr(f"at % {FAN}").alias("i"))
+    beside = [F.expr(f"substr({c}, 1, 64 * {k})") for c, k in (("run", "i"), ("children", "j"))], [F.expr(f"substr({c}, 64 * {k} + 65)") for c, k in (("run", "i"), ("children", "j"))]
+    second = F.when(F.col("n_leaves") > FAN, F.concat(beside[0][1], beside[1][1])).otherwise("")
+    rows = rows.select(
+        "doc_id", F.expr("substr(run, 64 * i + 1, 64)").alias("leaf"), "subroot", "root",
+        F.sha2(F.concat(beside[0][0], beside[1][0], second, F.col("upper")), 256).alias("proof_sha256"), F.expr("folded[at]").alias("folded_root"),
+    )
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
 def verify(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """``doc_id, leaf, subroot, root, proof_sha256, folded_root, verified`` of every row of ``docs``.
 
-    ``folder`` keeps the manifest: ``cells`` (runs of leaves) and ``nodes``, all with their links, and ``proofs``."""
+    ``folder`` keeps the manifest: ``bundles`` (leaves, by runs) and ``nodes``, all with their links, and ``proofs``."""
     spark = docs.sparkSession
     path = folder or run_dir(spark, "merkle")
     rows = _numbered(spark, f"{path}/leaves", staged(spark, leaves(docs), f"{path}/rows"), "tree", ["doc_id", "leaf"])
-    runs = rows.groupBy("tree", F.expr(f"pos div {FAN}").alias("idx")).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "doc_id", "leaf", "tampered"))).alias("run"), F.max("n").alias("n_leaves")
-    )
-    lone, (children, digest) = F.col("n_leaves") == 1, _digest(F.col("run.leaf"))
-    runs = runs.select(
-        "tree", F.lit(1).alias("level"), "idx", children, F.when(lone, F.col("run.leaf")[0]).otherwise(digest).alias("hash"), _up(F.col("n_leaves")).alias("n"),
-        F.col("run.doc_id").alias("doc_ids"), F.col("run.tampered").alias("tampered"), lone.alias("lone"),
-    )
-    cells = staged(spark, runs, f"{path}/runs")
-    most = cells.agg(F.max("n")).first()[0]
+    bundles = staged(spark, _bundles(rows), f"{path}/gathered")
+    most = bundles.agg(F.max("n")).first()[0]
     if most is None:  # an empty table
-        return _result(cells.select("doc_ids", "children", F.col("tampered").alias("folded"), F.lit("").alias("upper"), F.col("hash").alias("subroot"), F.col("hash").alias("root")))
-    own = [cells, *_levels(spark, f"{path}/lang", cells.select("tree", "idx", "hash", "n"), 2, most)]
+        nothing = {"folded": F.flatten("runs.tampered"), "upper": F.lit(""), "subroot": F.col("hash"), "root": F.col("hash")}
+        return _result(bundles.withColumns(nothing))
+    own = [bundles, *_levels(spark, f"{path}/lang", bundles.select("tree", "idx", "hash", "n"), 3, most)]
     subroots = _all([nodes.filter("n = 1").select("tree", "hash") for nodes in own]).withColumn("all", F.lit(TOP))
     ranked = staged(spark, _numbered(spark, f"{path}/top", staged(spark, subroots, f"{path}/subroots"), "all", ["tree"]), f"{path}/ranked")
     n_trees = ranked.agg(F.max("n")).first()[0]
     top = _levels(spark, f"{path}/top", ranked.select(F.col("all").alias("tree"), F.col("pos").alias("idx"), "hash", "n"), TOP_LEVEL + 1, n_trees)
     places = ranked.select("tree", "pos") if n_trees > 1 else None
     nodes = staged(spark, _node_rows(own, top, ranked, places), f"{path}/nodes")
-    cells = staged(spark, _linked(cells, places), f"{path}/cells")
-    views = {name: f"llm_merkle_{name}_{uuid.uuid4().hex}" for name in ("cells", "nodes")}
-    cells.createOrReplaceTempView(views["cells"])
+    bundles = staged(spark, _linked(bundles, places), f"{path}/bundles")
+    views = {name: f"llm_merkle_{name}_{uuid.uuid4().hex}" for name in ("bundles", "nodes")}
+    bundles.createOrReplaceTempView(views["bundles"])
     nodes.createOrReplaceTempView(views["nodes"])
     try:
         proofs = staged(spark, spark.sql(CLIMB.format(**views)), f"{path}/proofs")
     finally:
         for name in views.values():
             spark.catalog.dropTempView(name)
-    return _result(proofs)
+    return _result(bundles.select("tree", "idx", "children", "runs", "n_leaves").join(proofs, ["tree", "idx"]))
 
 
 def q_op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
