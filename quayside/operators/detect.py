@@ -32,17 +32,27 @@ def latest_versions(ledger: DataFrame, retry_failed: bool = False) -> DataFrame:
     return ledger.groupBy("source_path").agg(F.max("source_modified_at").alias("latest_copied_time"))
 
 
-def pending_files(manifest: DataFrame, ledger: DataFrame, retry_failed: bool = False) -> DataFrame:
-    """C4: files that are new, or strictly newer than the latest recorded version.
+def newest(versions: DataFrame, retry_failed: bool = False) -> DataFrame:
+    """A1 over the ``versions`` of a ledger in runs."""
+    latest = F.max("latest_success" if retry_failed else "latest_any").alias("latest_copied_time")
+    return versions.groupBy("source_path").agg(latest).filter(F.col("latest_copied_time").isNotNull())
 
-    An unseen file is pending when its time is after the epoch; a NULL time is
-    never pending; equal times are not pending.
-    """
+
+def pending_since(manifest: DataFrame, latest: DataFrame) -> DataFrame:
+    """C4 against the newest recorded versions: files that are new, or strictly newer than theirs."""
     mtype = manifest.schema["source_modified_at"].dataType
     epoch = F.lit(EPOCH_TEXT).cast(mtype)
-    latest = latest_versions(ledger, retry_failed)
     return (
         manifest.join(latest, on="source_path", how="left")
         .filter(F.col("source_modified_at") > F.coalesce(F.col("latest_copied_time").cast(mtype), epoch))
         .select(*MANIFEST_COLUMNS)
     )
+
+
+def pending_files(manifest: DataFrame, ledger: DataFrame, retry_failed: bool = False) -> DataFrame:
+    """C4: files that are new, or strictly newer than the latest recorded version.
+
+    An unseen file is pending when its time is after the epoch; a NULL time is
+    never pending; equal times are not pending.
+    """
+    return pending_since(manifest, latest_versions(ledger, retry_failed))

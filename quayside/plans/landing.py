@@ -15,30 +15,45 @@ Staging (listing, pending and audit rows) stays for the result's DataFrames unle
 ``keep_staging=False``, which removes it at the end of a successful run.
 
 Failure model: copies are idempotent and the audit append happens after all
-copies, so a run that dies part-way is repeated by the next run
-(at-least-once landing; a file gets a ledger row from each run that reaches
-its append, and a run that dies before the append leaves no row).
+copies. Before the first copy a run leaves an intent beside the ledger, which says where its audit rows will be
+and where its tasks leave the rows of each batch as it lands. A run that dies before its append
+is completed by the next one (``resume``): the rows of what it landed are appended first, so those files are not
+pending again; what it did not land is. Only files whose task was cut off are copied twice. One run at a time
+may work on a ledger. In a ledger in runs the append itself is atomic and not repeated (``sources/ledger.py``), and
+detection reads the newest snapshot and the runs since, not the whole ledger.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.copy import copy_files, preflight, size_aggregates
-from quayside.operators.detect import pending_files
+from quayside.operators.copy import RETRIES, copy_files, landed_rows, preflight, size_aggregates
+from quayside.operators.detect import newest, pending_files, pending_since
 from quayside.operators.guards import claimed_targets, preview
 from quayside.operators.inventory import extract_inventory
 from quayside.operators.manifest import PathRules, build_manifest
 from quayside.schema import BYTES_PER_MIB, STATUS_ERROR, STATUS_SUCCESS
 from quayside.session import checkpoint_root, new_run_dir, qualify
 from quayside.sources.fsuri import storage_settings
-from quayside.sources.ledger import Ledger, append_ledger, empty_ledger, ensure_ledger, read_ledger
+from quayside.sources.ledger import (
+    Ledger,
+    append_ledger,
+    compact_ledger,
+    empty_ledger,
+    ensure_ledger,
+    marker_names,
+    read_ledger,
+    versions,
+    write_marker,
+)
 
 log = logging.getLogger("quayside")
 
@@ -60,6 +75,11 @@ class LandingConfig:
     copier: Callable[[str, str], None] | None = None  # replaces the pyarrow copy (must overwrite, raise on failure)
     staging_dir: str | None = None  # default: a new folder under spark.checkpoint.dir
     keep_staging: bool = True  # False: remove the run folder after a successful run (its DataFrames go with it)
+    verify: str = "size"  # 'content' also compares a digest of each copy with one of its source
+    retries: int = RETRIES  # further tries of a failed copy within the run
+    part_mb: float | None = None  # parts of huge files onto local disks; None: a quarter of a task's MiB, 0: whole files
+    resume: bool = True  # complete a run that died before its append
+    compact_after: int = 20  # runs until a ledger in runs gets a new snapshot; 0: never
     preview_rows: int = 0  # > 0: log the first rows (by source_path) of the pending and audit sets
 
 
@@ -94,6 +114,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     log.info("landing run %s: source=%s ledger=%s", run_dir, cfg.source, cfg.ledger)
     ensure_ledger(spark, cfg.ledger)
     _check_table_place(spark, cfg)
+    resumed = _resume(spark, cfg) if cfg.resume else 0
     ledger = read_ledger(spark, cfg.ledger)
     lap("ledger")
     dirs_listed, vanished = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
@@ -107,7 +128,12 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     manifest = build_manifest(inventory, cfg.rules)
 
     # The one evaluation of listing + detection.
-    pending_plan = pending_files(manifest, ledger, cfg.retry_failed)
+    if cfg.ledger.layout == "runs":
+        seen = versions(spark, cfg.ledger)
+        landed = seen.filter(F.col("latest_success").isNotNull()).select("source_path", "lakehouse_path", F.lit(STATUS_SUCCESS).alias("status"))
+        pending_plan = pending_since(manifest, newest(seen, cfg.retry_failed))
+    else:
+        landed, pending_plan = ledger, pending_files(manifest, ledger, cfg.retry_failed)
     pending_plan.write.mode("errorifexists").parquet(f"{run_dir}/pending")
     pending = spark.read.schema(pending_plan.schema).parquet(f"{run_dir}/pending")
     lap("detect_and_stage")
@@ -122,7 +148,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     ).first()
     n, n_unmapped, total_mb = row["n"], row["unmapped"], float(row["mb"])
     stats = {"pending": n, "unmapped": n_unmapped, "pending_mb": total_mb}
-    stats["timings"] = timings
+    stats["timings"], stats["resumed"] = timings, resumed
     lap("checks")
     log.info("%d new or updated files (%.2f MiB), %d without a landing path", n, total_mb, n_unmapped)
     _log_preview("pending", pending, cfg.preview_rows)
@@ -143,7 +169,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         n -= n_unmapped
 
     if n and cfg.on_collision == "fail":
-        claims = claimed_targets(to_copy, manifest, ledger)
+        claims = claimed_targets(to_copy, manifest, landed)
         claimed = claims.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("lakehouse_path", "first_source", "last_source")).alias("one")).first()
         stats["collisions"], first = claimed["n"], claimed["one"]
         if stats["collisions"]:
@@ -171,6 +197,9 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     if cfg.copier is None:
         preflight(spark, root[1], storage_settings(spark))
     counters = (spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0))
+    run_id = uuid.uuid4().hex
+    intent, done_dir = f"{_intents(spark, cfg.ledger)}/{run_id}", f"{run_dir}/landed-rows"
+    write_marker(spark, intent, json.dumps({"audit": f"{run_dir}/audit", "done": done_dir}))
     audit = copy_files(
         spark,
         to_copy,
@@ -181,10 +210,17 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         counters=counters,
         root=root,
         sizes=row,
+        verify=cfg.verify,
+        retries=cfg.retries,
+        part_mb=cfg.part_mb,
+        done_dir=done_dir,
     )
     lap("copy")
     # NOT NULL columns were checked on the pending rows; the copy sets the rest.
-    append_ledger(spark, audit, cfg.ledger, row_count=n, check_nulls=False)
+    append_ledger(spark, audit, cfg.ledger, row_count=n, check_nulls=False, run_id=run_id)
+    _remove(spark, intent)
+    if cfg.ledger.layout == "runs" and cfg.compact_after:
+        compact_ledger(spark, cfg.ledger, cfg.compact_after)
     stats["copied"] = n
     lap("append")
     status = {k: v for k, v in ((STATUS_SUCCESS, counters[0].value), (STATUS_ERROR, counters[1].value)) if v}
@@ -195,6 +231,25 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     return LandingResult(inventory, manifest, ledger, pending, audit, rejected, n, run_dir, stats)
 
 
+def _intents(spark: SparkSession, ledger: Ledger) -> str:
+    """The folder of the intents of runs that have not appended yet."""
+    return f"{ledger.path}/_intents" if ledger.path else f"{checkpoint_root(spark)}/quayside/intents/{ledger.name}"
+
+
+def _resume(spark: SparkSession, cfg: LandingConfig) -> int:
+    """Append what earlier runs landed without reaching their append: the number of rows."""
+    folder, total = _intents(spark, cfg.ledger), 0
+    for run_id in marker_names(spark, folder):
+        (text,) = spark.read.text(f"{folder}/{run_id}").collect()
+        places = json.loads(text["value"])
+        rows = landed_rows(spark, places["audit"], places["done"])
+        n = 0 if rows is None else append_ledger(spark, rows, cfg.ledger, check_nulls=False, run_id=run_id)
+        _remove(spark, f"{folder}/{run_id}")
+        log.info("completed run %s: %d files it had landed are recorded", run_id, n)
+        total += n
+    return total
+
+
 def _log_preview(label: str, df: DataFrame, rows: int) -> None:
     if rows > 0 and log.isEnabledFor(logging.INFO):
         for r in preview(df, rows).collect():

@@ -1,0 +1,147 @@
+"""Copies dealt by bytes, huge files in parts, content checks and retries."""
+
+import os
+
+import pandas as pd
+import pyarrow.fs as pafs
+import pytest
+from pyspark.sql import functions as F
+
+from quayside.operators import copy as copying
+from quayside.operators.parts import copy_in_parts
+from quayside.schema import STATUS_ERROR, STATUS_SUCCESS
+from tests.conftest import write_file
+
+DDL = "source_path string, source_modified_at timestamp, source_size_mb double, bucket_path string, lakehouse_path string"
+
+
+def pending(spark, rows):
+    return spark.createDataFrame([(s, None, mb, "b", t) for s, mb, t in rows], DDL)
+
+
+def test_skewed_tree_is_dealt_by_bytes(spark, tmp_path):
+    """1,000 neighbours of 1,900 MiB among 20,000 small files, and three huge ones."""
+    rows = [(f"/s/big/{k}", 1900.0, f"/t/m/{k:05d}") for k in range(1_000)] + [(f"/s/{k}", 0.5 if k % 2 else 0.0, f"/t/{'az'[k % 2]}/{k:05d}") for k in range(20_000)]
+    rows += [(f"/s/huge/{k}", 9000.0, f"/t/m/x{k}") for k in range(3)]
+    pend = pending(spark, rows).repartition(4)
+    sizes = pend.agg(*copying.size_aggregates()).first()
+    dealt, n = copying.deal_by_bytes(spark, pend, f"{tmp_path}/order", sizes)
+    tasks = {}
+    for r in dealt.collect():
+        tasks.setdefault(r["task"], []).append(r)
+    assert sum(map(len, tasks.values())) == len(rows) and max(tasks) < n
+    alone = [t for t in tasks.values() if any(r["source_size_mb"] >= 2048 for r in t)]
+    assert len(alone) == 3 and all(len(t) == 1 for t in alone)
+    for t in tasks.values():
+        assert len(t) == 1 or (sum(r["source_size_mb"] for r in t) <= 2 * 2048 and len(t) <= 2 * 2000)
+    # every task is a partition of the copy, and neighbours stay together
+    plan = copying.copy_plan(dealt, n, task="task", copier=lambda a, b: None)
+    parts = [p for p in plan.select("source_size_mb", "lakehouse_path", F.spark_partition_id().alias("p")).rdd.glom().collect() if p]
+    assert sorted(len(p) for p in parts) == sorted(map(len, tasks.values()))
+    small = sorted((min(r["lakehouse_path"] for r in t), max(r["lakehouse_path"] for r in t)) for t in tasks.values() if t not in alone)
+    assert all(a[1] < b[0] for a, b in zip(small, small[1:]))
+
+
+def tree(tmp_path, sizes):
+    rows = []
+    for name, n in sizes.items():
+        write_file(f"{tmp_path}/src/{name}", os.urandom(n))
+        rows.append((f"file:{tmp_path}/src/{name}", round(n / 2**20, 2), f"{tmp_path}/landed/d/{name}"))
+    return rows
+
+
+def content(path):
+    with open(path, "rb") as f:
+        return f.read()
+
+
+@pytest.mark.parametrize("verify", ["size", "content"])
+def test_one_huge_file_is_copied_by_several_tasks(spark, tmp_path, verify):
+    rows = tree(tmp_path, {"huge": 10 * 2**20 + 12_345, "edge": 4 * 2**20, **{f"s{k}": 1000 * k for k in range(20)}})
+    rows.append((f"file:{tmp_path}/src/gone", 7.0, f"{tmp_path}/landed/d/gone"))
+    write_file(f"{tmp_path}/landed/d/gone", b"OLD")
+    counters = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    got = copying.copy_files(spark, pending(spark, rows), f"{tmp_path}/audit", mb_per_task=4.0, part_mb=1.0, verify=verify, counters=counters, retries=0)
+    status = {r["source_path"]: (r["status"], r["error"]) for r in got.collect()}
+    assert len(status) == len(rows) and status[f"file:{tmp_path}/src/gone"][0] == STATUS_ERROR
+    assert [counters[0].value, counters[1].value] == [len(rows) - 1, 1]
+    for source, _, target in rows[:-1]:
+        assert status[source] == (STATUS_SUCCESS, None) and content(target) == content(source[5:])
+    assert content(f"{tmp_path}/landed/d/gone") == b"OLD"
+    assert not [n for n in os.listdir(f"{tmp_path}/landed/d") if n.endswith("inflight")]
+    parts = spark.read.parquet(f"{tmp_path}/audit-parts").select("source_path", F.input_file_name().alias("file"))
+    parts = parts.groupBy("source_path").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("file").alias("tasks"))
+    assert {r["source_path"].rsplit("/", 1)[1]: (r["n"], r["tasks"]) for r in parts.collect()} == {"huge": (11, 11), "edge": (4, 4), "gone": (7, 7)}
+
+
+def test_a_lost_part_leaves_the_target(spark, tmp_path):
+    rows = tree(tmp_path, {"huge": 5 * 2**20})
+    write_file(f"{tmp_path}/landed/d/huge", b"OLD")
+    spark.conf.set("spark.sql.files.ignoreMissingFiles", "true")
+    try:
+        plan = copy_in_parts(spark, pending(spark, rows), f"{tmp_path}/parts", 1.0)
+        lost = [f for f in os.listdir(f"{tmp_path}/parts") if f.startswith("part-")][0]
+        os.remove(f"{tmp_path}/parts/{lost}")
+        (row,) = plan.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.ignoreMissingFiles")
+    assert row["status"] == STATUS_ERROR and "4 of 5 parts" in row["error"]
+    assert os.listdir(f"{tmp_path}/landed/d") == ["huge"] and content(f"{tmp_path}/landed/d/huge") == b"OLD"
+
+
+class Flaky:
+    """A local disk whose streams fail for the first times, or write other bytes than they are given."""
+
+    type_name = "local"
+
+    def __init__(self, fail=0, corrupt=False):
+        self.fs, self.fail, self.corrupt = pafs.LocalFileSystem(), fail, corrupt
+
+    def equals(self, other):
+        return False
+
+    def open_output_stream(self, path):
+        if self.fail:
+            self.fail -= 1
+            raise OSError("slow down")
+        out = self.fs.open_output_stream(path)
+        if not self.corrupt:
+            return out
+
+        class Out:
+            def __enter__(self):
+                return self
+
+            def __exit__(self, *exc):
+                out.close()
+
+            def write(self, block):
+                out.write(bytes(b ^ 1 for b in block))
+
+        return Out()
+
+    def __getattr__(self, name):
+        return getattr(self.fs, name)
+
+
+def copy_with(monkeypatch, tmp_path, target_fs, **options):
+    write_file(f"{tmp_path}/f", b"the content")
+    write_file(f"{tmp_path}/t", b"OLD")
+    places = {"src:f": (Flaky(), f"{tmp_path}/f"), "dst:t": (target_fs, f"{tmp_path}/t")}
+    monkeypatch.setattr(copying, "FileSystems", lambda settings=None: type("R", (), {"resolve": staticmethod(places.__getitem__)})())
+    row = {"source_path": ["src:f"], "source_modified_at": [None], "source_size_mb": [0.0], "bucket_path": ["f"], "lakehouse_path": ["dst:t"]}
+    (out,) = list(copying._copier(1, 4, pause=0.001, **options)(iter([pd.DataFrame(row)])))
+    return out["status"][0], out["error"][0], content(f"{tmp_path}/t")
+
+
+def test_a_corrupted_copy_of_the_same_size_is_an_error(monkeypatch, tmp_path):
+    status, error, left = copy_with(monkeypatch, tmp_path, Flaky(corrupt=True), verify="content")
+    assert status == STATUS_ERROR and "other bytes" in error and left == b"OLD"
+    assert copy_with(monkeypatch, tmp_path, Flaky(corrupt=True))[0] == STATUS_SUCCESS  # sizes agree
+    assert copy_with(monkeypatch, tmp_path, Flaky(), verify="content") == (STATUS_SUCCESS, None, b"the content")
+
+
+@pytest.mark.parametrize("fail,status", [(2, STATUS_SUCCESS), (3, STATUS_ERROR)])
+def test_failed_copies_are_tried_again(monkeypatch, tmp_path, fail, status):
+    got = copy_with(monkeypatch, tmp_path, Flaky(fail=fail), retries=2)
+    assert got[0] == status and got[2] == (b"the content" if status == STATUS_SUCCESS else b"OLD")
