@@ -198,8 +198,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         preflight(spark, root[1], storage_settings(spark))
     counters = (spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0))
     run_id = uuid.uuid4().hex
-    intent, done_dir = f"{_intents(spark, cfg.ledger)}/{run_id}", f"{run_dir}/landed-rows"
-    write_marker(spark, intent, json.dumps({"audit": f"{run_dir}/audit", "done": done_dir}))
+    intent, done_dir = record_intent(spark, cfg.ledger, run_id, run_dir)
     audit = copy_files(
         spark,
         to_copy,
@@ -236,6 +235,13 @@ def _intents(spark: SparkSession, ledger: Ledger) -> str:
     return f"{ledger.path}/_intents" if ledger.path else f"{checkpoint_root(spark)}/quayside/intents/{ledger.name}"
 
 
+def record_intent(spark: SparkSession, ledger: Ledger, run_id: str, run_dir: str) -> tuple[str, str]:
+    """Note that a run is about to copy with its audit rows at ``run_dir/audit``: the intent, and the folder for its tasks' rows."""
+    intent, done_dir = f"{_intents(spark, ledger)}/{run_id}", f"{run_dir}/landed-rows"
+    write_marker(spark, intent, json.dumps({"audit": f"{run_dir}/audit", "done": done_dir}))
+    return intent, done_dir
+
+
 def _resume(spark: SparkSession, cfg: LandingConfig) -> int:
     """Append what earlier runs landed without reaching their append: the number of rows."""
     folder, total = _intents(spark, cfg.ledger), 0

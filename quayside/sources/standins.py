@@ -109,10 +109,11 @@ def events_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def documents_tree(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+def documents_tree(spark: SparkSession, sf_dir: str, root: str, flat: bool = False) -> DataFrame:
     """One real file for each row of ``documents``, written by the executors as
-    ``root/raw/<source>/<lang>/<doc_id>.txt`` (the text's UTF-8 bytes): ``path, size``."""
-    settings = storage_settings(spark)
+    ``root/raw/<source>/<lang>/<doc_id>.txt`` (the text's UTF-8 bytes): ``path, size``; ``flat``: all
+    in one folder, ``root/raw/<source>-<lang>-<doc_id>.txt``."""
+    settings, sep = storage_settings(spark), "-" if flat else "/"
 
     def write(batches):
         import posixpath
@@ -123,7 +124,7 @@ def documents_tree(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
         for pdf in batches:
             paths, sizes = [], []
             for doc_id, source, lang, text in zip(pdf.doc_id, pdf.source, pdf.lang, pdf.text):
-                path, data = f"{root}/raw/{source}/{lang}/{doc_id}.txt", (text or "").encode()
+                path, data = f"{root}/raw/{sep.join((source, lang, str(doc_id)))}.txt", (text or "").encode()
                 fs, at = resolve(path)
                 parent = posixpath.dirname(at)
                 if parent not in made:
