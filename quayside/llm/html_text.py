@@ -12,7 +12,9 @@ whose evidence outweighs all their edges, whom no cut can move.
 White space inside a block, ``<br>`` included, is one space; blocks are joined by a
 line feed. A null or empty page has an empty text; null page_id and url pass through.
 Unclosed comments, scripts and tags run to the end of the page. Each page is worked
-on alone, and repeated rows give repeated results. Empty tables give no rows.
+on alone, in time and memory in proportion to its length also where elements are nested deeply;
+repeated rows give repeated results. Empty tables give no rows. Of the input only the three
+columns are read: others cannot clash.
 """
 
 from __future__ import annotations
@@ -62,26 +64,88 @@ _CONTENT_WORDS = frozenset("article articlebody content entry main post story".s
 _NAME = re.compile(r"[a-z]+")
 
 #: Smoothness of blocks that follow each other, and of neighbours in one containing element.
-ADJACENT, SIBLINGS = 0.6, 0.9
+ADJACENT, SIBLINGS = 1.0, 1.2
 
 
-@dataclass
+@dataclass(eq=False)
 class _Element:
     tag: str
-    number: int
-    boiler: bool
+    boiler: bool  # it or an element around it
     content: bool
+    block: _Element | None  # the innermost element around its text that makes blocks, itself included
+    above: _Element | None  # of such an element, the next one around it
     depth: int
 
 
-@dataclass
+@dataclass(eq=False)
 class Block:
     text: str
     evidence: float
-    path: tuple[int, ...]
+    home: _Element | None
     links: list[tuple[int, float]] = field(default_factory=list)
 
 
+class _Stack:
+    """The open elements. Each scope counts the elements inside it by tag, so that no look for one passes over others
+    that stay open: the work is in proportion to the elements, however deep they are nested."""
+
+    def __init__(self):
+        self.items: list[_Element] = []
+        self.scopes: list[int] = []  # where scopes stand
+        self.inside: list[dict[str, int]] = [{}]  # tags of the elements above each, and above none
+        self.open: dict[str, int] = {}  # scopes by tag
+        self.links = 0
+
+    @property
+    def top(self) -> _Element | None:
+        return self.items[-1] if self.items else None
+
+    def push(self, tag: str, boiler: bool, content: bool) -> None:
+        top = self.top
+        above = top.block if top else None
+        new = _Element(tag, boiler or bool(top and top.boiler), content or bool(top and top.content), above, above, top.depth if top else 0)
+        if tag in _BLOCK:
+            new.block, new.depth = new, (above.depth if above else 0) + 1
+        if tag in _SCOPES:
+            self.scopes.append(len(self.items))
+            self.inside.append({})
+            self.open[tag] = self.open.get(tag, 0) + 1
+        else:
+            self.inside[-1][tag] = self.inside[-1].get(tag, 0) + 1
+        self.links += tag == "a"
+        self.items.append(new)
+
+    def pop(self) -> _Element:
+        e = self.items.pop()
+        if e.tag in _SCOPES:
+            self.scopes.pop()
+            self.inside.pop()
+            self.open[e.tag] -= 1
+        else:
+            self.inside[-1][e.tag] -= 1
+        self.links -= e.tag == "a"
+        return e
+
+    def end(self, tag: str) -> None:
+        """An end tag closes the innermost such element, and what is open inside it; no scope, unless it names one."""
+        if self.open.get(tag) if tag in _SCOPES else self.inside[-1].get(tag):
+            while self.pop().tag != tag:
+                pass
+
+    def shut(self, tags: set[str]) -> None:
+        """Close all these elements up to the first scope that is none of them."""
+        while self.items:
+            if any(self.inside[-1].get(t) for t in tags):
+                while self.pop().tag not in tags:
+                    pass
+            elif self.scopes and self.items[self.scopes[-1]].tag in tags:
+                at = self.scopes[-1]
+                while len(self.items) > at:
+                    self.pop()
+            else:
+                return
+
+
 @lru_cache(maxsize=4096)
 def _surroundings(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
     """Whether an element marks boilerplate, and whether it marks content."""
@@ -117,31 +181,20 @@ def evidence(text: str, link_chars: int, tag: str, boiler: bool, content: bool)
 
 def blocks(page: str) -> list[Block]:
     out: list[Block] = []
-    stack: list[_Element] = []
+    stack = _Stack()
     parts: list[str] = []
-    linked = [0]  # characters inside links, of the block at hand
-    count, in_link, head = 0, 0, False
+    linked, head = 0, False  # characters inside links, of the block at hand
 
     def close() -> None:
+        nonlocal linked
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                boiler, content, tag = False, False, ""
-                for e in reversed(stack):
-                    boiler |= e.boiler
-                    content |= e.content
-                    if not tag and e.tag in _BLOCK:
-                        tag = e.tag
-                path = tuple(e.number for e in stack if e.tag in _BLOCK)
-                out.append(Block(text, evidence(text, min(linked[0], len(text)), tag, boiler, content and not boiler), path))
+                e = stack.top
+                boiler, content, home = (e.boiler, e.content, e.block) if e else (False, False, None)
+                out.append(Block(text, evidence(text, min(linked, len(text)), home.tag if home else "", boiler, content and not boiler), home))
             parts.clear()
-        linked[0] = 0
-
-    def pop(upto: int) -> None:
-        nonlocal in_link
-        for e in stack[upto:]:
-            in_link -= e.tag == "a"
-        del stack[upto:]
+        linked = 0
 
     for m in _TOKENS.finditer(page):
         tag = m[3]
@@ -150,8 +203,8 @@ def blocks(page: str) -> list[Block]:
             if piece[0] != "<" or piece == "<":
                 if not head:
                     parts.append(piece)
-                    if in_link:
-                        linked[0] += len(piece.strip())
+                    if stack.links:
+                        linked += len(piece.strip())
             continue
         tag = tag.lower()
         if tag == "head":
@@ -159,12 +212,10 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag == "body":
             head = False
-        if m[2]:  # an end tag closes the innermost such element of its scope
-            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == tag), None)
+        if m[2]:
             if tag in _BLOCK:
                 close()
-            if at is not None and not (tag not in _SCOPES and any(e.tag in _SCOPES for e in stack[at + 1 :])):
-                pop(at)
+            stack.end(tag)
             continue
         if tag == "br":
             parts.append(" ")
@@ -172,45 +223,40 @@ def blocks(page: str) -> list[Block]:
         if tag in _BLOCK:
             close()
             head = False
-            shut = _CLOSES.get(tag, {"p"} if tag not in ("body", "html") else set())
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag in shut:
-                    pop(k)
-                elif stack[k].tag in _SCOPES:
-                    break
+            stack.shut(_CLOSES.get(tag, {"p"} if tag not in ("body", "html") else set()))
         if tag in _VOID:
             continue
-        count += 1
-        boiler, content = _surroundings(tag, m[4], any(e.content for e in stack))
-        stack.append(_Element(tag, count, boiler, content, len(stack)))
-        in_link += tag == "a"
+        stack.push(tag, *_surroundings(tag, m[4], bool(stack.top and stack.top.content)))
     close()
     return out
 
 
-def _weight(base: float, a: tuple[int, ...], b: tuple[int, ...]) -> float:
-    shared = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        shared += 1
-    return base / max(1, len(a) + len(b) - 2 * shared)
+def _apart(a: _Element | None, b: _Element | None) -> int:
+    """Steps between two elements of the tree. Those of blocks that follow each other are as many as were closed and opened between."""
+    steps = 0
+    while a is not b:
+        if b is None or (a is not None and a.depth >= b.depth):
+            a = a.above
+        else:
+            b = b.above
+        steps += 1
+    return steps
 
 
 def edges(of: list[Block]) -> None:
     """Smoothness edges: neighbours in the page, and the nearest earlier block with the same container."""
-    last: dict[tuple[int, ...], int] = {}
+    last: dict[_Element | None, int] = {}
     for k, b in enumerate(of):
-        pairs = {}
+        pairs, container = {}, b.home.above if b.home else None
         if k:
-            pairs[k - 1] = _weight(ADJACENT, of[k - 1].path, b.path)
-        at = last.get(b.path[:-1])
+            pairs[k - 1] = ADJACENT / max(1, _apart(of[k - 1].home, b.home))
+        at = last.get(container)
         if at is not None:
-            pairs[at] = pairs.get(at, 0.0) + _weight(SIBLINGS, of[at].path, b.path)
+            pairs[at] = pairs.get(at, 0.0) + SIBLINGS / max(1, _apart(of[at].home, b.home))
         for j, w in pairs.items():
             b.links.append((j, w))
             of[j].links.append((k, w))
-        last[b.path[:-1]] = k
+        last[container] = k
 
 
 def min_cut(gain: list[float], links: list[list[tuple[int, float]]]) -> list[bool]:
