@@ -8,9 +8,12 @@ that spends the remainder. The threshold comes from histograms: words by
 and only the bucket at its boundary is split again by the next bits of the hash.
 Nothing is sorted; the choice depends on ``doc_id`` and ``seed`` alone.
 
-The threshold ends at the first document that overspends the remainder, as the SQL
-does. With ``fill`` documents that do not fit are stepped over and later ones go on
-spending what is left, until nothing that fits is left out.
+The threshold ends at the first document that overspends the remainder. With ``fill``, as in the
+query and the pipeline, documents that do not fit are stepped over and later ones go on
+spending what is left, until nothing that fits is left out. What is left only shrinks, so of the
+documents of one size those taken are the first by hash, at most ``left / size`` of them. That bounds what
+one task has to walk through for a source by ``left * ln(left)`` rows, with ``left`` less than the words of the document that
+did not fit, however many documents the source has.
 
 Nulls: a null text has size 0, a null source is a source of its own (last), a
 null doc_id hashes like the empty string. Rows of one doc_id share a hash and are
@@ -19,13 +22,12 @@ taken together. Zero-size documents are taken 0 times. An empty table gives none
 
 from __future__ import annotations
 
-import functools
-import itertools
-
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.common import pick, run_dir, staged
+from quayside.llm.names import unused
 
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
 HASH_BITS = 60
@@ -114,23 +116,28 @@ def thresholds(spark: SparkSession, sizes: DataFrame, budget: DataFrame, path: s
     return staged(spark, state, f"{path}/state")
 
 
+def _first_fit(docs: pd.DataFrame) -> pd.DataFrame:
+    """The documents of one source that fit one after another, in ascending order of the hash."""
+    docs = docs.sort_values("hash")
+    left, fits = float(docs["left"].iloc[0]), []
+    for size in docs["size"].tolist():
+        fits.append(size <= left)
+        left -= size * fits[-1]
+    return docs.loc[fits, ["source", "hash"]]
+
+
 def fillers(spark: SparkSession, sizes: DataFrame, state: DataFrame, path: str) -> DataFrame:
     """``_of, _at`` (source, hash) of the documents behind the threshold to be taken once more: in ascending order of the
-    hash, each that fits what is still left. What is left only shrinks, so a round drops for good what has become too
-    long and takes the others up to their own threshold; each round takes one document at least of an open source."""
-    left, picked = sizes, []
-    for turn in itertools.count():
-        edge = state.select(F.col("source").alias("_source"), F.col("below").alias("_low"), F.col("rest").alias("_most"))
-        behind = left.join(edge, left["source"].eqNullSafe(edge["_source"])).filter("hash >= _low")
-        left = behind.groupBy("source", "hash", "_most").agg(F.sum("size").alias("size")).filter("size > 0 AND size <= _most")
-        left = staged(spark, left.select("source", "hash", "size"), f"{path}/left-{turn}")
-        if not left.limit(1).count():
-            every = functools.reduce(DataFrame.union, picked, left.select("source", "hash"))
-            return staged(spark, every.toDF("_of", "_at"), f"{path}/picked")
-        state = thresholds(spark, left, state.drop("below", "open"), f"{path}/fill-{turn}")
-        upto = state.select(F.col("source").alias("_source"), "below")
-        taken = left.join(upto, left["source"].eqNullSafe(upto["_source"])).filter("hash < below")
-        picked.append(taken.select("source", "hash"))
+    hash, each that fits what is still left."""
+    edge = state.select(F.col("source").alias("_source"), F.col("below").alias("_low"), F.col("rest").alias("left"))
+    behind = sizes.join(edge, sizes["source"].eqNullSafe(edge["_source"])).filter("hash >= _low")
+    docs = behind.groupBy("source", "hash", "left").agg(F.sum("size").alias("size")).filter("size > 0 AND size <= left")
+    # the first by hash of each size: in 64 shares of a size first, so that no size is ordered whole in one task
+    for share in (F.pmod(F.xxhash64("hash"), F.lit(64)), F.lit(0)):
+        order = Window.partitionBy("source", "size", share).orderBy("hash")
+        docs = docs.withColumn("nth", F.row_number().over(order)).filter("nth <= floor(left / size)").drop("nth")
+    picked = docs.groupBy("source").applyInPandas(_first_fit, "source string, hash long")
+    return staged(spark, picked.toDF("_of", "_at"), f"{path}/picked")
 
 
 def _planned(docs: DataFrame, seed: str, cycle: int, cap: int, path: str, fill: bool) -> tuple[DataFrame, DataFrame, DataFrame | None]:
@@ -152,7 +159,7 @@ def mix_sources(
     once = F.col("hash") < F.col("below")
     if fill:
         here = F.col("source").eqNullSafe(F.col("_of")) & (F.col("hash") == F.col("_at"))
-        out, once = out.join(F.broadcast(more), here, "left"), once | F.col("_at").isNotNull()
+        out, once = out.join(more, here, "left"), once | F.col("_at").isNotNull()
     times = F.col("copies") + once.cast("long")
     return out.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * times).alias("taken"))
 
@@ -162,27 +169,28 @@ def mixed(
 ) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with all their columns."""
     _, state, more = _planned(docs, seed, cycle, cap, path or run_dir(docs.sparkSession, "mix"), fill)
-    state = state.select(F.col("_source").alias("_mix_source"), F.col("copies").alias("_mix_copies"), F.col("below").alias("_mix_below"))
+    new = unused(docs, "source", "copies", "below", "hash", "of", "at", "turn")
+    state = state.select(F.col("_source").alias(new["source"]), F.col("copies").alias(new["copies"]), F.col("below").alias(new["below"]))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.withColumn("_mix_hash", doc_hash("`doc_id`", seed))
-    out = marked.join(state, F.col("`source`").cast("string").eqNullSafe(F.col("_mix_source")))
-    once = F.col("_mix_hash") < F.col("_mix_below")
+    marked = docs.withColumn(new["hash"], doc_hash("`doc_id`", seed))
+    out = marked.join(state, F.col("`source`").cast("string").eqNullSafe(F.col(new["source"])))
+    once = F.col(new["hash"]) < F.col(new["below"])
     if fill:
-        more = more.select(F.col("_of").alias("_mix_of"), F.col("_at").alias("_mix_at"))
-        here = F.col("_mix_source").eqNullSafe(F.col("_mix_of")) & (F.col("_mix_hash") == F.col("_mix_at"))
-        out, once = out.join(F.broadcast(more), here, "left"), once | F.col("_mix_at").isNotNull()
-    times = (F.col("_mix_copies") + once.cast("long")).cast("int")
-    return out.withColumn("_mix_turn", F.explode(F.array_repeat(F.lit(1), times))).select(*names)
+        more = more.select(F.col("_of").alias(new["of"]), F.col("_at").alias(new["at"]))
+        here = F.col(new["source"]).eqNullSafe(F.col(new["of"])) & (F.col(new["hash"]) == F.col(new["at"]))
+        out, once = out.join(more, here, "left"), once | F.col(new["at"]).isNotNull()
+    times = (F.col(new["copies"]) + once.cast("long")).cast("int")
+    return out.withColumn(new["turn"], F.explode(F.array_repeat(F.lit(1), times))).select(*names)
 
 
 def q_op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.llm.common import table
 
-    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix_sources(table(spark, sf_dir, "documents"), fill=True).select("doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLE_OP8 = """
-WITH sizes AS (
+WITH RECURSIVE sizes AS (
   SELECT doc_id, source,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
          CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS hash
@@ -207,8 +215,15 @@ targets AS (
 budget AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS copies
   FROM targets),
-upto AS (
-  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY hash RANGE UNBOUNDED PRECEDING) AS upto FROM sizes)
-SELECT u.doc_id, u.size, b.source_size, b.target,
-       u.size * (b.copies + CASE WHEN u.upto <= b.target - b.copies * b.source_size THEN 1 ELSE 0 END) AS taken
-FROM upto u JOIN budget b ON u.source IS NOT DISTINCT FROM b.source"""
+docs AS (
+  SELECT source, hash, CAST(sum(size) AS BIGINT) AS size, row_number() OVER (PARTITION BY source ORDER BY hash) AS k
+  FROM sizes GROUP BY source, hash),
+walk(source, k, rest, fits) AS (
+  SELECT source, CAST(0 AS BIGINT), target - copies * source_size, 0 FROM budget
+  UNION ALL
+  SELECT w.source, d.k, w.rest - CASE WHEN d.size <= w.rest THEN d.size ELSE 0 END, CASE WHEN d.size <= w.rest THEN 1 ELSE 0 END
+  FROM walk w JOIN docs d ON d.source IS NOT DISTINCT FROM w.source AND d.k = w.k + 1)
+SELECT s.doc_id, s.size, b.source_size, b.target, s.size * (b.copies + w.fits) AS taken
+FROM sizes s JOIN budget b ON s.source IS NOT DISTINCT FROM b.source
+JOIN docs d ON d.source IS NOT DISTINCT FROM s.source AND d.hash = s.hash
+JOIN walk w ON w.source IS NOT DISTINCT FROM s.source AND w.k = d.k"""

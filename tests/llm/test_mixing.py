@@ -44,7 +44,7 @@ def test_matches_the_sql(spark):
     con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR, source VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(r[0], r[1], r[3]) for r in rows])
     sql = sorted(con.execute(ORACLE_OP8).fetchall(), key=str)
-    out = mix_sources(frame(spark, rows)).select("doc_id", "size", "source_size", "target", "taken")
+    out = mix_sources(frame(spark, rows), fill=True).select("doc_id", "size", "source_size", "target", "taken")
     assert sorted(map(tuple, out.collect()), key=str) == sql
 
 
@@ -78,6 +78,14 @@ def test_mixed_repeats_rows_as_taken(spark):
     assert counts == {k: v for k, v in taken.items() if v}
 
 
+def test_columns_named_as_ours_come_back_unchanged(spark):
+    rows = many()[:60]
+    df = frame(spark, rows).selectExpr("*", "'h' AS _hash", "'s' AS _source2", "'t' AS _TURN", "'b' AS _below", "'m' AS _mix_hash")
+    out = mixed(df, fill=True)
+    assert out.columns == df.columns
+    assert {tuple(r) for r in out.select("_hash", "_source2", "_TURN", "_below", "_mix_hash").collect()} == {("h", "s", "t", "b", "m")}
+
+
 def test_reruns_agree_and_empty(spark, nothing):
     df = frame(spark, many())
     a, b = (sorted(map(tuple, mix_sources(df).collect()), key=str) for _ in range(2))
