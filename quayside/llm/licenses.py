@@ -5,15 +5,17 @@ digits and all other characters from 0x80, one space between. Exact phrases are
 found there by whole words. For the fuzzy notices the pigeonhole principle gives
 exact seeds: a notice with up to k edits (insertions, deletions, substitutions of
 a byte) is cut into k + 1 pieces, one of which stands unchanged. One automaton
-finds the pieces of all notices in one pass; the edits are counted to the left and
-to the right of each find by itself, so every match within the bound is seen. The
-spans are whole words; of a notice's overlapping matches the best stands.
+finds the pieces of all notices in one pass. A find says where the notice begins and ends, up to k
+bytes; each run of whole words between such places is given to the regex library's bounded-error
+matching (``(?:notice){e<=k}``), in its own region, so every match within the bound is seen and
+none hides another. The spans are whole words; of a notice's overlapping matches the best stands.
 
 Every document is searched in its whole length, and the work stays in one pass over
 the rows, without a shuffle; a third of all rows of one source is a third of the tasks.
 
 Nulls: a null text is empty: no words, no places, empty labels, score 0. A null
-doc_id passes through. Empty tables give no rows.
+doc_id passes through. Repeated rows give equal rows; a very long text is scanned whole. Empty tables give no
+rows. Of the input only doc_id and text are read: other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,29 +74,33 @@ class Scanner:
         for piece, owners in pieces.items():
             self.automaton.add_word(piece, (len(piece), owners))
         self.automaton.make_automaton()
+        self.patterns = [[regex.compile(f"(?:{regex.escape(n.text)}){{e<={e}}}") for e in range(n.edits + 1)] for n in notices]
+
+    def edits(self, k: int, text: str, a: int, b: int) -> int | None:
+        """The fewest edits that make notice k of ``text[a:b]``, if they are within its bound."""
+        *fewer, widest = self.patterns[k]
+        if not widest.fullmatch(text, a, b):
+            return None
+        return next((e for e, p in enumerate(fewer) if p.fullmatch(text, a, b)), len(fewer))
 
     def fuzzy(self, text: str) -> list[tuple[str, int, int, int]]:
-        """``(label, start, end, edits)`` of the matches in a normal form, offsets in it. Each find is verified by itself,
-        to its left and its right; of a notice's matches that overlap the one of the fewest edits stands, then the first."""
-        best: dict[int, dict[tuple[int, int], int]] = {}
+        """``(label, start, end, edits)`` of the matches in a normal form, offsets in it. Each find is verified by itself;
+        of a notice's matches that overlap the one of the fewest edits stands, then the first."""
+        seen: dict[int, dict[tuple[int, int], int | None]] = {}
         for last, (size, owners) in self.automaton.iter(text):
-            end = last + 1
-            begin = end - size
+            begin = last + 1 - size
             for k, offset in owners:
-                n = self.notices[k]
-                left = _edits(n.text[:offset][::-1], text[max(0, begin - offset - n.edits - 1) : begin][::-1], n.edits)
-                if not left:
-                    continue
-                rest = n.text[offset + size :]
-                right = _edits(rest, text[end : end + len(rest) + n.edits + 1], n.edits)
-                found = best.setdefault(k, {}) if right else {}
-                for back, x in left:
-                    for on, y in right:
-                        if x + y <= n.edits:
-                            at = (begin - back, end + on)
-                            found[at] = min(x + y, found.get(at, x + y))
+                n, known = self.notices[k], seen.setdefault(k, {})
+                first, end = begin - offset, begin - offset + len(n.text)
+                for a in range(max(0, first - n.edits), min(begin, first + n.edits) + 1):
+                    if a and text[a - 1] != " ":
+                        continue
+                    for b in range(max(last + 1, end - n.edits), min(len(text), end + n.edits) + 1):
+                        if (b == len(text) or text[b] == " ") and (a, b) not in known:
+                            known[a, b] = self.edits(k, text, a, b)
         out = set()
-        for k, found in best.items():
+        for k, known in seen.items():
+            found = {at: edits for at, edits in known.items() if edits is not None}
             starts, ends = [], []  # of the matches that stand, ascending; they are disjoint
             for (a, b), edits in sorted(found.items(), key=lambda x: (x[1], x[0])):
                 i = bisect.bisect_left(ends, a + 1)
@@ -104,25 +111,6 @@ class Scanner:
         return sorted(out, key=lambda x: (x[1], x[2], x[0], x[3]))
 
 
-def _edits(part: str, text: str, most: int) -> list[tuple[int, int]]:
-    """``(length, edits)`` of the heads of ``text`` that end with a word and are at most ``most`` edits from ``part``.
-    ``text`` is ``most + 1`` characters longer than ``part``, or ends with the document."""
-    stops = [j for j in range(max(0, len(part) - most), min(len(text), len(part) + most) + 1) if j == len(text) or text[j] == " "]
-    if not stops:
-        return []
-    beyond = most + 1
-    row = [min(j, beyond) for j in range(len(text) + 1)]
-    for i, c in enumerate(part, 1):  # only the band of ``most`` about the diagonal can stay within it
-        lo, hi = max(1, i - most), min(len(text), i + most)
-        new = [beyond] * len(row)
-        if i <= most:
-            new[0] = i
-        for j in range(lo, hi + 1):
-            new[j] = min(row[j - 1] + (c != text[j - 1]), row[j] + 1, new[j - 1] + 1, beyond)
-        row = new
-    return [(j, row[j]) for j in stops if row[j] <= most]
-
-
 def exact(text: bytes) -> list[tuple[str, int]]:
     """``(label, first word)`` of all base phrases in a normal form."""
     out, padded = [], b" " + text + b" "
