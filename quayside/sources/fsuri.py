@@ -83,10 +83,31 @@ def azure_options(settings: dict[str, str], root: str) -> tuple[str, dict]:
     if domain and not domain.endswith(_AZURE_DOMAIN):
         out["dfs_storage_authority"] = f".{domain}"
         out["blob_storage_authority"] = "." + re.sub(r"^dfs\.", "blob.", domain)
-    key = settings.get(f"fs.azure.account.key.{host}") or settings.get("fs.azure.account.key")
-    if key:
-        out["account_key"] = key
-    return container, out
+    return container, out | _azure_login(settings, host)
+
+
+def _azure_login(settings: dict[str, str], host: str) -> dict:
+    """The login that ``fs.azure.account.auth.type`` names: an account key, OAuth by client credentials or managed identity, or
+    a fixed SAS token. Refuses what pyarrow cannot do, rather than try another login than Spark's."""
+
+    def get(name: str) -> str | None:
+        return settings.get(f"{name}.{host}") or settings.get(name)
+
+    kind, key = (get("fs.azure.account.auth.type") or "SharedKey").lower(), get("fs.azure.account.key")
+    if kind == "sharedkey":
+        return {"account_key": key} if key else {}
+    if kind == "sas" and get("fs.azure.sas.fixed.token"):
+        return {"sas_token": get("fs.azure.sas.fixed.token").lstrip("?")}
+    if kind == "oauth":
+        provider = (get("fs.azure.account.oauth.provider.type") or "").rpartition(".")[2]
+        client, secret = get("fs.azure.account.oauth2.client.id"), get("fs.azure.account.oauth2.client.secret")
+        tenant = re.search(r"//[^/]+/([^/]+)/oauth2", get("fs.azure.account.oauth2.client.endpoint") or "")
+        if provider == "ClientCredsTokenProvider" and client and secret and tenant:
+            return {"tenant_id": tenant[1], "client_id": client, "client_secret": secret}
+        if provider == "MsiTokenProvider":
+            return {"client_id": client} if client else {}
+        raise ValueError(f"cannot log in to {host!r} by OAuth provider {provider!r} with these fs.azure.account.oauth2 settings")
+    raise ValueError(f"cannot log in to {host!r} with fs.azure.account.auth.type {get('fs.azure.account.auth.type')!r}")
 
 
 class FileSystems:

@@ -263,3 +263,23 @@ def test_large_files_get_tasks_of_their_own(spark):
     assert len(large) == 3 and all(len(p) == 1 for p in large) and sum(map(len, parts)) == 60
     folders = [{r["lakehouse_path"].rsplit("/", 1)[0] for r in p} for p in parts if p not in large]
     assert sum(len(f) for f in folders) <= 4 + len(folders)
+
+
+def test_azure_logins():
+    root, host = "abfss://ws@one.dfs.core.windows.net/", "one.dfs.core.windows.net"
+    creds = {
+        f"fs.azure.account.auth.type.{host}": "OAuth",
+        "fs.azure.account.oauth.provider.type": "org.apache.hadoop.fs.azurebfs.oauth2.ClientCredsTokenProvider",
+        "fs.azure.account.oauth2.client.id": "app", f"fs.azure.account.oauth2.client.secret.{host}": "secret",
+        "fs.azure.account.oauth2.client.endpoint": "https://login.example/tenant-1/oauth2/token", "fs.azure.account.key": "unused",
+    }
+    name = {"account_name": "one"}
+    assert azure_options(creds, root) == ("ws", name | {"tenant_id": "tenant-1", "client_id": "app", "client_secret": "secret"})
+    msi = creds | {"fs.azure.account.oauth.provider.type": "x.MsiTokenProvider"}
+    assert azure_options(msi, root) == ("ws", name | {"client_id": "app"})
+    sas = {"fs.azure.account.auth.type": "SAS", "fs.azure.sas.fixed.token": "?sv=1"}
+    assert azure_options(sas, root) == ("ws", name | {"sas_token": "sv=1"})
+    for bad in ({"fs.azure.account.auth.type": "Custom"}, {"fs.azure.account.auth.type": "SAS"}, creds | {"fs.azure.account.oauth2.client.endpoint": "?"},
+                creds | {"fs.azure.account.oauth.provider.type": "x.RefreshTokenBasedTokenProvider"}):
+        with pytest.raises(ValueError, match="cannot log in"):
+            azure_options(bad, root)
