@@ -9,7 +9,7 @@ from tests.llm.conftest import awkward_rows, frame, prose
 
 
 def toks(text):
-    return re.findall(r"[^\W_]+", (text or "").lower())
+    return re.findall(r"[\u3040-\u30ff\u4e00-\u9fff\u0e01-\u0e30\u0e32\u0e33\u0e40-\u0e46]|(?:(?![\u3040-\u30ff\u4e00-\u9fff\u0e01-\u0e30\u0e32\u0e33\u0e40-\u0e46])[^\W_])+", (text or "").lower())
 
 
 def brute(rows, items):
@@ -19,9 +19,9 @@ def brute(rows, items):
         for item, text in items:
             s = toks(text)
             w = min(len(s), dc.WINDOW)
-            if w < dc.MIN_TOKENS:
+            if not w:
                 continue
-            need = dc.NEEDED if w == dc.WINDOW else w
+            need = dc.NEEDED if w == dc.WINDOW else w - 1 if w >= 8 else w
             best = max(
                 ((n, -i) for i in range(len(t) - w + 1) for j in range(len(s) - w + 1) if (n := sum(a == b for a, b in zip(t[i : i + w], s[j : j + w]))) >= need),
                 default=None,
@@ -65,6 +65,40 @@ def test_planted_leaks(spark, monkeypatch, block):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((r[0] for r in rows if r[0] not in bad), key=str)
 
 
+@pytest.mark.parametrize("n", range(8, 13))
+def test_short_masks_cover_every_substitution(n):
+    for place in range(n):
+        assert any(place not in {first + k for k in mask} for mask, first in dc.short_masks(n))
+
+
+def test_short_items(spark):
+    """Every length below a window, with none to two substitutions; scripts without spaces; one word."""
+    rng = random.Random(9)
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in range(1, 13)] + [(50, "东京是日本的首都吗请回答我的问题"), (51, "สวัสดี"), (52, "東京"), (53, "tiny one")]
+    items += [(60, "w9x0 w9x1 w9x2 w9x3 w9x4 w9x5 w9x6 w9x7 w9x8")]  # the same tokens as another item's
+    rows = awkward_rows()
+    for k in range(150):
+        item = rng.choice(items)[1]
+        s = item.split() if " " in item else list(item) if k % 2 else [item]
+        for _ in range(k % 3):
+            s[rng.randrange(len(s))] = "另" if len(s[0]) == 1 else "other"
+        sep = "" if all(len(x) == 1 for x in s) else " "
+        rows.append((100 + k, prose(k, rng.randrange(5)) + " " + sep.join(s) + " " + prose(k + 1, rng.randrange(5)), "en", "a", 0))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = {(r["doc_id"], r["item_id"]): (r["n_equal"], -r["first_token"]) for r in dc.leaks(frame(spark, rows), bench).collect()}
+    assert out == brute(rows, items) and {i for _, i in out} >= {1, 7, 8, 9, 12, 50, 52, 53, 60}
+    least = dc.leaks(frame(spark, rows), bench, min_tokens=5).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in least} == {(d, i) for d, i in out if len(toks(dict(items)[i])) >= 5}
+
+
+def test_columns_named_as_ours_come_back_unchanged(spark):
+    item = prose(1, 20)
+    rows = [(1, item, "en", "a", 0), (2, prose(2, 30), "en", "a", 0)]
+    df = frame(spark, rows).selectExpr("*", "'l' AS _leak_id", "'i' AS _id", "'h' AS _HASH", "'b' AS _bad_id")
+    kept = dc.clean(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert kept.columns == df.columns and [(r["doc_id"], r["_leak_id"], r["_id"], r["_HASH"], r["_bad_id"]) for r in kept.collect()] == [(2, "l", "i", "h", "b")]
+
+
 def test_empty_tables(spark, awkward, nothing):
     none = spark.createDataFrame([], "item_id long, text string")
     one = spark.createDataFrame([(1, prose(1, 20))], "item_id long, text string")
