@@ -1,7 +1,7 @@
 """Quality classifier by supervised subword embeddings.
 
 A document is the average of learned vectors, one for each hashed feature: every
-word, the word repeating the one before it, and the byte 3-grams and 5-grams of
+word, the word repeating the one before it, and the 3-grams and 5-grams of characters (code points) of
 every word with a space at either end. A softmax over two outputs reads the average.
 Vectors and outputs are trained together by stochastic gradient descent in numpy, on a
 sample of at most ``SAMPLE_EACH`` labelled rows of either label; outputs are corrected
@@ -11,7 +11,9 @@ a document's score is one pass over its bytes, without a shuffle.
 
 A training column with one label only (or none) gives the share of label 1 as every
 score (0.5 without rows). Nulls: a null text is empty and scores by the bias alone; a
-null doc_id is not held out and not trained on. Empty tables give no rows.
+null doc_id is not held out and not trained on. Repeated rows get equal scores; a score equal to the threshold
+predicts 1. Very long texts are scored whole, and up to 16 of either label are trained on whole besides the
+sample of shorter ones. Empty tables give no rows. Of the input only the named columns are read: others cannot clash.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.common import SPACE, pick, steps, table, text_bytes, word_hashes, word_spans
+from quayside.llm.common import SPACE, mix64, pick, steps, table, text_bytes, word_hashes, word_spans
 from quayside.llm.learning import fold, labelled_sample
 
 BUCKETS = 1 << 16
@@ -42,20 +44,30 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (1 + (h >> np.uint64(20)) % np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
-def _grams(buf: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and buckets of the n-grams whose inner bytes are no white space."""
-    if len(buf) < n:
+def _characters(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each character of UTF-8 bytes begins, and its bytes as one number."""
+    at = np.flatnonzero((buf & 0xC0) != 0x80)
+    code, size = buf[at].astype(np.uint64), np.diff(np.append(at, len(buf)))
+    for k in range(1, 4):
+        more = np.flatnonzero(size > k)
+        code[more] = code[more] << np.uint64(8) | buf[at[more] + k]
+    return at, code
+
+
+def _grams(code: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and buckets of the n-grams of characters of which the inner ones are no white space."""
+    if len(code) < n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inner = ~SPACE[buf]
-    ok = inner[1 : len(buf) - n + 2].copy()
+    inner = ~SPACE[np.minimum(code, 255).astype(np.uint8)]
+    ok = inner[1 : len(code) - n + 2].copy()
     for k in range(2, n - 1):
-        ok &= inner[k : len(buf) - n + 1 + k]
-    at = np.flatnonzero(ok[: len(buf) - n + 1])
-    plain = np.where(inner, buf, 32).astype(np.uint64)
-    h = np.zeros(len(at), np.uint64)
+        ok &= inner[k : len(code) - n + 1 + k]
+    at = np.flatnonzero(ok[: len(code) - n + 1])
+    plain = np.where(inner, code, np.uint64(32))
+    h = np.full(len(at), n, np.uint64)
     for k in range(n):
-        h = (h << np.uint64(8)) | plain[at + k]
-    return at, _bucket(h * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n * 0xC2B2AE3D27D4EB4F & (2**64 - 1)))
+        h = mix64((h + plain[at + k]) * np.uint64(0x9E3779B97F4A7C15))
+    return at, _bucket(h)
 
 
 def features(buf: np.ndarray, offs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -73,9 +85,10 @@ def features(buf: np.ndarray, offs: np.ndarray) -> Iterator[tuple[np.ndarray, np
     padded[np.arange(len(buf)) + shift] = buf
     begins = offs + np.arange(n + 1)
     for lo in range(0, len(padded), _SLICE):
-        part = padded[lo : lo + _SLICE + 4]
+        where, code = _characters(padded[lo : lo + _SLICE + 24])  # a 5-gram ends within 20 bytes
         for size in (3, 5):
-            at, bucket = _grams(part, size)
+            at, bucket = _grams(code, size)
+            at = where[at]
             keep = at < _SLICE
             at, bucket = at[keep] + lo, bucket[keep]
             yield np.minimum(np.searchsorted(begins, at, "right") - 1, n - 1), bucket
