@@ -12,7 +12,9 @@ the limit are joined back. A host or line that holds a third of all rows is
 spread by the (host, line) key and by partial counts.
 
 Nulls: a null text has no words (and fails the base rule), a null host is a host
-of its own, a null doc_id passes through. Empty tables give no rows.
+of its own, a null doc_id passes through. Repeated rows are documents each by itself; a document with exactly
+the limits stays. Very long texts are read whole. Empty tables give no rows. Of the input only the named columns
+are read: others cannot clash.
 """
 
 from __future__ import annotations

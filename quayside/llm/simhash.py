@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import pick, run_dir, staged, steps, table, text_bytes
 from quayside.llm.components import components
+from quayside.llm.names import unused
 
 SEED = 42
 #: Fingerprints that live at one anchor before it is split.
@@ -214,16 +215,20 @@ def one_of_each(docs: DataFrame, width: int = 3, most: int = 3, busy: int = BUSY
     rows = prints.groupBy("fp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     rows = rows.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "n")).alias("r")
-    keep = rows.groupBy("root").agg(first).select(F.col("r.doc_id").alias("_keep_id"), F.col("r.text_hash").alias("_keep_text"), F.col("r.n").alias("_keep_n"))
-    keep = staged(spark, keep, f"{path}/keep")
-    same = F.col("`doc_id`").cast("long").eqNullSafe(F.col("_keep_id")) & (F.xxhash64(F.col("`text`").cast("string")) == F.col("_keep_text"))
-    kept = docs.join(keep, same)
-    if not keep.filter("_keep_n > 1").limit(1).count():
-        return kept.select(docs["*"])
-    turn = F.row_number().over(Window.partitionBy("_keep_id", "_keep_text").orderBy(F.lit(0)))
-    repeated = kept.filter("_keep_n > 1").withColumn("_keep_turn", turn).filter("_keep_turn = 1")
+    new = unused(docs, "keep_id", "keep_text", "keep_n", "share", "turn")
+    chosen = [F.col(f"r.{c}").alias(new[k]) for k, c in (("keep_id", "doc_id"), ("keep_text", "text_hash"), ("keep_n", "n"))]
+    keep = staged(spark, rows.groupBy("root").agg(first).select(*chosen), f"{path}/keep")
+    same = F.col("`doc_id`").cast("long").eqNullSafe(F.col(new["keep_id"])) & (F.xxhash64(F.col("`text`").cast("string")) == F.col(new["keep_text"]))
+    kept, n = docs.join(keep, same), F.col(new["keep_n"])
     names = [F.col(f"`{c}`") for c in docs.columns]
-    return kept.filter("_keep_n = 1").select(*names).union(repeated.select(*names))
+    if not keep.filter(n > 1).limit(1).count():
+        return kept.select(*names)
+    repeated = kept.filter(n > 1)
+    for share in (F.pmod(F.monotonically_increasing_id(), F.lit(64)), F.lit(0)):  # one row may be a third of all: first one of each share
+        repeated = repeated.withColumn(new["share"], share)
+        one = F.row_number().over(Window.partitionBy(new["keep_id"], new["keep_text"], new["share"]).orderBy(F.lit(0)))
+        repeated = repeated.withColumn(new["turn"], one).filter(F.col(new["turn"]) == 1).drop(new["turn"])
+    return kept.filter(n == 1).select(*names).union(repeated.select(*names))
 
 
 def q_op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,8 +17,10 @@ either label; scoring is one pass over all whole texts, without a shuffle.
 
 With one label only (or none) every score is the share of label 1 (0.5 without rows).
 Nulls: a null text is empty, without tokens; such documents score as if all their
-marginals were 0. A null doc_id is neither held out nor trained on. Empty tables
-give no rows.
+marginals were 0. A null doc_id is neither held out nor trained on. Repeated rows get equal scores; a score equal to
+the threshold predicts 1 and is rejected. Very long texts are scored whole, and up to 16 of either label are trained on
+whole besides the sample of shorter ones. Empty tables give no rows. ``toxicity`` reads only doc_id and text,
+``without_toxic`` returns all columns unchanged whatever their names.
 """
 
 from __future__ import annotations
