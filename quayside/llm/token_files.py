@@ -23,8 +23,6 @@ doc_id follow each other in the order of their text hashes. Empty tables write n
 
 from __future__ import annotations
 
-import json
-import re
 import struct
 import uuid
 import zlib
@@ -37,14 +35,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.common import pick, run_dir, staged, steps, table, text_bytes
+from quayside.llm.word_ids import WordIds, remembered
 from quayside.sources.fsuri import FileSystems
 
 MAGIC = b"DACTOK1\0"
 CHUNK_BITS = 8
 RANK_BITS = 512
 FILE_TOKENS = 16 << 20
-#: Distinct words of a generation whose ids a task remembers (two generations of words, two of their pieces).
-CACHE_WORDS = 300_000
 END_ID = 2
 
 _MANIFEST = "shard int, part int, file string, n_tokens long, n_docs long"
@@ -57,90 +54,6 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-# ---------------------------------------------------------------- encoding words
-class _Recent(dict):
-    """A memory of two generations: what is used stays, the rest is forgotten after ``most`` newer entries."""
-
-    def __init__(self, most: int):
-        super().__init__()
-        self.most, self.older = most, {}
-
-    def unknown(self, keys) -> list:
-        """Which of the distinct keys must be learnt; the older generation's are taken over."""
-        if len(self) > self.most:
-            self.older = dict(self)
-            self.clear()
-        out = []
-        for k in keys:
-            if k not in self:
-                v = self.older.get(k)
-                if v is None:
-                    out.append(k)
-                else:
-                    self[k] = v
-        return out
-
-
-class WordIds:
-    """Ids of texts by way of their words. The tokenizer treats words apart from each other (its
-    pre-tokenizer drops white space), so a distinct word is encoded once: plain Latin letters as their
-    lower-case stem, ASCII punctuation behind them as a token run of its own, every other word as it stands.
-    Ids are held as little-endian 32-bit integers."""
-
-    LINE = re.compile("^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)|(.+))$", re.M)
-    #: Pieces given to the tokenizer at once; it slows down on longer texts.
-    AT_ONCE = 128
-
-    def __init__(self, tokenizer_json: str, end_id: int = END_ID, most: int = CACHE_WORDS):
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.end = Tokenizer.from_str(tokenizer_json), struct.pack("<I", end_id)
-        # pieces are lower case, composed, and one pre-token each already: the same model without the steps that see to it
-        plain = json.loads(tokenizer_json)
-        if [n["type"] for n in plain["normalizer"]["normalizers"]] != ["NFC", "Replace", "Lowercase"]:
-            raise ValueError("written for a tokenizer that composes, folds white space and lowers case")
-        last = plain["pre_tokenizer"]["pretokenizers"][-1]
-        plain |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, last]}}
-        self.model = Tokenizer.from_str(json.dumps(plain))
-        self.words, self.pieces = _Recent(most), _Recent(most)
-
-    def _encode(self, pieces: list[str]) -> None:
-        """All at once where each is one pre-token; else one by one."""
-        enc = self.model.encode(" ".join(pieces), add_special_tokens=False)
-        ids, word = enc.ids, enc.word_ids
-        if word and word[-1] == len(pieces) - 1 and None not in word:
-            cuts = np.searchsorted(np.array(word), np.arange(len(pieces) + 1)).tolist()
-            data = np.array(ids, "<u4").tobytes()
-            self.pieces.update((p, data[4 * a : 4 * b]) for p, a, b in zip(pieces, cuts, cuts[1:]))
-        else:
-            for p in pieces:
-                self.pieces[p] = self._alone(p)
-
-    def _alone(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, new: list[bytes]) -> None:
-        if not new:
-            return
-        found = self.LINE.findall(b"\n".join(new).decode())
-        stems = "\n".join([f[0] for f in found]).lower().split("\n")
-        todo = self.pieces.unknown(({*stems} | {f[1] for f in found}) - {""})
-        for a in range(0, len(todo), self.AT_ONCE):
-            self._encode(todo[a : a + self.AT_ONCE])
-        words, pieces = self.words, self.pieces
-        for word, stem, (_, tail, odd) in zip(new, stems, found, strict=True):
-            words[word] = self._alone(odd) if odd else pieces[stem] + pieces[tail] if tail else pieces[stem]
-
-    def ids(self, data: bytes, offs: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all documents, each with the end id, and where each document starts."""
-        docs = [data[a:b].split() for a, b in zip(offs, offs[1:])]
-        self._learn(self.words.unknown(set().union(*docs)))
-        known = self.words.__getitem__
-        parts = [b"".join(map(known, words)) + self.end for words in docs]
-        starts = np.concatenate(([0], np.cumsum([len(p) // 4 for p in parts])))
-        return np.frombuffer(b"".join(parts), "<u4"), starts
-
-
 # ---------------------------------------------------------------- the file format
 def dac_encode(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(chunks, bitmap, ranks)`` of each level."""
@@ -215,11 +128,21 @@ class Shard:
     def document(self, k: int) -> np.ndarray:
         return self.range(int(self.starts[k]), int(self.starts[k + 1]))
 
+    def documents(self, at_once: int = 1 << 20) -> Iterator[memoryview]:
+        """The bytes of each document's ids, in order; ranges of about ``at_once`` tokens are followed down together."""
+        k = 0
+        while k < self.n_docs:
+            end = max(k + 1, int(np.searchsorted(self.starts, self.starts[k] + at_once, "right")) - 1)
+            cuts = (4 * (self.starts[k : end + 1] - self.starts[k])).tolist()
+            data = memoryview(self.range(int(self.starts[k]), int(self.starts[end])).astype("<u4")).cast("B")
+            yield from (data[a:b] for a, b in zip(cuts, cuts[1:]))
+            k = end
+
 
 # ---------------------------------------------------------------- Spark jobs
 def _write(folder: str, tokenizer, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, files = WordIds(tokenizer.value, end_id), FileSystems()
+        words, files = remembered(WordIds, tokenizer.value, end_id), FileSystems()
         shard, part = TaskContext.get().partitionId(), 0
         ids, sizes, doc_ids, held = [], [], [], 0
 
@@ -274,7 +197,7 @@ def _read(folder: str):
                     shard = Shard(f.read_buffer())
                 if (shard.n_tokens, shard.n_docs) != (row["n_tokens"], row["n_docs"]):
                     raise OSError(f"{row['file']} is not what the manifest says")
-                crcs = [zlib.crc32(shard.document(k).astype("<u4").tobytes()) for k in range(shard.n_docs)]
+                crcs = [zlib.crc32(ids) for ids in shard.documents()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(shard.doc_ids, pa.int64()), pa.array(row["start"] + shard.starts[:-1]),

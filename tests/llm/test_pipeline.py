@@ -4,6 +4,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from quayside.llm import queries, toxicity
 from quayside.llm.common import table
+from tests.llm.conftest import awkward_rows, frame
 from tests.llm.test_decontaminate import brute as leaks_of
 
 SF = "/root/testdata/sf0.001"
@@ -31,7 +32,30 @@ def test_run(spark):
     assert out and sum(r["n_tokens"] for r in out) == max(r["start"] + r["n_tokens"] for r in out)
 
 
+def written(spark, tmp_path, docs):
+    """A folder of tables whose documents are ``docs``."""
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        table(spark, SF, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_awkward_repeated_and_empty_tables(spark, tmp_path):
+    rows = awkward_rows() + [(50, "the same row again and again", "en", "hot", 5)] * 60
+    extra = "'i' AS _leak_id", "'m' AS _mix_hash", "'k' AS _keep_id", "'u' AS _id", "'n' AS _turn", "'s' AS _share"
+    for k, docs in enumerate((frame(spark, rows).selectExpr("*", *extra), frame(spark, [], 1))):
+        path = written(spark, tmp_path / str(k), docs)
+        out = corpus_pipeline.run(spark, path).collect()
+        assert sorted(out[0].asDict() if out else []) == (["doc_id", "ids_crc32", "n_tokens", "start"] if k == 0 else [])
+        assert {r["doc_id"] for r in out} <= {r[0] for r in rows}
+    for _, stage in corpus_pipeline.STAGES[:-1]:  # columns come back as they were
+        df = frame(spark, rows).selectExpr("*", *extra)
+        kept = stage(spark, df, SF)
+        assert kept.columns == df.columns
+        assert {tuple(r) for r in kept.select("_leak_id", "_mix_hash", "_keep_id", "_id", "_turn", "_share").collect()} <= {("i", "m", "k", "u", "n", "s")}
+
+
 def test_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())

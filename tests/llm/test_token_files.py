@@ -22,6 +22,8 @@ def test_codes_round_trip(n, top):
     for a, b in ((0, 0), (n // 2, n), (n // 4, n // 2), (n, n)):
         assert shard.range(a, b).tolist() == ids[a:b].tolist()
     assert [len(shard.document(k)) for k in range(3)] == [n // 3, 0, n - n // 3]
+    for at_once in (1, n // 3 + 1, 1 << 20):
+        assert [bytes(d) for d in shard.documents(at_once)] == [shard.document(k).astype("<u4").tobytes() for k in range(3)]
     with pytest.raises(IndexError):
         shard.range(0, n + 1)
 
@@ -38,7 +40,7 @@ def test_words_encode_as_whole_texts_do(tokenizer):
         "Don't you'LL we've it'S 's 'tis", "A.B,C;D!!! (x) [y] {z} #$% &&& ***", "ÀÉÎ ÿ Œ ß ẞ İ ı Å Å éx", "日本語 テスト 한국어 עברית",
         "a b c d　e \x1c \x85 x", "12 345 6a7 ½ ² Ⅷ", "x_y __ _a_ a-b--c", "<|startoftext|>hi<|endoftext|> <|x|>", "​ ﻿ \u0000 \x7f", "µ ª º ƒ Ǆ ǅ",
     ]
-    words = tf.WordIds(tokenizer.to_str())
+    words = tf.WordIds(tokenizer.to_str(), tf.END_ID)
     data = [t.encode() for t in texts]
     offs = np.concatenate(([0], np.cumsum([len(d) for d in data]))).tolist()
     for _ in range(2):  # the second time from memory
@@ -49,7 +51,7 @@ def test_words_encode_as_whole_texts_do(tokenizer):
 
 def test_forgetting_changes_nothing(tokenizer):
     data = prose(9, 500).encode()
-    big, small = tf.WordIds(tokenizer.to_str()), tf.WordIds(tokenizer.to_str(), most=10)
+    big, small = tf.WordIds(tokenizer.to_str(), tf.END_ID), tf.WordIds(tokenizer.to_str(), tf.END_ID, most=10)
     for _ in range(3):
         a, b = (w.ids(data, [0, 100, len(data)])[0].tolist() for w in (big, small))
         assert a == b
