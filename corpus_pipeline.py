@@ -1,4 +1,13 @@
-"""A training-data pipeline over ``documents``: each stage's rows are written and read by the next."""
+"""A training-data pipeline over ``documents``: each stage's rows are written and read by the next.
+
+Toxic documents go; of each group of SimHash near-copies the smallest doc_id stays; documents that leak a benchmark item
+go; sources are mixed to their targets, documents repeated as often as they are taken; the rest is written as token ids.
+
+Nulls: a null text counts as empty, a null doc_id is a name like any other (last among near-copies, first in the files).
+Empty texts are near-copies of each other, and the mix takes none of them (they have no words). Repeated rows are near-copies: one
+stays. Ties and very long texts are treated as each stage's module says, whole. An empty table gives no rows. All columns of the
+input but the last stage's come through unchanged, whatever their names.
+"""
 
 from __future__ import annotations
 
