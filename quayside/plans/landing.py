@@ -66,6 +66,7 @@ class LandingConfig:
     factor: int = BYTES_PER_MIB
     glob: str | None = None
     listing: str = "distributed"  # tree walked on the executors; 'binaryFile': Spark's driver-side file index
+    pages: Callable | None = None  # lists a range of a directory's names in order (see list_files), for flat folders of object stores
     retry_failed: bool = False
     on_unmapped: str = "fail"  # 'fail' raises before copying; 'reject' sets them apart
     on_collision: str = "fail"  # 'fail' raises when two sources share a landing path, also across runs; 'allow'
@@ -120,7 +121,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
     dirs_listed, vanished = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
     inventory = extract_inventory(
         spark, cfg.source, cfg.factor, glob=cfg.glob, listing=cfg.listing, staging_dir=run_dir, dir_counter=dirs_listed,
-        vanished=vanished,
+        vanished=vanished, pages=cfg.pages,
     )
     if cfg.listing != "distributed":  # the distributed listing is staged by itself
         inventory.write.mode("errorifexists").parquet(f"{run_dir}/listing")
