@@ -39,15 +39,21 @@ def target_collisions(pending: DataFrame) -> DataFrame:
     )
 
 
-def claimed_targets(pending: DataFrame, manifest: DataFrame, ledger: DataFrame) -> DataFrame:
+#: Pending rows whose landing paths are broadcast.
+FEW_PENDING = 20_000
+
+
+def claimed_targets(pending: DataFrame, manifest: DataFrame, ledger: DataFrame, n_pending: int | None = None) -> DataFrame:
     """Landing paths of pending files that more than one source claims, in the whole
     listing or by a landed row of the ledger: ``lakehouse_path, first_source,
     last_source`` (smallest and largest source path). Only paths that a pending file
-    would write are looked at; minima and maxima are partial before the shuffle."""
+    would write are looked at; minima and maxima are partial before the shuffle. ``n_pending``: how many rows are pending, where
+    the caller has counted them; up to ``FEW_PENDING`` their paths are broadcast, so neither claims nor paths are shuffled for the join."""
     claims = manifest.select("lakehouse_path", "source_path").union(
         ledger.filter(F.col("status") == STATUS_SUCCESS).select("lakehouse_path", "source_path")
     )
-    wanted = pending.select("lakehouse_path").distinct()
+    few = n_pending is not None and n_pending <= FEW_PENDING
+    wanted = F.broadcast(pending.select("lakehouse_path")) if few else pending.select("lakehouse_path").distinct()
     return (
         claims.join(wanted, "lakehouse_path", "left_semi")
         .groupBy("lakehouse_path")

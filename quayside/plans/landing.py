@@ -170,7 +170,7 @@ def run_landing(spark: SparkSession, cfg: LandingConfig) -> LandingResult:
         n -= n_unmapped
 
     if n and cfg.on_collision == "fail":
-        claims = claimed_targets(to_copy, manifest, landed)
+        claims = claimed_targets(to_copy, manifest, landed, n)
         claimed = claims.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("lakehouse_path", "first_source", "last_source")).alias("one")).first()
         stats["collisions"], first = claimed["n"], claimed["one"]
         if stats["collisions"]:
