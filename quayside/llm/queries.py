@@ -37,6 +37,5 @@ ORACLE_SQL = {
     "op8_mixing": ORACLE_OP8,
     "op9_quality_rules": ORACLE_OP9,
     "op11_fill_in_middle": ORACLE_OP11,
-    "op12_packing": q_op12_packing,
     "op13_merkle_manifest": ORACLE_OP13,
 }

@@ -59,3 +59,4 @@ def test_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
     assert numbers == list(range(1, 14)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert all(isinstance(sql, str) for sql in entry.oracle_sql().values()) and all(map(callable, entry.queries().values()))
