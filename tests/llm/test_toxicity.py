@@ -58,6 +58,13 @@ def test_held_out_rows_are_told_apart(spark):
     assert wrong == 0
 
 
+def test_held_out_rows_at_a_larger_size(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = tx.q_op5_toxicity(spark, sf).join(table(spark, sf, "labels"), "doc_id").filter("held_out").select("predicted", "toxic").collect()
+    caught, rejected = ([r["predicted"] for r in rows if r["toxic"] == k] for k in (1, 0))
+    assert sum(caught) >= 0.9 * len(caught) and sum(rejected) <= 0.05 * len(rejected)
+
+
 def test_spans_point_at_the_words(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     model = tx.train(docs, labels)
