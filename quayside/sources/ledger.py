@@ -28,7 +28,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -205,11 +205,14 @@ def ledger_table_schema(spark: SparkSession, ledger: Ledger) -> StructType:
     return read_ledger(spark, ledger).schema
 
 
+def null_counts(df: DataFrame) -> Row:
+    """Rows (``n``) and NULLs in the ledger's NOT NULL columns, in one aggregate pass."""
+    return df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in LEDGER_NOT_NULL]).first()
+
+
 def null_violations(df: DataFrame) -> dict[str, int]:
-    """Counts of NULLs in the ledger's NOT NULL columns, in one aggregate pass."""
-    row = df.agg(
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in LEDGER_NOT_NULL]
-    ).first()
+    """Counts of NULLs in the ledger's NOT NULL columns."""
+    row = null_counts(df)
     return {c: row[c] for c in LEDGER_NOT_NULL if row[c]}
 
 
@@ -230,11 +233,12 @@ def append_ledger(
     cheap scan), not a lazy copy plan: it is evaluated by the check and by the
     write. ``run_id`` names the append in a ledger in runs: the same one twice appends once.
     """
-    n = audit.count() if row_count is None else row_count
+    counts = null_counts(audit) if check_nulls and row_count != 0 else None
+    n = row_count if row_count is not None else counts["n"] if counts else audit.count()
     if n == 0:
         return 0
-    if check_nulls:
-        bad = null_violations(audit)
+    if counts:
+        bad = {c: counts[c] for c in LEDGER_NOT_NULL if counts[c]}
         if bad:
             raise ValueError(f"audit rows violate NOT NULL ledger columns: {bad}")
     target = ledger_table_schema(spark, ledger)

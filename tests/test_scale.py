@@ -22,3 +22,20 @@ def test_appends_of_the_stand_in_ledger_are_sized_by_their_rows(spark, monkeypat
     monkeypatch.setattr(entry, "append_ledger", lambda s, rows, *a, **k: (seen.append((k["row_count"], rows.count())), append(s, rows, *a, **k))[1])
     entry._runs_ledger(spark, entry.SMOKE_DIR, "sized")
     assert len(seen) == 5 and all(given == there > 1 for given, there in seen)
+
+
+def test_an_append_counts_in_one_pass(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def once(batches):
+        for pdf in batches:
+            reads.add(len(pdf))
+            yield pdf
+
+    ledger = ledgers.Ledger(path=f"{tmp_path}/ledger", layout="runs")
+    ledgers.ensure_ledger(spark, ledger)
+    audit = copying.audit_records(pending(spark, [("s", 0.1, "t")]).withColumn("source_modified_at", F.current_timestamp()))
+    audit = audit.mapInPandas(once, audit.schema)
+    assert ledgers.append_ledger(spark, audit, ledger, run_id="r") == 1
+    assert reads.value == 2  # count and check, write
+    assert ledgers.read_ledger(spark, ledger).count() == 1
