@@ -36,7 +36,7 @@ follows the depth of the deepest tree, not the number of matches.
 A flat directory is not one task's work either. On a local (or mounted) disk its
 names are streamed; beyond ``page_limit`` of them the task keeps a thinned sample of names, no
 entries, and leaves ranges ``(after, until]`` of the name space for the next round, whose
-tasks stat only what is in their range. For stores that list keys in order from a given
+tasks stat only what is in their range; each of them streams all names, so there are only as many ranges as cores. For stores that list keys in order from a given
 key on, ``pages`` does the same: a task takes ``page_limit`` keys of a range and leaves the
 rest as ranges for each further character at the places where keys differ. pyarrow itself
 has no such call: without ``pages`` one directory of an object store or HDFS is
@@ -71,6 +71,8 @@ _DIR_BUDGET = 256
 _WAVE = 16
 # Entries of one directory that a task takes before it leaves ranges of names to others.
 PAGE_LIMIT = 20_000
+# Names of a flat directory that are kept at least to cut its ranges evenly, where it has that many.
+_SAMPLE = 20_000
 
 
 def name_ranges(first: str, last: str, until: str | None) -> list[tuple[str, str | None]]:
@@ -108,7 +110,7 @@ def local_entries(path: str, after: str | None, until: str | None, limit: int, f
                 n += 1
                 if n % step == 0:
                     names.append(e.name)
-                    if len(names) > 4 * limit:
+                    if len(names) > max(4 * limit, _SAMPLE):
                         names, step = names[::2], 2 * step
             names.sort()
             parts = max(2, min(-(-2 * n // limit), fanout))
@@ -336,7 +338,7 @@ def list_files(
     cores_cap = max_tasks or 4 * spark.sparkContext.defaultParallelism
     frontier = spark.createDataFrame([(d, None, None) for d in dirs], "dir string, after string, until string")
     name_pattern = glob_pattern(spark, glob) if glob else None
-    run = _lister(name_pattern, budget, dir_counter, dir_budget, threads, settings, vanished, page_limit, cores_cap, pages)
+    run = _lister(name_pattern, budget, dir_counter, dir_budget, threads, settings, vanished, page_limit, max_tasks or spark.sparkContext.defaultParallelism, pages)
     n_dirs, level = len(dirs), 0
     while n_dirs:
         out = f"{staging_dir}/level-{level:05d}"

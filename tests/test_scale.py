@@ -17,6 +17,23 @@ from tests.conftest import write_file
 from tests.test_placement import content, pending, tree
 
 
+def test_a_flat_folder_is_cut_evenly(tmp_path):
+    for k in range(1_200):
+        write_file(f"{tmp_path}/d/{k:05d}.txt", b"x")
+    ranges = list(listing.local_entries(f"{tmp_path}/d", None, None, 100, 8))
+    sizes = [len(list(listing.local_entries(f"{tmp_path}/d", a, b, 100, 8))) for _, a, b, _ in ranges]
+    assert len(sizes) == 8 and sum(sizes) == 1_200 and max(sizes) <= 151
+
+
+def test_a_flat_folder_has_a_range_for_each_core(spark, tmp_path):
+    for k in range(600):
+        write_file(f"{tmp_path}/d/{k:05d}.txt", b"x")
+    got = listing.list_files(spark, f"{tmp_path}/d", f"{tmp_path}/staged", page_limit=10)
+    assert got.count() == got.distinct().count() == 600
+    ranges = spark.read.parquet(f"{tmp_path}/staged/level-00000").filter("kind = 'dir'").count()
+    assert ranges == max(2, spark.sparkContext.defaultParallelism)
+
+
 def test_appends_of_the_stand_in_ledger_are_sized_by_their_rows(spark, monkeypatch):
     seen, append = [], entry.append_ledger
     monkeypatch.setattr(entry, "append_ledger", lambda s, rows, *a, **k: (seen.append((k["row_count"], rows.count())), append(s, rows, *a, **k))[1])
