@@ -4,8 +4,10 @@ Placement: a run of more than ``mb_per_task`` MiB is dealt by weight (``deal_by_
 the order of their target paths, a running sum of their weights (bytes, and a share for each file) is cut
 at equal steps, and every row goes to the task of its step, so neighbours in a folder meet in one task
 and no task holds more than its step and one file. Files of ``mb_per_task`` or more are tasks by themselves; onto a
-local or mounted disk they are copied in parts by several tasks (``operators/parts.py``). A smaller run is
-range-partitioned by target path, which costs no further job. Each task copies its files
+local or mounted disk they are copied in parts by several tasks (``operators/parts.py``). A smaller run, of up to
+``FEW_FILES`` files, is range-partitioned by target path, which costs no further job. Where ``mb_per_task`` makes more tasks than
+their bytes and files are worth (``task_limit``), neighbouring ones share a Spark task. Spark runs tasks in the order of their
+numbers: neighbours get numbers far apart, as creations and renames in one folder wait for each other. Each task copies its files
 with ``pyarrow.fs`` (server-side ``copy_file`` when source and target share a file
 system, a chunked stream otherwise), one at a time on a local disk and on a
 thread pool against HDFS or object stores, where copies wait on the network.
@@ -39,7 +41,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayside.operators.parts import copy_in_parts, local_target
+from quayside.operators.parts import copy_in_parts, local_target, task_limit
 from quayside.schema import MANIFEST_COLUMNS, STATUS_ERROR, STATUS_SUCCESS, audit_schema, ledger_schema
 from quayside.session import qualify
 from quayside.sources.fsuri import FileSystems, has_scheme, storage_settings
@@ -51,6 +53,8 @@ _CHUNK_BYTES = 8 * 1024 * 1024
 # Bytes (MiB) of a copy task; a file this large is one by itself.
 MB_PER_TASK = 2048.0
 FILES_PER_TASK = 2000
+# Files up to which a run of less than ``MB_PER_TASK`` is range-partitioned.
+FEW_FILES = 20_000
 # Further tries of a failed copy, and seconds before the first of them.
 RETRIES = 2
 RETRY_PAUSE = 0.2
@@ -376,6 +380,15 @@ def deal_by_bytes(
     return rows.select(*MANIFEST_COLUMNS, task.cast("int").alias("task")), int(max(1, steps + sizes["n_large"]))
 
 
+def apart(task: Column, n: int, limit: int) -> tuple[Column, int]:
+    """Which of at most ``limit`` Spark tasks one of ``n`` tasks belongs to, and how many those are: neighbours share one, and
+    those next to each other have numbers far apart."""
+    n_tasks = min(n, limit)
+    stride = next(k for k in range(max(1, round(n_tasks * 0.618)), n_tasks + 1) if math.gcd(k, n_tasks) == 1 or n_tasks == 1)
+    shared = F.floor(task.cast("long") * n_tasks / n) if n_tasks < n else task.cast("long")
+    return F.pmod(shared * stride, F.lit(n_tasks)).cast("int"), n_tasks
+
+
 def copy_files(
     spark: SparkSession,
     pending: DataFrame,
@@ -408,7 +421,7 @@ def copy_files(
         plan = copy_plan(pending, num_tasks, **more)
     else:
         row = sizes if sizes is not None and mb_per_task == MB_PER_TASK else pending.agg(*size_aggregates(mb_per_task=mb_per_task)).first()
-        if row["mb"] <= mb_per_task:
+        if row["mb"] <= mb_per_task and row["n_files"] <= FEW_FILES:
             plan = copy_plan(pending, plan_copy_tasks(spark, row["n_files"], row["mb"]), **more)
         else:
             in_parts = None
@@ -417,8 +430,10 @@ def copy_files(
                 options = {k: more[k] for k in ("relative_to", "counters", "settings", "root", "verify", "retries")}
                 in_parts = copy_in_parts(spark, pending.filter(large), f"{staging_dir}-parts", part_mb or mb_per_task / 4, **options)
                 pending = pending.filter(~large)
+                row = pending.agg(*size_aggregates(mb_per_task=mb_per_task)).first()
             dealt, n = deal_by_bytes(spark, pending, f"{staging_dir}-order", row, mb_per_task=mb_per_task)
-            plan = copy_plan(dealt, n, task="task", **more)
+            task, n = apart(F.col("task"), n, task_limit(spark, row["n_files"], row["mb"]))
+            plan = copy_plan(dealt.withColumn("task", task), n, task="task", **more)
             plan = plan if in_parts is None else plan.union(in_parts)
     plan.write.mode("errorifexists").parquet(staging_dir)
     return spark.read.schema(plan.schema).parquet(staging_dir)

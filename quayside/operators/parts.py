@@ -5,11 +5,15 @@ range of the source (from any store) and writes it into one hidden temporary fil
 all parts of a file checks that none is missing, that the length is the source's, and renames; otherwise it removes the
 temporary and the old target stays. Parts may be written again by a retried task: they are the same bytes at the same place.
 
+A Spark task takes one part where that gives no more tasks than their bytes are worth (``task_limit``); of smaller parts it takes
+several, those of one file being dealt round over the tasks.
+
 Object stores and HDFS have no such writes through ``pyarrow.fs``: there a huge file stays one task's stream.
 """
 
 from __future__ import annotations
 
+import math
 import sys
 import uuid
 
@@ -23,6 +27,9 @@ from quayside.sources.fsuri import FileSystems, has_scheme
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _CHUNK_BYTES = 8 * 1024 * 1024
+# MiB, and files or parts, that a Spark task is worth at least where there are many.
+_LEAST_MB = 64.0
+_LEAST_COPIES = 2000
 _PART_SCHEMA = "source_path string, lakehouse_path string, written long, error string"
 
 
@@ -38,6 +45,11 @@ def local_target(path: Column, relative_to: str, root: tuple[str, str] | None) -
     return F.coalesce(rest, F.lit(False))
 
 
+def task_limit(spark: SparkSession, n_copies: int, mb: float) -> int:
+    """Most Spark tasks for so many files or parts and MiB: their number grows with both, not with how finely they are cut."""
+    return max(128, 8 * spark.sparkContext.defaultParallelism, math.ceil(mb / _LEAST_MB + n_copies / _LEAST_COPIES))
+
+
 def copy_in_parts(
     spark: SparkSession,
     large: DataFrame,
@@ -50,7 +62,7 @@ def copy_in_parts(
     verify: str = "size",
     retries: int = 0,
 ) -> DataFrame:
-    """Copies the parts of every row of ``large``, one a task, and stages what became of them; returns the plan of the
+    """Copies the parts of every row of ``large``, by up to ``task_limit`` tasks, and stages what became of them; returns the plan of the
     completion, which gives the files' audit rows (each evaluation completes, so evaluate it once)."""
     token, part_bytes = uuid.uuid4().hex, max(1, int(part_mb * 1024 * 1024))
 
@@ -164,14 +176,17 @@ def copy_in_parts(
                 counters[1].add(len(done) - n_ok)
             yield out
 
-    # at most one row for each mb_per_task of the whole run: their order is one small task's
     earlier = Window.orderBy("source_path", "lakehouse_path").rowsBetween(Window.unboundedPreceding, -1)
     n_parts = F.ceil(F.col("source_size_mb") * 1024 * 1024 / part_bytes).cast("int")
     rows = large.select(*MANIFEST_COLUMNS, F.greatest(n_parts, F.lit(1)).alias("n_parts"))
-    total = rows.agg(F.sum("n_parts")).first()[0] or 1
-    each = rows.withColumn("first", F.coalesce(F.sum("n_parts").over(earlier), F.lit(0)))
+    total, mb = rows.agg(F.sum("n_parts"), F.sum("source_size_mb")).first()
+    total = total or 1
+    n_tasks = min(total, task_limit(spark, total, mb or 0.0))
+    # few parts are numbered (no more rows than tasks: one small task's work); of many, a file's first task is drawn by its name
+    first = F.coalesce(F.sum("n_parts").over(earlier), F.lit(0)) if total <= n_tasks else F.pmod(F.xxhash64("source_path", "lakehouse_path"), F.lit(n_tasks))
+    each = rows.withColumn("first", first)
     each = each.select("source_path", "lakehouse_path", "n_parts", "first", F.explode(F.expr("sequence(0, n_parts - 1)")).alias("part"))
-    dealt = each.repartitionById(int(total), (F.col("first") + F.col("part")).cast("int"))
+    dealt = each.repartitionById(int(n_tasks), F.pmod(F.col("first") + F.col("part"), F.lit(n_tasks)).cast("int"))
     dealt.select("source_path", "lakehouse_path", "n_parts", "part").mapInPandas(parts, _PART_SCHEMA).write.mode("errorifexists").parquet(staging_dir)
     seen = spark.read.schema(_PART_SCHEMA).parquet(staging_dir).groupBy("source_path", "lakehouse_path").agg(
         F.count("written").alias("arrived"), F.sum("written").alias("written"), F.min("error").alias("error")

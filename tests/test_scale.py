@@ -17,6 +17,41 @@ from tests.conftest import write_file
 from tests.test_placement import content, pending, tree
 
 
+def test_tiny_parts_and_tasks_share_spark_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(parts, "task_limit", lambda *a: 4)
+    monkeypatch.setattr(copying, "task_limit", lambda *a: 4)
+    rows = tree(tmp_path, {**{f"l{k}": 40_000 + 1_000 * k for k in range(6)}, **{f"s{k}": 300 * k for k in range(60)}})
+    rows = [(s, os.path.getsize(s[5:]) / 2**20, t) for s, _, t in rows]
+    counters = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    got = copying.copy_files(spark, pending(spark, rows), f"{tmp_path}/audit", mb_per_task=0.016, part_mb=0.004, verify="content", counters=counters)
+    assert {r["source_path"]: r["status"] for r in got.collect()} == {s: STATUS_SUCCESS for s, _, _ in rows}
+    assert [c.value for c in counters] == [len(rows), 0]
+    for source, _, target in rows:
+        assert content(target) == content(source[5:])
+    done = spark.read.parquet(f"{tmp_path}/audit-parts").select("source_path", F.input_file_name().alias("file"))
+    assert done.count() > 50 and done.select("file").distinct().count() <= 4
+    assert min(r["n"] for r in done.groupBy("source_path").agg(F.count_distinct("file").alias("n")).collect()) > 1
+
+
+@pytest.mark.parametrize("n,limit", [(1, 8), (2, 8), (13, 64), (100, 8), (101, 101), (5000, 128)])
+def test_neighbouring_tasks_run_apart(spark, n, limit):
+    task, n_tasks = copying.apart(F.col("id"), n, limit)
+    at = [r[0] for r in spark.range(n).select(task).orderBy("id").collect()]
+    assert n_tasks == min(n, limit) and sorted(set(at)) == list(range(n_tasks))
+    runs = [a for a, b in zip(at, [None, *at]) if a != b]
+    assert len(runs) == n_tasks  # neighbours share a Spark task
+    if n_tasks > 8:
+        assert min(abs(a - b) for a, b in zip(runs, runs[1:])) > 1
+
+
+def test_a_run_of_many_files_is_dealt_apart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(copying, "FEW_FILES", 10)
+    rows = tree(tmp_path, {f"s{k}": 100 + k for k in range(40)})
+    got = copying.copy_files(spark, pending(spark, rows), f"{tmp_path}/audit")
+    assert got.count() == 40 and os.path.isdir(f"{tmp_path}/audit-order")
+    assert all(content(t) == content(s[5:]) for s, _, t in rows)
+
+
 def test_a_flat_folder_is_cut_evenly(tmp_path):
     for k in range(1_200):
         write_file(f"{tmp_path}/d/{k:05d}.txt", b"x")
