@@ -25,6 +25,9 @@ PAGES_ROOT = "Files/Landing/pages"
 DOC_EPOCH = "2020-01-01 00:00:00"
 AUDIT_TIME = "2024-01-01 00:00:00"
 
+#: Rows of a batch of whole texts.
+TEXT_ROWS = 1_000
+
 STANDIN_RULES = PathRules(root=LANDING_ROOT, bucket_marker="/Files/", landing_marker="/raw/")
 
 
@@ -130,14 +133,21 @@ def documents_tree(spark: SparkSession, sf_dir: str, root: str, flat: bool = Fal
                 if parent not in made:
                     fs.create_dir(parent, recursive=True)
                     made.add(parent)
-                with fs.open_output_stream(at) as out:
+                # on a disk a plain file costs less than a stream
+                with open(at, "wb", buffering=0) if fs.type_name == "local" else fs.open_output_stream(at) as out:
                     out.write(data)
                 paths.append(path)
                 sizes.append(len(data))
             yield pd.DataFrame({"path": paths, "size": sizes})
 
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    rows.mapInPandas(write, "path string, size long").write.parquet(f"{root}-written")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(TEXT_ROWS))  # whole texts: a task's Python holds a batch of them several times over
+    try:
+        rows.mapInPandas(write, "path string, size long").write.parquet(f"{root}-written")
+    finally:
+        spark.conf.set(name, before)
     return spark.read.parquet(f"{root}-written")
 
 

@@ -52,6 +52,18 @@ def test_a_run_of_many_files_is_dealt_apart(spark, tmp_path, monkeypatch):
     assert all(content(t) == content(s[5:]) for s, _, t in rows)
 
 
+def test_texts_are_written_in_small_batches(spark, tmp_path, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, kind = spark.conf.get(name), type(spark.range(1))
+    run = kind.mapInPandas
+    monkeypatch.setattr(kind, "mapInPandas", lambda self, *a, **k: (seen.append(spark.conf.get(name)), run(self, *a, **k))[1])
+    rows = [(k, "src", "en", f"text {k}") for k in range(30)]
+    spark.createDataFrame(rows, "doc_id long, source string, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = st.documents_tree(spark, str(tmp_path), f"{tmp_path}/tree")
+    assert got.count() == 30 and content(f"{tmp_path}/tree/raw/src/en/7.txt") == b"text 7"
+    assert seen == [str(st.TEXT_ROWS)] and spark.conf.get(name) == before
+
+
 def test_a_flat_folder_is_cut_evenly(tmp_path):
     for k in range(1_200):
         write_file(f"{tmp_path}/d/{k:05d}.txt", b"x")
