@@ -305,13 +305,9 @@ def _tree_rules(run: str) -> PathRules:
     return PathRules(root=f"{run}/landed", bucket_marker="/tree/", landing_marker="/raw/")
 
 
-def _with_content(spark: SparkSession, audit: DataFrame, landed: str) -> DataFrame:
+def _with_content(audit: DataFrame) -> DataFrame:
     """The audit rows with the size and MD5 of what stands at their landing paths."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landed)
-    files = files.select(
-        F.regexp_replace("path", "^file:/+", "/").alias("at"), size_mb("length").alias("target_size_mb"), F.md5("content").alias("content_md5")
-    )
-    return audit.join(files, F.regexp_replace("lakehouse_path", "^file:/+", "/") == F.col("at"), "left")
+    return st.landed_content(audit).withColumn("target_size_mb", size_mb("target_bytes"))
 
 
 def q_copy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,7 +316,7 @@ def q_copy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = build_manifest(extract_inventory(spark, f"{run}/tree", listing="distributed"), _tree_rules(run))
     pending_files(manifest, empty_ledger(spark)).write.parquet(f"{run}/pending")
     audit = copy_files(spark, spark.read.parquet(f"{run}/pending"), f"{run}/audit")
-    return _with_content(spark, audit, f"{run}/landed").select(
+    return _with_content(audit).select(
         _below("source_path").alias("source_path"), "source_size_mb", "target_size_mb", "content_md5", "status", "error"
     )
 
@@ -346,7 +342,7 @@ def q_copy_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = build_manifest(extract_inventory(spark, f"{run}/tree", listing="distributed"), _tree_rules(run))
     manifest.write.parquet(f"{run}/pending")
     audit = copy_files(spark, spark.read.parquet(f"{run}/pending"), f"{run}/audit", mb_per_task=0.016, part_mb=0.004, verify="content")
-    return _with_content(spark, audit, f"{run}/landed").select(
+    return _with_content(audit).select(
         _below("source_path").alias("source_path"), "source_size_mb", "target_size_mb", "content_md5", "status", "error"
     )
 
@@ -359,7 +355,7 @@ def q_copy_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest.union(gone).write.parquet(f"{run}/pending")
     began = datetime.now(timezone.utc)
     audit = copy_files(spark, spark.read.parquet(f"{run}/pending"), f"{run}/audit")
-    return _with_content(spark, audit, f"{run}/landed").select(
+    return _with_content(audit).select(
         _below("source_path").alias("source_path"), "status", F.col("error").isNotNull().alias("has_error"),
         F.col("content_md5").isNotNull().alias("landed"), (F.col("copied_at") >= F.lit(began)).alias("copied_since_start"),
     )
@@ -372,7 +368,7 @@ def q_run_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = run_landing(spark, cfg)
     second = run_landing(spark, replace(cfg, staging_dir=f"{run}/second"))
     return (
-        _with_content(spark, first.audit, f"{run}/landed")
+        _with_content(first.audit)
         .groupBy("status")
         .agg(F.count(F.lit(1)).alias("n_files"), F.count_distinct("content_md5").alias("n_contents"))
         .withColumn("n_pending_rerun", F.lit(second.count).cast("bigint"))

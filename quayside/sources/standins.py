@@ -12,6 +12,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from quayside.functions.paths import landing_path, path_after, size_mb
 from quayside.operators.manifest import PathRules, build_manifest
@@ -151,6 +152,39 @@ def documents_tree(spark: SparkSession, sf_dir: str, root: str, flat: bool = Fal
     return spark.read.parquet(f"{root}-written")
 
 
+def landed_content(audit: DataFrame) -> DataFrame:
+    """The audit rows with ``target_bytes`` and ``content_md5`` of what stands at their landing paths (null: nothing), read in
+    the tasks that hold the rows: no list of files on the driver, and no scan task for every few files."""
+    settings = storage_settings(audit.sparkSession)
+
+    def read(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        resolve = FileSystems(settings).resolve
+
+        def content(uri):
+            seen, size = hashlib.md5(usedforsecurity=False), 0
+            try:
+                fs, path = resolve(uri)
+                with fs.open_input_stream(path) as src:
+                    while block := src.read(1 << 20):
+                        seen.update(block)
+                        size += len(block)
+            except FileNotFoundError:
+                return None, None
+            return size, seen.hexdigest()
+
+        for rb in batches:
+            found = [content(uri) if uri is not None else (None, None) for uri in rb.column("lakehouse_path").to_pylist()]
+            columns = [*rb.columns, pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*rb.schema.names, "target_bytes", "content_md5"])
+
+    schema = StructType([*audit.schema.fields, StructField("target_bytes", LongType()), StructField("content_md5", StringType())])
+    return audit.mapInArrow(read, schema)
+
+
 PAGES_RULES = PathRules(root=PAGES_ROOT, bucket_marker="://", landing_marker="/en/", strip_ext="*")
 
 

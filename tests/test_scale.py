@@ -52,6 +52,15 @@ def test_a_run_of_many_files_is_dealt_apart(spark, tmp_path, monkeypatch):
     assert all(content(t) == content(s[5:]) for s, _, t in rows)
 
 
+def test_landed_content_is_read_in_the_tasks(spark, tmp_path):
+    write_file(f"{tmp_path}/a #%41", b"the content")
+    rows = [("s1", 0.0, f"file:{tmp_path}/a #%41"), ("s2", 0.0, f"{tmp_path}/gone"), ("s3", 0.0, None)]
+    got = st.landed_content(pending(spark, rows).repartition(2))
+    assert got.rdd.getNumPartitions() == 2
+    found = {r["source_path"]: (r["target_bytes"], r["content_md5"]) for r in got.collect()}
+    assert found == {"s1": (11, hashlib.md5(b"the content").hexdigest()), "s2": (None, None), "s3": (None, None)}
+
+
 def test_texts_are_written_in_small_batches(spark, tmp_path, monkeypatch):
     name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
     before, kind = spark.conf.get(name), type(spark.range(1))
